@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .encoding import encoder
 
-CAPACITY, GROUPS = 2048, 48
+CAPACITY, GROUPS = 2048, 96
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 600) -> list[tuple[np.ndarray, float]]:

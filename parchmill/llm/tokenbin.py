@@ -59,10 +59,12 @@ class _PartWriter:
 
     def _flush(self, last: bool) -> None:
         flat = np.concatenate(self.held) if self.held else np.empty(0, self.dtype)
-        full = len(flat) // self.length * self.length
+        step = self.length if last else self.length * BATCH  # only a part's last record batch may be smaller
+        full = len(flat) // step * step
         rest = flat[full:]
         if last and len(rest):
-            flat, mask = np.concatenate([flat, np.zeros(self.length - len(rest), self.dtype)]), np.arange(full + self.length) < len(flat)
+            mask = np.arange(full + self.length) < len(flat)
+            flat = np.concatenate([flat, np.zeros(self.length - len(rest), self.dtype)])
             full += self.length
         else:
             mask = np.ones(full, bool)
@@ -147,6 +149,8 @@ class TokenFile:
             tokens = self._load(start // step).column("tokens").flatten().to_numpy()
             low = start % step
             part = tokens[low : low + stop - start]
+            if not len(part):
+                raise ValueError(f"the file ends before id {start}")
             yield part
             start += len(part)
 

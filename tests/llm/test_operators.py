@@ -319,7 +319,15 @@ def test_lm_base_score_and_held_out(spark, docs, texts, odd, empty):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (i in held, len(ws), sum(counts[w] > 0 for w in ws), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), rel=1e-9)
         assert r["score"] < 0
-    assert sum(out[i]["score"] for i in held) > 1.1 * sum(out[i]["base_score"] for i in held)
+    # Held-out texts take fewer bits than by the byte before alone, with the true shares of pairs in the training texts.
+    pairs, firsts = Counter(), Counter()
+    for i, t in texts.items():
+        if i not in held:
+            own = (b"\n" + t.encode().lower() + b"\n")
+            pairs.update(zip(own, own[1:]))
+            firsts.update(own[:-1])
+    plain = sum(math.log10((pairs[p] + 1) / (firsts[p[0]] + 257)) for i in held for own in [b"\n" + texts[i].encode().lower() + b"\n"] for p in zip(own, own[1:]))
+    assert sum(out[i]["score"] for i in held) > 0.85 * plain
     hard = mixing.score_report(odd).collect()
     assert len(hard) == len(ODD) and len({r["score"] for r in hard if r["doc_id"] in (6, 7)}) == 1
     assert mixing.score_report(empty).count() == 0
