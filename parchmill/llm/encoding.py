@@ -20,6 +20,7 @@ _UNEVEN = ("  ", " \n", "\n ", "\n\n", "\t", "\x0b", "\x0c", "\r", "\x00")
 _CUT = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 #: Letters for which one word is one pre-token and lower-casing and NFC act letter by letter.
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_BEYOND = re.compile("[^\x00-\xff]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -41,7 +42,7 @@ class PieceEncoder(dict):
 
     A key is a piece without the space before it; a piece that begins a line
     begins with its line feed, and NUL stands before a piece that is complete as
-    it is.  Known pieces are held in two generations of ``limit`` pieces at
+    it is (where the tokenizer drops white space, neither is needed).  Known pieces are held in two generations of ``limit`` pieces at
     most (the older is dropped when the younger is full), so memory is bounded
     whatever the texts are; pieces above ``longest`` characters aren't held.
     """
@@ -82,6 +83,8 @@ class PieceEncoder(dict):
         if ids is None:
             if key.isalpha() and self.fast and (key.isascii() or _LATIN.fullmatch(key)):
                 ids = self._word(" ", key, "")
+            elif key[:1] == "\n" and self.fast and key[1:].isalpha() and (key.isascii() or _LATIN.fullmatch(key[1:])):
+                ids = self._suffix("\n") + self._word("", key[1:], "")  # a line feed is a pre-token of its own
             elif key[:1] == "\x00" or key[:1] == "\n":
                 ids = self._plain(key.lstrip("\x00"))
             elif self.fast and (core := key.rstrip(punctuation)).isalpha() and (core.isascii() or _LATIN.fullmatch(core)):
@@ -97,6 +100,10 @@ class PieceEncoder(dict):
 
     def keys_of(self, text: str) -> list[str]:
         if _even(text):
+            if self.lower:  # white space only separates, and case folds letter by letter in Latin-1
+                if "<|" not in text and (text.isascii() or not _BEYOND.search(text)):
+                    text = text.lower()
+                return text.replace("\n", " ").split(" ")
             return ("\x00" + text).replace("\n", " \n").split(" ")
         parts = _CUT.split(text) if "\x00" not in text else [text]
         return ["\x00" + parts[0], *["\x00 " + p for p in parts[1:]]]
