@@ -7,6 +7,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Line breaks and white space as the text model counts them.
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}]"
@@ -14,7 +15,7 @@ WHITE = r"(?U)[\s\x1C-\x1F]+"
 TOKENS_PER_WORD = 1.35
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
