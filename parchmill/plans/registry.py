@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import chunk, index, retrieve
+from ..operators import chunk, index, normalize, retrieve
 from ..sources import html
 from ..streaming import events as streams
 
@@ -159,6 +159,28 @@ def greedy_pack(spark, sf_dir):
     return packed.select("o_custkey", F.explode(F.arrays_zip("os", "g")).alias("x")).select(F.col("x.os.o_orderkey").alias("o_orderkey"), "o_custkey", F.col("x.g").alias("pack"))
 
 
+def _order_documents(spark, sf_dir):
+    """Orders as documents: a title (printed twice for open orders), a line of labelled values, and a body."""
+    block = lambda pos, kind, text, level: F.struct(F.lit(pos).alias("pos"), F.lit(kind).alias("kind"), text.alias("text"), F.lit(level).cast("int").alias("level"))
+    title = F.concat(F.lit("Order "), F.col("o_orderkey"))
+    labels = F.concat(F.lit("Document ID: ord-"), F.col("o_orderkey"), F.lit(" **Version:** "), F.col("o_custkey"), F.lit(".0; Effective Date: "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" Status: "), F.col("o_orderstatus"), F.lit(" Status: later"))
+    blocks = F.array(block(0, "heading", title, 1), block(1, "heading", F.when(F.col("o_orderstatus") == "O", F.upper(title)).otherwise(F.lit("Terms")), 1), block(2, "paragraph", labels, None), block(3, "paragraph", F.concat(F.lit("The body of this document is kept, with its last words, for "), title, F.lit(" status: open")), None))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("document_id"), F.explode(blocks).alias("b")).select("document_id", "b.*")
+
+
+@register("""
+SELECT o_orderkey AS order_key, 'ORD-' || o_orderkey AS document_id, CASE WHEN o_orderstatus = 'O' THEN upper('Order ' || o_orderkey) ELSE 'Order ' || o_orderkey END AS document_name,
+  NULL::VARCHAR AS department, NULL::VARCHAR AS category, o_custkey || '.0' AS version, strftime(o_orderdate, '%Y-%m-%d') AS effective_date, o_orderstatus AS status,
+  CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END::BIGINT AS n_blocks FROM orders
+""")
+def document_metadata(spark, sf_dir):
+    """Labelled values lifted from the head, the repeated title dropped, then ids and names."""
+    fields, kept = normalize.lift_front_matter(_order_documents(spark, sf_dir))
+    kept = normalize.drop_repeated_title(kept).groupBy("document_id").agg(F.count("*").alias("n_blocks"), F.min_by("text", F.when(F.col("level") == 1, F.col("pos"))).alias("first_heading"))
+    rows = kept.join(fields, "document_id", "left").withColumnRenamed("document_id", "order_key")
+    return rows.select("order_key", *normalize.metadata(F.col("fields"), F.col("order_key").cast("string"), F.lit(None).cast("string"), F.col("first_heading")), "n_blocks")
+
+
 def _page_documents(spark, sf_dir):
     pages = html.html_blocks(table(spark, sf_dir, "pages"), "page_id")
     rows = pages.select(F.col("page_id").cast("string").alias("document_id"), "title_hint", F.posexplode("blocks").alias("pos", "b")).select(
