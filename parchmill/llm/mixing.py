@@ -8,7 +8,7 @@ the two longer contexts are), and an adaptive probability map refines the sum.
 The decisions' log probabilities add up to the text's.
 
 Learning is online inside each task: every slice of training text is first
-predicted with the counts gathered so far (one block of decisions in MIX_EVERY),
+predicted with the counts gathered so far, all its decisions in steps of STEP,
 which moves the mixer's weights and the map, then adds all its counts.  Counts and
 map add up over tasks and the weights are averaged, so the merged model has a
 fixed size while everything it holds comes from the whole training text.
@@ -35,7 +35,7 @@ ORDERS, BITS = (3, 5), (20, 21)
 EDGE, SYMBOLS, PAD = 256, 257, 5
 #: Texts of about CHUNK_BYTES share a vocabulary lookup; a slice is what numpy handles at once.
 CHUNK_BYTES, SLICE, LEARN_SLICE = 16 << 20, 1 << 16, 1 << 20
-GATES, MAP, MIX_EVERY, STEP = 64, 33, 12, 1 << 13
+GATES, MAP, STEP = 64, 33, 1 << 13
 #: Table entries in a row of the merged model.
 BLOCK = 1 << 15
 PRIOR = 0.4
@@ -162,26 +162,28 @@ class Learner:
 
     def learn(self, texts: list[bytes]) -> None:
         slots, bit, _ = decisions(texts, self.codes)
-        if self.slices:
-            for at in range(self.slices % MIX_EVERY * STEP, len(bit), MIX_EVERY * STEP):
-                self._mix([s[at : at + STEP].astype(np.int64) * 2 for s in slots], bit[at : at + STEP])
+        tables = [log_odds(c) for c in self.counts]
+        for at in range(0, len(bit), STEP):
+            self._mix([t[s[at : at + STEP]] for t, s in zip(tables, slots)], bit[at : at + STEP])
         self.slices += 1
         for counts, slot in zip(self.counts, slots):
             counts += np.bincount(slot.astype(np.int64) * 2 + bit, minlength=len(counts))
 
-    def _mix(self, slots: list[np.ndarray], bit: np.ndarray) -> None:
-        """One online step of the mixer and the map, from counts that don't hold these bits."""
-        odds = [np.log((c[s + 1] + PRIOR) / (c[s] + PRIOR)).astype(np.float32) for c, s in zip(self.counts, slots)]
-        gate = _gate(odds)
-        x = sum(self.weights[gate, k] * o for k, o in enumerate(odds))
+    def _mix(self, odds: list[np.ndarray], bit: np.ndarray) -> None:
+        """One online step of the mixer and the map, from log odds of counts that don't hold these bits."""
+        gate = _gate(odds).astype(np.int64)
+        weights = np.ascontiguousarray(self.weights.T, np.float32)
+        x = weights[0][gate] * odds[0]
+        for k in range(1, len(odds)):
+            x += weights[k][gate] * odds[k]
         error = bit - 1 / (1 + np.exp(-x))
         for k, o in enumerate(odds):  # steps scaled by past gradients
             step = np.bincount(gate, error * o, GATES)
             self.scale[:, k] += step * step
             self.weights[:, k] += 0.3 * step / np.sqrt(self.scale[:, k])
-        place = gate.astype(np.int64) * MAP + _bucket(x)
-        self.map[:, 0] += np.bincount(place, minlength=len(self.map))
-        self.map[:, 1] += np.bincount(place, bit, len(self.map))
+        seen = np.bincount((gate * MAP + _bucket(x)) * 2 + bit, minlength=2 * len(self.map)).reshape(-1, 2)
+        self.map[:, 0] += seen.sum(1)
+        self.map[:, 1] += seen[:, 1]
         self.seen += len(bit)
 
     def pieces(self):

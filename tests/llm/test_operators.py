@@ -354,6 +354,41 @@ def test_lm_is_a_distribution():
 
 # -- 8 SimHash
 
+def test_lm_mixer_and_map_take_every_decision():
+    """Weights and map equal a plain pass over all decisions, the first slice's included."""
+    draw = np.random.default_rng(5)
+    words = [bytes(draw.integers(97, 123, 5).tolist()) for _ in range(300)]
+    texts = [b" ".join(words[i] for i in draw.zipf(1.3, 400) % 300) for _ in range(60)]
+    s, _ = mixing.lay_out(texts)
+    pairs = np.bincount(s[:-1].astype(np.int64) * mixing.SYMBOLS + s[1:], minlength=mixing.SYMBOLS**2)
+    learner = mixing.Learner(mixing.build_codes(pairs.reshape(mixing.SYMBOLS, -1)))
+    counts = [np.zeros((n, 2)) for n in mixing.table_sizes()]
+    weights, scale, seen = np.full((mixing.GATES, 3), 1 / 3), np.ones((mixing.GATES, 3)), np.zeros((mixing.GATES, mixing.MAP, 2))
+    total = 0
+    for part in (texts[:1], texts[1:20], texts[20:]):
+        learner.learn(part)
+        slots, bit, _ = mixing.decisions(part, learner.codes)
+        for at in range(0, len(bit), mixing.STEP):
+            b = bit[at : at + mixing.STEP]
+            odds = [np.log((c[k, 1] + mixing.PRIOR) / (c[k, 0] + mixing.PRIOR)).astype(np.float32) for c, k in ((c, k[at : at + mixing.STEP]) for c, k in zip(counts, slots))]
+            gate = mixing._gate(odds)
+            x = sum(weights[gate, k] * o for k, o in enumerate(odds))
+            error = b - 1 / (1 + np.exp(-x))
+            for k, o in enumerate(odds):
+                step = np.bincount(gate, error * o, mixing.GATES)
+                scale[:, k] += step * step
+                weights[:, k] += 0.3 * step / np.sqrt(scale[:, k])
+            np.add.at(seen, (gate, mixing._bucket(x), b), 1)
+        for c, k in zip(counts, slots):
+            np.add.at(c, (k, bit), 1)
+        total += len(bit)
+    assert total > 5 * mixing.STEP and learner.seen == learner.map[:, 0].sum() == total
+    assert np.allclose(learner.weights, weights, atol=1e-3)
+    got = learner.map.reshape(mixing.GATES, mixing.MAP, 2)
+    assert np.abs(got[..., 0] - seen.sum(-1)).sum() < total / 100  # rounding moves few decisions to the next bucket
+    assert got[..., 1].sum() == seen[..., 1].sum()
+
+
 def brute_simhash(text):
     ws = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()))
     grams = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] if len(ws) >= 3 else ([b" ".join(ws)] if ws else [])
