@@ -45,7 +45,8 @@ def cosine_top(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int =
 
     Queries and vectors are dealt into blocks and every pair of blocks is one
     matrix product that leaves k rows per query, so neither side is broadcast
-    or collected.  A vector isn't its own neighbour; vectors without a cosine
+    or collected.  Scores are rounded to 6 decimals (halves away from zero, as
+    in SQL) before any are left out, and ties go to the smallest vec_id.  A vector isn't its own neighbour; vectors without a cosine
     are left out.
     """
     def blocks(frame: DataFrame, key: str, side: str) -> DataFrame:
@@ -62,16 +63,19 @@ def cosine_top(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int =
                     ids.append(np.asarray(side.field("id")))
                     unit.append(m / np.sqrt((m * m).sum(1, keepdims=True)))
                 score = unit[0] @ unit[1].T
+                score = np.copysign(np.floor(np.abs(score) * 1e6 + 0.5), score) / 1e6
                 score[ids[0][:, None] == ids[1][None, :]] = -np.inf
-                best = np.argsort(-score, axis=1, kind="stable")[:, : k + 8]  # a few more for ties in rounding
+                by_id = np.argsort(ids[1], kind="stable")
+                score, ids[1] = score[:, by_id], ids[1][by_id]
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
                 rows = np.repeat(np.arange(len(ids[0])), best.shape[1])
                 s = score[rows, best.ravel()]
                 ok = np.isfinite(s)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[0][rows][ok]), pa.array(ids[1][best.ravel()][ok]), pa.array(s[ok])], ["query_id", "vec_id", "raw"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[0][rows][ok]), pa.array(ids[1][best.ravel()][ok]), pa.array(s[ok])], ["query_id", "vec_id", "score"])
 
     pairs = blocks(queries, "query_id", "q").join(blocks(vectors, "vec_id", "v"), F.lit(True))
-    found = pairs.select("q", "v").mapInArrow(run, "query_id long, vec_id long, raw double")
-    return top(found.select("query_id", "vec_id", F.round("raw", 6).alias("score")), "score", "query_id", "vec_id", k)
+    found = pairs.select("q", "v").mapInArrow(run, "query_id long, vec_id long, score double")
+    return top(found, "score", "query_id", "vec_id", k)
 
 
 def fuse(rankings: list[DataFrame], k: int = 10) -> DataFrame:
