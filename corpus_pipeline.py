@@ -23,15 +23,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate group: the one with the smallest doc_id.
+    """One row of every near-duplicate group: the one with the smallest doc_id.
 
-    Rows that repeat that doc_id stay (they can't be told apart by it); rows
-    without a doc_id stay if no document with one is near.
+    Among rows that repeat that doc_id, and in groups without any doc_id, a
+    hash of the text decides.
     """
-    found = simhash.near_duplicates(docs)
-    kept = found.where("kept").select("doc_id").distinct()
-    alone = found.where("doc_id is null and component_id is null").select("doc_id").distinct()
-    return docs.join(kept.union(alone).withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    rows = materialize(simhash.with_fingerprint(docs, "__fp").withColumn("__row", F.monotonically_increasing_id()), "rows")
+    fps = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__fp").alias("fp"), "__row", F.xxhash64("text").alias("order"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "order", "__row")
+    kept = fps.join(simhash.components(fps).select("fp", "part"), "fp").groupBy("part").agg(F.min(rank).alias("best")).select("best.__row")
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def personal_data_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

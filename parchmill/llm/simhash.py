@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import materialize, split_hot
 from .components import connected_components
@@ -47,15 +48,21 @@ def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long.  Null texts count as empty: fp 0."""
+def with_fingerprint(docs: DataFrame, name: str, words: int = 3, seed: int = 42, texts: bool = True) -> DataFrame:
+    """All columns (but the text unless ``texts``) and the fingerprint as a signed long.  Null texts count as empty: fp 0."""
+    keep = [c for c in docs.columns if texts or c != "text"]
 
     def run(batches):
         for batch in batches:
-            fps = np.array([simhash(t.as_py(), words, seed) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = np.array([simhash(t.as_py(), words, seed) for t in batch.column("text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fps)], [*keep, name])
+
+    return docs.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), StructField(name, LongType())]))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
+    """(doc_id, fp)."""
+    return with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "fp", words, seed, texts=False)
 
 
 def _near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
@@ -131,6 +138,19 @@ def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE) -> DataFr
     return cold.mapInArrow(run, "a long, b long").union(pairs.mapInArrow(run, "a long, b long"))
 
 
+def components(fps: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
+    """(fp, part, component_id) for every distinct fingerprint of rows (doc_id, fp).
+
+    Fingerprints are linked by themselves, so rows without a doc_id link and
+    bridge like any other.  part names the component (its least fingerprint as
+    a signed long); component_id is its smallest doc_id, null if it has none.
+    """
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    parts = connected_components(link_edges(distinct.select("fp", F.col("fp").alias("rep")), radius, tile))
+    classes = materialize(distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
+    return classes.join(classes.groupBy("part").agg(F.min("least").alias("component_id")), "part").select("fp", "part", "component_id")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, seed: int = 42, tile: int = TILE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id, kept.
 
@@ -144,10 +164,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, seed: int
     gives an empty result; further columns of ``docs`` are ignored.
     """
     fps = materialize(fingerprints(docs, words, seed), "simhash")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    parts = connected_components(link_edges(distinct.where("rep is not null"), radius, tile))
-    classes = distinct.join(parts, distinct["rep"] == parts["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(classes, "fp").select(
+    return fps.join(components(fps, radius, tile), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )

@@ -414,6 +414,36 @@ def test_simhash_hard_tables(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def near_texts():
+    """Two texts whose fingerprints differ, but by 3 bits or fewer."""
+    for n in range(300, 400):
+        base = " ".join(f"w{i}" for i in range(n))
+        if 1 <= (brute_simhash(base) ^ brute_simhash(base + " more")).bit_count() <= 3:
+            return base, base + " more"
+    raise AssertionError("none found")
+
+
+def test_simhash_null_ids_link_and_bridge(spark):
+    """Rows without an id get near links, and connect others that are too far from each other."""
+    fps = [0, 7, 7 | 7 << 10]  # 3 bits, then 3 more
+    classes = simhash.components(spark.createDataFrame([(4, fps[0]), (None, fps[1]), (9, fps[2]), (None, -1)], "doc_id long, fp long")).collect()
+    assert {r["fp"]: r["component_id"] for r in classes} == {fps[0]: 4, fps[1]: 4, fps[2]: 4, -1: None}
+    assert len({r["part"] for r in classes}) == 2
+    one, near = near_texts()
+    out = simhash.near_duplicates(spark.createDataFrame([(4, one), (None, near), (None, "all else")], "doc_id long, text string")).collect()
+    assert sorted(str(r["component_id"]) for r in out) == ["4", "4", "None"]
+
+
+def test_near_duplicate_stage_keeps_one_row_a_component(spark):
+    import corpus_pipeline
+
+    one, near = near_texts()
+    frame = spark.createDataFrame([(4, one, 1), (4, one, 1), (None, one, 2), (None, near, 3), (None, "all else", 4), (None, "all else", 4), (8, "third text", 5), (8, "fourth one here", 6)], "doc_id long, text string, n_chars long")
+    kept = corpus_pipeline.near_duplicate_removal(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("4", one), ("None", "all else"), ("8", "third text"), ("8", "fourth one here")])
+
+
 def test_simhash_dense_group(spark):
     """Fingerprints of one dense group over many tiles: one component, few edges."""
     rng = np.random.default_rng(1)
