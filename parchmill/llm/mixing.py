@@ -1,47 +1,73 @@
 """Operator 7: language-model scoring by online logistic context mixing.
 
 A text is predicted bit by bit.  Each byte is a path of binary decisions in a
-code tree chosen by the byte before it, so likely bytes take few decisions.
-For every decision, predictors with hashed contexts of the last 1, 3 and 5
-bytes give log odds; a mixer adds them with weights chosen by a gate (how sure
+code tree chosen by the byte before it; the first decision says whether a word
+ends here.  For every decision, predictors with hashed contexts (the last byte,
+the last three bytes, and the word so far, or at a word's start the word
+before) give log odds; a mixer adds them with weights chosen by a gate (how sure
 the two longer contexts are), and an adaptive probability map refines the sum.
-The decisions' log probabilities add up to the text's.
-
-Learning is online inside each task: every slice of training text is first
-predicted with the counts gathered so far, all its decisions in steps of STEP,
-which moves the mixer's weights and the map, then adds all its counts.  Counts and
-map add up over tasks and the weights are averaged, so the merged model has a
-fixed size while everything it holds comes from the whole training text.
-Scoring uses the merged model as it is, so equal texts score alike.
+A word's probability by these bits is mixed with its share in the training
+text, whose weight is the chance of a known word, so what scoring gathers grows
+with the corpus: every training word's count travels to the texts that hold it.
+
+Inside a word the contexts don't look beyond its start.  So a task evaluates
+each different word once per chunk of texts, with its number of occurrences as
+weight while learning, and only the first letters of words one by one.
+
+Learning is online inside each task: every block of decisions is predicted with
+the counts gathered so far, which moves the mixer's weights and the map, and
+then adds its own counts.  Counts and map add up over tasks and the weights are
+averaged, so the merged bit model has a fixed size while everything it holds
+comes from the whole training text.  Scoring uses it as it is, so equal texts
+score alike.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import crc32_of_id, materialize
-
-#: Byte contexts of the hashed predictors, and the logarithm of their tables' sizes.  The context of one byte needs no hash.
-ORDERS, BITS = (3, 5), (20, 21)
-#: The symbol that starts and ends a text, and pads between texts.
-EDGE, SYMBOLS, PAD = 256, 257, 5
-#: Texts of about CHUNK_BYTES share a vocabulary lookup; a slice is what numpy handles at once.
-CHUNK_BYTES, SLICE, LEARN_SLICE = 16 << 20, 1 << 16, 1 << 20
-GATES, MAP, STEP = 64, 33, 1 << 13
+from .common import by_bucket, crc32_of_id, materialize, partitions
+
+#: Logarithms of the table sizes of the two hashed predictors (three bytes; the word).  The context of one byte needs no hash.
+BITS = (20, 21)
+#: The symbol that starts and ends a text.
+EDGE, SYMBOLS = 256, 257
+#: The bytes that separate words.
+SPACES = bytes([9, 10, 11, 12, 13, 32])
+#: Texts of about CHUNK_BYTES share a vocabulary; BLOCK_SYMBOLS are evaluated at once; a learning slice has at most SLICE words.
+CHUNK_BYTES, BLOCK_SYMBOLS, SLICE = 16 << 20, 1 << 13, 1 << 19
+#: The vocabulary is split into ranges of words, one for so many bytes of text or more.
+RANGE_BYTES = 256 << 20
+#: The context of the word so far starts afresh after so many bytes of one word.
+PART = 1 << 12
+GATES, MAP = 64, 33
 #: Table entries in a row of the merged model.
 BLOCK = 1 << 15
 PRIOR = 0.4
-END = b" "  # the end token; words hold no white space
+#: No decision is ever surer than this, in either direction, so the two sides still add up to one.
+FLOOR = np.float32(1e-6)
+#: The first two words of every chunk's vocabulary: the end of a text as a token, and the empty word between two spaces.
+END, EMPTY = b" ", b""
 
 _HASH = (np.uint64(0x9E3779B97F4A7C15), np.uint32(0x85EBCA6B), np.uint32(0x9E3779B1))
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(SPACES)] = True
+#: Separators by a number below 8, for pairs of a word and what comes after it.
+_SEPARATOR = np.array([*SPACES, EDGE], np.uint16)
+_NUMBER = np.zeros(SYMBOLS, np.int64)
+_NUMBER[_SEPARATOR] = np.arange(len(_SEPARATOR))
+_TO_SPACE = bytes(32 if _IS_SPACE[b] else b for b in range(256))
+with np.errstate(over="ignore"):
+    _POWER = np.cumprod(np.full(PART, 0xD6E8FEB86659FD93, np.uint64))
 
 
 @dataclass
@@ -55,20 +81,25 @@ class Codes:
 
 
 def build_codes(pairs: np.ndarray) -> Codes:
-    """A Huffman tree per previous symbol from counts of pairs; no path gets longer than about 20."""
+    """Per previous symbol, a decision between word end and letter, and a Huffman tree below each, from counts of pairs."""
     start, size, node, bit = np.zeros(SYMBOLS * SYMBOLS, np.int64), np.zeros(SYMBOLS * SYMBOLS, np.int64), [], []
     overall = pairs.sum(0)
+    ends = [*SPACES, EDGE]
+    letters = [s for s in range(256) if s not in SPACES]
     for prev in range(SYMBOLS):
         counts = pairs[prev] if pairs[prev].sum() else overall
-        least = max(1, int(counts.sum()) >> 13)
-        heap = [(max(int(c), least), s, s) for s, c in enumerate(counts)]
-        heapq.heapify(heap)
-        up, inner = {}, SYMBOLS
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            up[a[2]], up[b[2]] = (inner, 0), (inner, 1)
-            heapq.heappush(heap, (a[0] + b[0], inner, inner))
-            inner += 1
+        least = max(1, int(counts.sum()) >> 13)  # no path gets longer than about 20
+        up, inner, roots = {}, SYMBOLS, []
+        for side in (letters, ends):
+            heap = [(max(int(counts[s]), least), s) for s in side]
+            heapq.heapify(heap)
+            while len(heap) > 1:
+                a, b = heapq.heappop(heap), heapq.heappop(heap)
+                up[a[1]], up[b[1]] = (inner, 0), (inner, 1)
+                heapq.heappush(heap, (a[0] + b[0], inner))
+                inner += 1
+            roots.append(heap[0][1])
+        up[roots[0]], up[roots[1]] = (inner, 0), (inner, 1)
         for s in range(SYMBOLS):
             path, at = [], s
             while at in up:
@@ -80,43 +111,96 @@ def build_codes(pairs: np.ndarray) -> Codes:
     return Codes(start, size, np.array(node, np.uint32), np.array(bit, np.uint8))
 
 
-def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of texts, each between PAD edges and one end, and the positions where texts begin."""
-    sizes = np.array([len(t) for t in texts]) + PAD + 1
-    ends = np.cumsum(sizes)
-    out = np.full(int(ends[-1]), EDGE, np.uint16)
-    begins = ends - sizes + PAD
-    for b, t in zip(begins.tolist(), texts):
-        out[b : b + len(t)] = np.frombuffer(t, np.uint8)
-    return out, begins
-
-
-def decisions(texts: list[bytes], codes: Codes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Slots per predictor, bits, and the first decision of every text."""
-    s, begins = lay_out(texts)
-    sizes = np.array([len(t) + 1 for t in texts])
-    at = np.repeat(begins - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(int(sizes.sum()))
-    code = s[at - 1].astype(np.int64) * SYMBOLS + s[at]
+def count_pairs(text: bytes, pairs: np.ndarray) -> None:
+    """Add a text's pairs of neighbouring symbols, its edges included."""
+    s = np.empty(len(text) + 2, np.uint16)
+    s[0] = s[-1] = EDGE
+    s[1:-1] = np.frombuffer(text, np.uint8)
+    for at in range(0, len(s) - 1, 1 << 20):
+        x = s[at : at + (1 << 20) + 1].astype(np.int32)
+        pairs += np.bincount(x[:-1] * SYMBOLS + x[1:], minlength=len(pairs))
+
+
+class Words:
+    """A chunk's vocabulary: the words by id as one buffer."""
+
+    def __init__(self, blob: bytes):
+        """blob: the words in order of their ids, each followed by a line feed."""
+        self.data = np.frombuffer(blob, np.uint8)
+        stops = np.flatnonzero(self.data == 10)
+        self.start = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else np.zeros(0, np.int64)
+        self.size = stops - self.start
+        at = np.arange(len(self.data)) - np.repeat(self.start, self.size + 1)
+        with np.errstate(over="ignore"):
+            self.hash = np.add.reduceat(np.where(self.data == 10, 0, self.data + np.uint64(1)) * _POWER[at % PART], self.start) * _HASH[0]
+        # What comes after a word sees its last two bytes; the additional entry stands for the edge of a text.
+        data, last = self.data.astype(np.uint16), stops - 1
+        self.last = [np.append(np.where(self.size > k, data[np.maximum(last - k, 0)], EDGE).astype(np.uint16), np.uint16(EDGE)) for k in (0, 1)]
+        self.first = np.where(self.size > 0, data[self.start], EDGE).astype(np.uint16)
+        self.hash = np.append(self.hash, np.uint64(0))
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+
+def _slots(codes: Codes, prev: np.ndarray, sym: np.ndarray, three: np.ndarray, word: np.ndarray):
+    """Slots per predictor, bits, and each symbol's first decision."""
+    code = prev.astype(np.int64) * SYMBOLS + sym
     steps = codes.size[code]
     ends = np.cumsum(steps)
-    path = np.repeat(codes.start[code] - (ends - steps), steps)
+    first = ends - steps
+    path = np.repeat(codes.start[code] - first, steps)
     path += np.arange(len(path))
     node, bit = codes.node[path], codes.bit[path]
-    slots = [node]
-    mark = node * _HASH[2]
-    key, have = np.zeros(len(at), np.uint64), 0
-    for order, bits in zip(ORDERS, BITS):
-        for k in range(have + 1, order + 1):
-            key |= s[at - k].astype(np.uint64) << np.uint64(9 * (k - 1))
-        have = order
-        context = ((key * _HASH[0]) >> np.uint64(32)).astype(np.uint32)
-        slot = np.repeat(context, steps)
+    slots, mark = [node], node * _HASH[2]
+    for key, bits in zip((three, word), BITS):
+        slot = np.repeat(((key * _HASH[0]) >> np.uint64(32)).astype(np.uint32), steps)
         slot ^= mark
         slot *= _HASH[1]
         slot >>= np.uint32(32 - bits)
         slots.append(slot)
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    return slots, bit, np.where(first > 0, ends[first - 1], 0)
+    return slots, bit, first
+
+
+def word_starts(codes: Codes, words: Words, ids: np.ndarray, ends: np.ndarray, before: np.ndarray, before_end: np.ndarray):
+    """Decisions for the first symbols of words (or for the next separator, if the word is empty).
+
+    ids, ends: a word and the separator after it; before, before_end: those
+    that come before it (the additional entry and EDGE at a text's start).
+    """
+    sym = np.where(words.size[ids] > 0, words.first[ids], ends)
+    with np.errstate(over="ignore"):
+        three = before_end.astype(np.uint64) | words.last[0][before].astype(np.uint64) << np.uint64(9) | words.last[1][before].astype(np.uint64) << np.uint64(18) | np.uint64(1 << 40)
+        return _slots(codes, before_end, sym, three, words.hash[before] + before_end * np.uint64(0x2545F4914F6CDD1D))
+
+
+def word_blocks(words: Words, ids: np.ndarray, ends: np.ndarray):
+    """Symbols after the first of (word, separator) pairs in blocks: unit, prev, sym, three, word context, is_end."""
+    size = words.size[ids]
+    parts = size // PART + 1
+    unit = np.repeat(np.arange(len(ids)), parts)
+    nth = np.arange(len(unit)) - np.repeat(np.cumsum(parts) - parts, parts)
+    low, high = np.maximum(nth * PART, 1), np.minimum((nth + 1) * PART, size[unit] + 1)
+    total = np.concatenate([[0], np.cumsum(high - low)])
+    at = 0
+    while at < len(unit):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + BLOCK_SYMBOLS, side="right")) - 1)
+        n = high[at:to] - low[at:to]
+        begin = total[at:to] - total[at]
+        off = np.arange(int(n.sum())) + np.repeat(low[at:to] - begin, n)
+        own = np.repeat(unit[at:to], n)
+        place = words.start[ids[own]] + off
+        end = off == size[own]
+        prev = words.data[place - 1].astype(np.uint16)
+        sym = np.where(end, ends[own], words.data[place])
+        with np.errstate(over="ignore"):
+            two = np.where(off > 1, words.data[np.maximum(place - 2, 0)], np.uint16(EDGE)).astype(np.uint64)
+            three = np.where(off > 2, words.data[np.maximum(place - 3, 0)], np.uint16(EDGE)).astype(np.uint64)
+            three = prev.astype(np.uint64) | two << np.uint64(9) | three << np.uint64(18)
+            run = np.cumsum((prev.astype(np.uint64) + np.uint64(1)) * _POWER[(off - 1) % PART])
+            run -= np.repeat(np.where(begin > 0, run[begin - 1], np.uint64(0)), n)
+        yield own, prev, sym, three, run, end
+        at = to
 
 
 def table_sizes() -> list[int]:
@@ -125,16 +209,16 @@ def table_sizes() -> list[int]:
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
     """Log odds of a set bit from interleaved counts of clear and set bits."""
-    return np.log((counts[1::2] + PRIOR) / (counts[::2] + PRIOR)).astype(np.float32)
+    return np.log((counts[1::2] + np.float32(PRIOR)) / (counts[::2] + np.float32(PRIOR))).astype(np.float32)
 
 
 def _gate(odds: list[np.ndarray]) -> np.ndarray:
-    top, mid = (np.minimum(np.abs(odds[k]) * 1.6, 7).astype(np.uint8) for k in (-1, -2))
+    top, mid = (np.minimum(np.abs(odds[k]) * np.float32(1.6), 7).astype(np.uint8) for k in (-1, -2))
     return top * np.uint8(8) + mid
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
-    return ((np.clip(x, -7.99, 7.99) + 8.25) * 2).astype(np.uint8)
+    return ((np.clip(x, -7.99, 7.99) + np.float32(8.25)) * 2).astype(np.uint8)
 
 
 class Learner:
@@ -142,49 +226,51 @@ class Learner:
 
     def __init__(self, codes: Codes):
         self.codes = codes
-        self.counts = [np.zeros(2 * n, np.int64) for n in table_sizes()]
-        self.weights = np.full((GATES, 1 + len(ORDERS)), 1.0 / (1 + len(ORDERS)))
-        self.scale = np.full((GATES, 1 + len(ORDERS)), 1.0)
+        self.counts = [np.zeros(2 * n, np.uint32) for n in table_sizes()]
+        self.weights = np.full((GATES, 1 + len(BITS)), 1.0 / (1 + len(BITS)))
+        self.scale = np.full((GATES, 1 + len(BITS)), 1.0)
         self.map = np.zeros((GATES * MAP, 2))
-        self.seen, self.slices = 0, 0
-
-    def learn_all(self, texts: list[bytes]) -> None:
-        """Slices grow from small ones, so that even a little text is predicted before it is learned."""
-        held, size = [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size >= min(LEARN_SLICE, 1 << 14 + min(self.slices, 10)):
-                self.learn(held)
-                held, size = [], 0
-        if held:
-            self.learn(held)
-
-    def learn(self, texts: list[bytes]) -> None:
-        slots, bit, _ = decisions(texts, self.codes)
-        tables = [log_odds(c) for c in self.counts]
-        for at in range(0, len(bit), STEP):
-            self._mix([t[s[at : at + STEP]] for t, s in zip(tables, slots)], bit[at : at + STEP])
-        self.slices += 1
-        for counts, slot in zip(self.counts, slots):
-            counts += np.bincount(slot.astype(np.int64) * 2 + bit, minlength=len(counts))
-
-    def _mix(self, odds: list[np.ndarray], bit: np.ndarray) -> None:
-        """One online step of the mixer and the map, from log odds of counts that don't hold these bits."""
-        gate = _gate(odds).astype(np.int64)
-        weights = np.ascontiguousarray(self.weights.T, np.float32)
-        x = weights[0][gate] * odds[0]
-        for k in range(1, len(odds)):
-            x += weights[k][gate] * odds[k]
+        self.seen, self.slices = 0.0, 0
+
+    def learn(self, words: Words, ids: np.ndarray, ends: np.ndarray, before: np.ndarray, before_end: np.ndarray) -> None:
+        """Words and the separators after them, as arrays over all texts; slices grow from small ones."""
+        at = 0
+        while at < len(ids):
+            to = min(len(ids), at + min(SLICE, 1 << (12 + min(self.slices, 20))))
+            self._slice(words, *(x[at:to] for x in (ids, ends, before, before_end)))
+            self.slices += 1
+            at = to
+
+    def _slice(self, words: Words, ids, ends, before, before_end) -> None:
+        whole = words.size[ids] > 0
+        key, times = np.unique(ids[whole] << 3 | _NUMBER[ends[whole]], return_counts=True)
+        for own, prev, sym, three, run, _ in word_blocks(words, key >> 3, _SEPARATOR[key & 7]):
+            slots, bit, first = _slots(self.codes, prev, sym, three, run)
+            self._step(slots, bit, np.repeat(times[own], np.diff(np.append(first, len(bit)))))
+        for at in range(0, len(ids), BLOCK_SYMBOLS):
+            some = slice(at, at + BLOCK_SYMBOLS)
+            slots, bit, _ = word_starts(self.codes, words, ids[some], ends[some], before[some], before_end[some])
+            self._step(slots, bit, None)
+
+    def _step(self, slots, bit, times) -> None:
+        """Predict a block with the counts so far, move the mixer and the map, then add the block's counts."""
+        odds = [log_odds(c.view(np.uint64)[s].view(np.uint32)) for c, s in zip(self.counts, slots)]
+        gate = _gate(odds)
+        x = _mixed(np.ascontiguousarray(self.weights.T, np.float32), gate, odds)
         error = bit - 1 / (1 + np.exp(-x))
+        if times is not None:
+            error *= times
         for k, o in enumerate(odds):  # steps scaled by past gradients
             step = np.bincount(gate, error * o, GATES)
             self.scale[:, k] += step * step
             self.weights[:, k] += 0.3 * step / np.sqrt(self.scale[:, k])
-        seen = np.bincount((gate * MAP + _bucket(x)) * 2 + bit, minlength=2 * len(self.map)).reshape(-1, 2)
+        seen = np.bincount((gate.astype(np.int32) * MAP + _bucket(x)) * 2 + bit, times, minlength=2 * len(self.map)).reshape(-1, 2)
         self.map[:, 0] += seen.sum(1)
         self.map[:, 1] += seen[:, 1]
-        self.seen += len(bit)
+        self.seen += float(seen.sum())
+        add = np.uint32(1) if times is None else times.astype(np.uint32)
+        for counts, slot in zip(self.counts, slots):
+            np.add.at(counts, slot.astype(np.int64) * 2 + bit, add)
 
     def pieces(self):
         """(kind, block, values) that add up over tasks; blocks of zeros are left out."""
@@ -197,17 +283,25 @@ class Learner:
         yield -2, 0, self.map.ravel()
 
 
+def _mixed(weights: np.ndarray, gate: np.ndarray, odds: list[np.ndarray]) -> np.ndarray:
+    x = weights[0][gate] * odds[0]
+    for k in range(1, len(odds)):
+        x += weights[k][gate] * odds[k]
+    return x
+
+
 class Model:
     """The merged model, ready to score."""
 
-    def __init__(self, codes: Codes, pieces: dict[tuple[int, int], np.ndarray]):
-        self.codes = codes
+    def __init__(self, codes: Codes, pieces: dict[tuple[int, int], np.ndarray], known_share: float = 0.0, n_words: int = 0):
+        """known_share: the weight of a word's share among the ``n_words`` training words."""
+        self.codes, self.known_share, self.n_words = codes, known_share, n_words
         counts = [np.zeros(2 * n) for n in table_sizes()]
         for (kind, block), part in pieces.items():
             if kind >= 0:
                 counts[kind][block * 2 * BLOCK : block * 2 * BLOCK + len(part)] = part
         self.odds = [log_odds(c) for c in counts]
-        shape = (GATES, 1 + len(ORDERS))
+        shape = (GATES, 1 + len(BITS))
         mix = pieces.get((-1, 0), np.zeros(GATES * shape[1] + 1))
         weights = mix[:-1].reshape(shape) / mix[-1] if mix[-1] else np.full(shape, 1.0 / shape[1])
         self.weights = np.ascontiguousarray(weights.T, np.float32)
@@ -216,116 +310,207 @@ class Model:
         trust = 32.0
         self.map = ((table[:, 1] + trust * np.tile(centre, GATES)) / (table[:, 0] + trust)).astype(np.float32)
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of every text (bytes, letters already folded)."""
-        out = np.zeros(len(texts))
-        for low, high in slices_of([len(t) for t in texts], SLICE):
-            slots, bit, first = decisions(texts[low:high], self.codes)
-            odds = [t[s] for t, s in zip(self.odds, slots)]
-            gate = _gate(odds)
-            x = self.weights[0][gate] * odds[0]
-            for k in range(1, len(odds)):
-                x += self.weights[k][gate] * odds[k]
-            place = gate.astype(np.uint16) * np.uint16(MAP) + _bucket(x)
-            p = np.exp(-x)
-            p += 1
-            np.reciprocal(p, out=p)
-            p += self.map[place]
-            p *= np.float32(0.5)
-            p = np.abs(p - (1 - bit).astype(np.float32))
-            out[low:high] = np.add.reduceat(np.log(np.maximum(p, np.float32(1e-6))), first, dtype=np.float64)
-        return out / np.log(10)
-
-
-def slices_of(sizes: list[int], most: int):
-    """Ranges of consecutive items whose sizes add up to ``most``, or single larger items."""
-    low = 0
-    while low < len(sizes):
-        high, total = low, 0
-        while high < len(sizes) and (high == low or total + sizes[high] <= most):
-            total += sizes[high]
-            high += 1
-        yield low, high
-        low = high
-
-
-def _bodies(column) -> list[bytes]:
-    unpack = zstandard.ZstdDecompressor()
-    return [unpack.decompress(b.as_py()) for b in column]
-
-
-def ingest(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: documents by chunk, words of each chunk, and pairs of bytes.
-
-    Rows: chunk, doc_id, held, n_tokens, body (documents); chunk, token, n
-    (training count of a word in a chunk; 0 for words of held-out texts); pairs.
-    """
-    names = ["chunk", "doc_id", "held", "n_tokens", "body", "token", "n", "pairs"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-
-    def rows(count, **columns):
-        return pa.RecordBatch.from_arrays([pa.array(columns[n], k) if n in columns else pa.nulls(count, k) for n, k in zip(names, kinds)], names)
+    def logs(self, slots, bit, first) -> tuple[np.ndarray, np.ndarray]:
+        """Natural logarithms of each symbol's first decision, and of its others."""
+        odds = [t[s] for t, s in zip(self.odds, slots)]
+        gate = _gate(odds)
+        x = _mixed(self.weights, gate, odds)
+        place = gate.astype(np.uint16) * np.uint16(MAP) + _bucket(x)
+        p = np.exp(-x)
+        p += 1
+        np.reciprocal(p, out=p)
+        p += self.map[place]
+        p *= np.float32(0.5)
+        np.clip(p, FLOOR, 1 - FLOOR, out=p)
+        p -= (1 - bit).astype(np.float32)
+        log = np.log(np.abs(p, out=p), out=p)
+        head = log[first].astype(np.float64)
+        return head, np.add.reduceat(log, first, dtype=np.float64) - head
+
+    def score(self, words: Words, ids: np.ndarray, ends: np.ndarray, before: np.ndarray, before_end: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the probability of every word with the separator after it; counts: in training, by id."""
+        # Every different (word, separator) is evaluated once.
+        key = ids << 3 | _NUMBER[ends]
+        there = np.zeros(len(words) << 3, bool)
+        there[key] = True
+        there.reshape(-1, 8)[words.size == 0] = False
+        units = np.flatnonzero(there)
+        inside, after = np.zeros(len(units) + 1), np.zeros(len(units) + 1)
+        for own, prev, sym, three, run, end in word_blocks(words, units >> 3, _SEPARATOR[units & 7]):
+            head, rest = self.logs(*_slots(self.codes, prev, sym, three, run))
+            low, n = int(own[0]), int(own[-1] - own[0] + 1)
+            inside[low : low + n] += np.bincount(own - low, np.where(end, head, head + rest), n)
+            after[own[end]] = rest[end]
+        unit = (np.cumsum(there, dtype=np.int32) - 1)[key]
+        unit[words.size[ids] == 0] = len(units)
+        out, share = np.empty(len(ids)), np.full(len(words), -np.inf)
+        known = counts > 0
+        with np.errstate(divide="ignore"):
+            share[known] = np.log(self.known_share) + np.log(counts[known] / max(1, self.n_words))
+            other = np.log1p(-self.known_share)
+        for at in range(0, len(ids), BLOCK_SYMBOLS):
+            some = slice(at, at + BLOCK_SYMBOLS)
+            head, rest = self.logs(*word_starts(self.codes, words, ids[some], ends[some], before[some], before_end[some]))
+            whole = words.size[ids[some]] > 0
+            mixed = np.logaddexp(share[ids[some]], other + rest + inside[unit[some]])
+            out[some] = head + np.where(whole, mixed + after[unit[some]], rest)
+        return out
+
+
+def _packer():
+    return zstandard.ZstdCompressor(level=1)
+
+
+def _unpacked(body: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(body)
+
+
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Numbers by byte planes, so that the upper zeros lie together."""
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def _from_planes(body: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+class Chunk:
+    """Texts of about CHUNK_BYTES as ids of their common vocabulary."""
+
+    def __init__(self):
+        self.vocabulary: defaultdict[bytes, int] = defaultdict()
+        self.vocabulary.default_factory = self.vocabulary.__len__
+        assert self.vocabulary[END] == 0 and self.vocabulary[EMPTY] == 1
+        self.doc_ids, self.held, self.sizes, self.ids, self.ends, self.bytes = [], [], [], [], [], 0
+
+    def add(self, doc_id: int | None, held: bool, text: bytes) -> None:
+        split = text.translate(_TO_SPACE).split(b" ")
+        self.ids.append(np.fromiter(map(self.vocabulary.__getitem__, split), np.uint32, len(split)))
+        data = np.frombuffer(text, np.uint8)
+        self.ends += [data[_IS_SPACE[data]], np.zeros(1, np.uint8)]  # zero stands for the end
+        self.doc_ids.append(doc_id)
+        self.held.append(held)
+        self.sizes.append(len(split))
+        self.bytes += len(text)
+
+    def rows(self, chunk: int, ranges: int):
+        """(chunk, range, docs, held, a, b, c, d): the texts with range -1, and the vocabulary by ranges of words."""
+        pack = _packer()
+        blob = b"\n".join(self.vocabulary) + b"\n"
+        words, ids = Words(blob), np.concatenate(self.ids)
+        yield chunk, -1, self.doc_ids, self.held, *(pack.compress(x) for x in (np.array(self.sizes, "<u4").tobytes(), _planes(ids, "<u4"), np.concatenate(self.ends).tobytes(), blob))
+        train = np.repeat(~np.array(self.held), self.sizes)
+        counts = np.bincount(ids[train], minlength=len(words))
+        counts[0], counts[1] = len(self.held) - sum(self.held), 0
+        place = (words.hash[:-1] >> np.uint64(20)) % np.uint64(ranges)
+        order = np.argsort(place, kind="stable")
+        order = order[order != 1]
+        cuts = np.searchsorted(place[order], np.arange(ranges + 1))
+        listed = list(self.vocabulary)
+        for r in range(ranges):
+            own = order[cuts[r] : cuts[r + 1]]
+            if len(own):
+                yield chunk, r, None, None, pack.compress(b"\n".join([listed[i] for i in own.tolist()])), pack.compress(_planes(own, "<u4")), pack.compress(_planes(counts[own], "<u4")), None
+
+
+_INGESTED = pa.schema([
+    ("chunk", pa.int64()), ("range", pa.int32()), ("docs", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
+    ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("pairs", pa.binary()),
+])
+
+
+def ingest(docs: DataFrame, ranges: int) -> DataFrame:
+    """One pass over the texts: chunks of texts, their words by range, and pairs of neighbouring bytes in training texts."""
 
     def run(batches):
-        pack, part = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
-        chunk, size, words, pairs = part << 24, 0, {}, np.zeros(SYMBOLS * SYMBOLS, np.int64)
+        chunk, part, n = Chunk(), TaskContext.get().partitionId(), 0
+        pairs, train, size = np.zeros(SYMBOLS * SYMBOLS, np.int64), [], 0
 
-        def vocabulary():
-            return rows(len(words), chunk=[chunk] * len(words), token=list(words), n=list(words.values()))
+        def out():
+            for row in chunk.rows(part << 24 | n, ranges):
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*row, None), _INGESTED)], schema=_INGESTED)
 
         for batch in batches:
-            ids, held = batch.column("doc_id").to_pylist(), batch.column("held").to_pylist()
-            texts = [(t.as_py() or "").encode("utf-8", "surrogatepass").lower() for t in batch.column("text")]
-            for low, high in slices_of([len(t) for t in texts], SLICE):
-                train = [t for t, h in zip(texts[low:high], held[low:high]) if not h]
-                if train:
-                    s, _ = lay_out(train)
-                    pairs += np.bincount(s[:-1].astype(np.int64) * SYMBOLS + s[1:], minlength=len(pairs))
-                counts = []
-                for text, h in zip(texts[low:high], held[low:high]):
-                    own = text.split()
-                    own.append(END)
-                    counts.append(len(own))
-                    if h:
-                        for w in own:
-                            words.setdefault(w, 0)
-                    else:
-                        for w in own:
-                            words[w] = words.get(w, 0) + 1
-                size += sum(len(t) for t in texts[low:high])
-                yield rows(high - low, chunk=[chunk] * (high - low), doc_id=ids[low:high], held=held[low:high], n_tokens=counts, body=[pack.compress(t) for t in texts[low:high]])
-                if size >= CHUNK_BYTES:
-                    yield vocabulary()
-                    chunk, size, words = chunk + 1, 0, {}
-        if words:
-            yield vocabulary()
-        yield rows(1, pairs=[pack.compress(pairs.tobytes())])
+            for doc_id, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), batch.column("text")):
+                text = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
+                chunk.add(doc_id, held, text)
+                if not held:
+                    count_pairs(text, pairs)
+                if chunk.bytes >= CHUNK_BYTES:
+                    yield from out()
+                    chunk, n = Chunk(), n + 1
+        if chunk.sizes:
+            yield from out()
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((None,) * 8 + (_packer().compress(pairs.tobytes()),), _INGESTED)], schema=_INGESTED)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc32_of_id(F.col("doc_id")) % 7 == 2).alias("held"), "text")
-    return source.mapInArrow(run, "chunk long, doc_id long, held boolean, n_tokens long, body binary, token binary, n long, pairs binary")
+    return source.mapInArrow(run, "chunk long, range int, docs array<long>, held array<boolean>, a binary, b binary, c binary, d binary, pairs binary")
+
+
+def vocabulary_totals(ranges: DataFrame, n: int) -> DataFrame:
+    """Training counts of every chunk's words over all chunks: (chunk, pos, totals), and sums per range in stats.
+
+    A range of words is one task; its size follows from RANGE_BYTES, and every
+    chunk sends a word once however often it occurs, so no word is a hot key.
+    """
+
+    def run(batches):
+        known: defaultdict[bytes, int] = defaultdict()
+        known.default_factory = known.__len__
+        asked, total, pack = [], np.zeros(1 << 16, np.int64), _packer()
+        for batch in batches:
+            for chunk, a, pos, c in zip(*(batch.column(k).to_pylist() for k in ("chunk", "a", "b", "c"))):
+                words = _unpacked(a).split(b"\n")
+                ids = np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
+                while len(known) > len(total):
+                    total = np.concatenate([total, np.zeros_like(total)])
+                total[ids] += _from_planes(_unpacked(c), "<u4")  # a word occurs once in a request
+                asked.append((chunk, ids, pos))
+        for chunk, ids, pos in asked:
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([pos], pa.binary()), pa.array([pack.compress(_planes(total[ids], "<u8"))], pa.binary()), pa.nulls(1, pa.list_(pa.int64()))], ["chunk", "pos", "totals", "stats"])
+        if known:
+            own, end = total[: len(known)], known.get(END)
+            texts = int(own[end]) if end is not None else 0
+            once = int((own == 1).sum()) - (texts == 1)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([[int(own.sum()), int((own > 0).sum()), texts, once]], pa.list_(pa.int64()))], ["chunk", "pos", "totals", "stats"])
+
+    return by_bucket(ranges, "range", n).select("chunk", "a", "b", "c").mapInArrow(run, "chunk long, pos binary, totals binary, stats array<long>")
+
+
+def opened(words_blob: bytes, sizes: bytes, ids: bytes, ends: bytes):
+    """A chunk's vocabulary, sizes of its texts, and per word: id, separator after it, and the word and separator before it."""
+    words, sizes = Words(words_blob), np.frombuffer(sizes, "<u4").astype(np.int64)
+    ids, ends = _from_planes(ids, "<u4").astype(np.int64), np.frombuffer(ends, np.uint8).astype(np.uint16)
+    ends[ends == 0] = EDGE
+    before, before_end = np.roll(ids, 1), np.roll(ends, 1)
+    starts = np.cumsum(sizes) - sizes
+    before[starts], before_end[starts] = len(words), EDGE
+    return words, sizes, ids, ends, before, before_end
 
 
 def _added(frame: DataFrame, keys: list[str]) -> DataFrame:
     """Sum packed arrays of doubles by ``keys``."""
 
     def add(group: pa.Table) -> pa.Table:
-        total, pack = 0, zstandard.ZstdCompressor(level=1)
-        for body in _bodies(group.column("body")):
-            total = total + np.frombuffer(body, np.float64)
-        return pa.table([*(group.column(k)[:1] for k in keys), pa.array([pack.compress(total.tobytes())], pa.binary())], names=[*keys, "body"])
+        total = 0
+        for body in group.column("body"):
+            total = total + np.frombuffer(_unpacked(body.as_py()), np.float64)
+        return pa.table([*(group.column(k)[:1] for k in keys), pa.array([_packer().compress(total.tobytes())], pa.binary())], names=[*keys, "body"])
 
     fields = {"kind": "int", "block": "int", "lane": "int"}
     return frame.groupBy(*keys).applyInArrow(add, ", ".join(f"{k} {fields[k]}" for k in keys) + ", body binary")
 
 
-def train(documents: DataFrame, pairs: DataFrame) -> Model:
-    """Fit the model on rows (held, body) from ``ingest``; its size doesn't depend on theirs."""
+def train(chunks: DataFrame, pairs: DataFrame) -> tuple[Codes, dict]:
+    """Code trees and merged tables from the training texts of ``chunks``; their size doesn't depend on the input's."""
     # A table of 257 by 257 counts per task, added up in two steps.
     def total(batches):
         out = np.zeros(SYMBOLS * SYMBOLS, np.int64)
         for batch in batches:
-            for body in _bodies(batch.column(0)):
-                out += np.frombuffer(body, np.int64)
+            for body in batch.column(0):
+                out += np.frombuffer(_unpacked(body.as_py()), np.int64)
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["pair", "n"])
 
@@ -333,13 +518,15 @@ def train(documents: DataFrame, pairs: DataFrame) -> Model:
     table = np.zeros(SYMBOLS * SYMBOLS, np.int64)
     table[got["pair"]] = got["n"]
     codes = build_codes(table.reshape(SYMBOLS, SYMBOLS))
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(codes)
+    shared = chunks.sparkSession.sparkContext.broadcast(codes)
 
     def learn(batches):
-        learner, pack = Learner(shared.value), zstandard.ZstdCompressor(level=1)
+        learner, pack = Learner(shared.value), _packer()
         for batch in batches:
-            learner.learn_all(_bodies(batch.column(0)))
+            for held, *bodies in zip(*(batch.column(k) for k in ("held", "d", "a", "b", "c"))):
+                words, sizes, *arrays = opened(*(_unpacked(x.as_py()) for x in bodies))
+                taught = np.repeat(~np.array(held.as_py(), bool), sizes)
+                learner.learn(words, *(x[taught] for x in arrays))
         if learner.slices:
             lane = TaskContext.get().partitionId() % 64
             for kind, block, values in learner.pieces():
@@ -348,9 +535,20 @@ def train(documents: DataFrame, pairs: DataFrame) -> Model:
                     ["kind", "block", "lane", "body"],
                 )
 
-    learned = documents.where("not held").select("body").mapInArrow(learn, "kind int, block int, lane int, body binary")
+    learned = chunks.select("held", "a", "b", "c", "d").mapInArrow(learn, "kind int, block int, lane int, body binary")
     merged = _added(_added(learned, ["kind", "block", "lane"]), ["kind", "block"]).collect()  # of fixed size
-    return Model(codes, {(r["kind"], r["block"]): np.frombuffer(zstandard.ZstdDecompressor().decompress(r["body"]), np.float64) for r in merged})
+    return codes, {(r["kind"], r["block"]): np.frombuffer(_unpacked(r["body"]), np.float64) for r in merged}
+
+
+def known_share(once: int, n_words: int) -> float:
+    """Weight of the corpus counts: half the chance that the next word is known, by the share of words that occur once (Good and Turing)."""
+    return max(0.0, 1 - (once + 1) / (n_words + 1)) / 2
+
+
+_REPORT = pa.schema([
+    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
+    ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64()),
+])
 
 
 def score_report(docs: DataFrame) -> DataFrame:
@@ -361,38 +559,47 @@ def score_report(docs: DataFrame) -> DataFrame:
     the folded text's bytes and its end.  Rows whose crc32(doc_id) mod 7 is 2
     are scored but never learned from.  Null texts count as empty, null ids as
     the empty text for that remainder.  Without any training rows all decisions
-    are even.  Repeated rows each get a row and count each time; an empty table
+    are even.  A long text is scored in blocks, so it needs a small multiple of
+    its size.  Repeated rows each get a row and count each time; an empty table
     gives none; further columns are ignored.
     """
     spark = docs.sparkSession
-    rows = materialize(ingest(docs), "ingested")
-    documents = rows.where("body is not null").select("chunk", "doc_id", "held", "n_tokens", "body")
-    words = rows.where("token is not null").select("chunk", "token", "n")
-    # A word has at most one row per chunk and task, so no word is a hot key.
-    by_word = Window.partitionBy("token")
-    vocabulary = materialize(
-        words.select("chunk", "token", F.sum("n").over(by_word).alias("c"), (F.row_number().over(by_word.orderBy("chunk")) == 1).alias("first")), "vocabulary"
-    )
-    known = vocabulary.where("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    n_train, n_distinct = int(known[0]), int(known[1])
-    model = spark.sparkContext.broadcast(train(documents, rows.where("pairs is not null").select("pairs")))
-
-    def scored(texts: pa.Table, own: pa.Table) -> pa.Table:
-        counts = dict(zip(own.column("token").to_pylist(), own.column("c").to_pylist()))
-        base, known, bits, scores = [], [], [], []
-        for at in range(0, texts.num_rows, 256):
-            bodies = _bodies(texts.column("body")[at : at + 256])
-            for text in bodies:
-                c = np.array([*map(counts.__getitem__, text.split()), counts[END]], np.float64)
-                base.append(float(np.log10(c + 1).sum() - len(c) * np.log10(n_train + n_distinct + 1)))
-                known.append(int((c > 0).sum()))
-            some = model.value.score(bodies)
-            scores += some.tolist()
-            bits += (-some / np.log10(2) / np.array([max(1, len(b)) for b in bodies])).tolist()
-        columns = [texts.column("doc_id"), texts.column("held"), texts.column("n_tokens"), pa.array(known, pa.int64()), pa.array([n_train] * len(known), pa.int64())]
-        return pa.table([*columns, pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], names=names)
-
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
-    return documents.groupBy("chunk").cogroup(vocabulary.select("chunk", "token", "c").groupBy("chunk")).applyInArrow(
-        scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    )
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(partitions(spark), -(-size // RANGE_BYTES))
+    rows = materialize(ingest(docs, ranges), "ingested")
+    chunks = rows.where("range = -1").select("chunk", "docs", "held", "a", "b", "c", "d")
+    totals = materialize(vocabulary_totals(rows.where("range >= 0"), ranges), "vocabulary")
+    s = totals.where("stats is not null").agg(*[F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(4)]).first()
+    n_train, n_distinct, n_words, once = int(s[0]), int(s[1]), int(s[0] - s[2]), int(s[3])
+    codes, pieces = train(chunks, rows.where("pairs is not null").select("pairs"))
+    model = spark.sparkContext.broadcast(Model(codes, pieces, known_share(once, n_words), n_words))
+
+    def scored(batches):
+        own: list[tuple[bytes, bytes]] = []
+        for batch in batches:
+            for kind, ids, held, *bodies in zip(*(batch.column(k) for k in ("kind", "docs", "held", "d", "a", "b", "c"))):
+                bodies = [x.as_py() for x in bodies]
+                if kind.as_py() == 0:  # counts of some of the next chunk's words
+                    own.append((bodies[1], bodies[2]))
+                    continue
+                words, sizes, *arrays = opened(*map(_unpacked, bodies))
+                counts = np.zeros(len(words), np.int64)
+                for pos, total in own:
+                    counts[_from_planes(_unpacked(pos), "<u4")] = _from_planes(_unpacked(total), "<u8")
+                own = []
+                starts, c, real = np.cumsum(sizes) - sizes, counts[arrays[0]], words.size[arrays[0]] > 0
+                tokens = np.add.reduceat(real.astype(np.int64), starts) + 1
+                base = np.add.reduceat(np.where(real, np.log10(c + 1.0), 0.0), starts) + np.log10(counts[0] + 1.0) - tokens * np.log10(n_train + n_distinct + 1)
+                known = np.add.reduceat((real & (c > 0)).astype(np.int64), starts) + (counts[0] > 0)
+                score = np.add.reduceat(model.value.score(words, *arrays, counts), starts) / np.log(10)
+                length = np.maximum(1, np.add.reduceat(words.size[arrays[0]], starts) + sizes - 1)
+                columns = (ids.values, held.values, tokens, known, np.full(len(sizes), n_train), base, score, -score / np.log10(2) / length)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if isinstance(x, np.ndarray) else x for x, f in zip(columns, _REPORT)], schema=_REPORT)
+
+    # A chunk meets its counts in the task of the input partition that it came from.
+    parts = int(rows.agg(F.max("chunk")).first()[0] or 0) >> 24
+    answers = totals.where("stats is null").select("chunk", F.lit(0).alias("kind"), F.col("pos").alias("a"), F.col("totals").alias("b"))
+    both = chunks.withColumn("kind", F.lit(1)).unionByName(answers, allowMissingColumns=True).withColumn("part", F.shiftrightunsigned("chunk", 24).cast("int"))
+    together = by_bucket(both, "part", parts + 1).sortWithinPartitions("chunk", "kind")
+    fields = ", ".join(f"{n} {t}" for n, t in zip(_REPORT.names, ("long", "boolean", "long", "long", "long", "double", "double", "double")))
+    return together.select("kind", "docs", "held", "a", "b", "c", "d").mapInArrow(scored, fields)

@@ -333,62 +333,161 @@ def test_lm_base_score_and_held_out(spark, docs, texts, odd, empty):
     assert mixing.score_report(empty).count() == 0
 
 
-def test_lm_is_a_distribution():
-    """Probabilities of all next symbols add up to one, whatever the model holds."""
-    texts = [b"the cat sat on the mat", b"the dog sat"] * 40
-    pairs = np.zeros(mixing.SYMBOLS**2, np.int64)
-    s, _ = mixing.lay_out(texts)
-    pairs += np.bincount(s[:-1].astype(np.int64) * mixing.SYMBOLS + s[1:], minlength=len(pairs))
+def small_model(texts):
+    """A chunk of texts, its arrays, and a learner that has seen it."""
+    chunk, pairs = mixing.Chunk(), np.zeros(mixing.SYMBOLS**2, np.int64)
+    for i, t in enumerate(texts):
+        chunk.add(i, False, t)
+        mixing.count_pairs(t, pairs)
+    row = next(chunk.rows(0, 2))
+    words, sizes, *arrays = mixing.opened(*(mixing._unpacked(row[k]) for k in (7, 4, 5, 6)))
     learner = mixing.Learner(mixing.build_codes(pairs.reshape(mixing.SYMBOLS, -1)))
-    for t in texts:
-        learner.learn([t])
+    return words, sizes, arrays, learner
+
+
+def drawn_texts(n=60, size=400):
+    draw = np.random.default_rng(5)
+    words = [bytes(draw.integers(97, 123, int(k)).tolist()) for k in draw.integers(1, 9, 300)]
+    return [b" ".join(words[i] for i in draw.zipf(1.3, size) % 300) for _ in range(n)] + [b"", b" ", b"a\n\n b ", "é 日".encode() + bytes(range(256))]
+
+
+def test_lm_is_a_distribution():
+    """Probabilities of all next symbols add up to one in any context, as do those of the known words."""
+    words, sizes, arrays, learner = small_model(drawn_texts())
+    learner.learn(words, *arrays)
     model = mixing.Model(learner.codes, {(k, b): v for k, b, v in learner.pieces()})
-    total = 10 ** float(model.score([b""])[0])
-    starts = model.score([bytes([b]) for b in range(256)])  # a byte, then the end
-    ends = model.score([b"th"])
-    assert total < 1 and (10**starts).sum() < 1 and ends[0] < 0
-    slots, bit, first = mixing.decisions([b"the cat"], learner.codes)
-    other = mixing.decisions([b"zzz", b"the cat"], learner.codes)
-    assert all((a == b[other[2][1] :]).all() for a, b in zip(slots, other[0]))  # nothing leaks from the text before
+    every = np.arange(mixing.SYMBOLS)
+    for prev, three, word in ((97, 5, 7), (256, 0, 0), (32, 1 << 40, 3), (255, 9, 9)):
+        full = [np.full(mixing.SYMBOLS, x, np.uint64) for x in (three, word)]
+        head, rest = model.logs(*mixing._slots(learner.codes, np.full(mixing.SYMBOLS, prev), every, *full))
+        assert np.exp(head + rest).sum() == pytest.approx(1, abs=1e-6)
+        ends = np.isin(every, [*mixing.SPACES, mixing.EDGE])
+        assert np.exp(rest[ends]).sum() == pytest.approx(1, abs=1e-6) and np.exp(rest[~ends]).sum() == pytest.approx(1, abs=1e-6)
+    counts = np.bincount(arrays[0], minlength=len(words))
+    counts[:2] = 0
+    model.known_share, model.n_words = 0.4, int(counts.sum())
+    assert (counts / model.n_words).sum() == pytest.approx(1)
+
+
+def plain_score(model, text, counts):
+    """log of a text's probability, one decision after the other."""
+    mask, seps = (1 << 64) - 1, [*mixing.SPACES]
+    power = [int(x) for x in mixing._POWER]
+
+    def total(word):
+        return sum((b + 1) * power[k] for k, b in enumerate(word)) & mask
+
+    def path(prev, sym, three, word):
+        code, out = prev * mixing.SYMBOLS + sym, []
+        for k in range(int(model.codes.start[code]), int(model.codes.start[code] + model.codes.size[code])):
+            node, bit = int(model.codes.node[k]), int(model.codes.bit[k])
+            slots = [node]
+            for key, bits in ((three, mixing.BITS[0]), (word, mixing.BITS[1])):
+                context = (key * int(mixing._HASH[0]) & mask) >> 32
+                slots.append((((context ^ (node * int(mixing._HASH[2]) & 0xFFFFFFFF)) * int(mixing._HASH[1])) & 0xFFFFFFFF) >> (32 - bits))
+            odds = [float(t[i]) for t, i in zip(model.odds, slots)]
+            gate = int(min(abs(odds[2]) * 1.6, 7)) * 8 + int(min(abs(odds[1]) * 1.6, 7))
+            x = sum(float(model.weights[k][gate]) * o for k, o in enumerate(odds))
+            p = (1 / (1 + math.exp(-x)) + float(model.map[gate * mixing.MAP + int((min(max(x, -7.99), 7.99) + 8.25) * 2)])) / 2
+            p = min(max(p, 1e-6), 1 - 1e-6)
+            out.append(math.log(p if bit else 1 - p))
+        return out
+
+    out, before, before_end, at = 0.0, None, mixing.EDGE, 0
+    for word in re.split(rb"[\x20\x09-\x0D]", text):
+        at += len(word) + 1
+        end = text[at - 1] if at <= len(text) else mixing.EDGE
+        last = [before[-k] if before and len(before) >= k else mixing.EDGE for k in (1, 2)]
+        hashed = 0 if before is None else total(before) * int(mixing._HASH[0]) & mask
+        first = path(before_end, word[0] if word else end, before_end | last[0] << 9 | last[1] << 18 | 1 << 40, (hashed + before_end * 0x2545F4914F6CDD1D) & mask)
+        if word:
+            inside, after = sum(first[1:]), 0.0
+            for k in range(1, len(word) + 1):
+                seen = [word[k - j] if k >= j else mixing.EDGE for j in (1, 2, 3)]
+                own = path(word[k - 1], word[k] if k < len(word) else end, seen[0] | seen[1] << 9 | seen[2] << 18, total(word[:k]))
+                inside += own[0] if k == len(word) else sum(own)
+                after = sum(own[1:])
+            share = counts.get(word, 0) / max(1, model.n_words)
+            out += first[0] + math.log(model.known_share * share + (1 - model.known_share) * math.exp(inside)) + after
+        else:
+            out += sum(first)
+        before, before_end = word, end
+    return out
 
 
-# -- 8 SimHash
+def test_lm_score_against_plain_version():
+    texts = drawn_texts(20, 60)
+    words, sizes, arrays, learner = small_model(texts)
+    learner.learn(words, *arrays)
+    counts = np.bincount(arrays[0], minlength=len(words))
+    counts[:2] = 0
+    counts[5:40] = 0  # as if never seen in training
+    model = mixing.Model(learner.codes, {(k, b): v for k, b, v in learner.pieces()}, 0.4, int(counts.sum()))
+    got = np.add.reduceat(model.score(words, *arrays, counts), np.cumsum(sizes) - sizes)
+    listed = bytes(words.data).split(b"\n")
+    named = {listed[i]: int(n) for i, n in enumerate(counts) if n}
+    for t, g in zip(texts, got):
+        assert g == pytest.approx(plain_score(model, t, named), rel=2e-3, abs=2e-3)
+
 
 def test_lm_mixer_and_map_take_every_decision():
-    """Weights and map equal a plain pass over all decisions, the first slice's included."""
-    draw = np.random.default_rng(5)
-    words = [bytes(draw.integers(97, 123, 5).tolist()) for _ in range(300)]
-    texts = [b" ".join(words[i] for i in draw.zipf(1.3, 400) % 300) for _ in range(60)]
-    s, _ = mixing.lay_out(texts)
-    pairs = np.bincount(s[:-1].astype(np.int64) * mixing.SYMBOLS + s[1:], minlength=mixing.SYMBOLS**2)
-    learner = mixing.Learner(mixing.build_codes(pairs.reshape(mixing.SYMBOLS, -1)))
+    """Counts, weights and map equal a plain pass over all decisions, each weighted by how often its word occurs."""
+    words, sizes, arrays, learner = small_model(drawn_texts())
     counts = [np.zeros((n, 2)) for n in mixing.table_sizes()]
     weights, scale, seen = np.full((mixing.GATES, 3), 1 / 3), np.ones((mixing.GATES, 3)), np.zeros((mixing.GATES, mixing.MAP, 2))
     total = 0
-    for part in (texts[:1], texts[1:20], texts[20:]):
-        learner.learn(part)
-        slots, bit, _ = mixing.decisions(part, learner.codes)
-        for at in range(0, len(bit), mixing.STEP):
-            b = bit[at : at + mixing.STEP]
-            odds = [np.log((c[k, 1] + mixing.PRIOR) / (c[k, 0] + mixing.PRIOR)).astype(np.float32) for c, k in ((c, k[at : at + mixing.STEP]) for c, k in zip(counts, slots))]
-            gate = mixing._gate(odds)
-            x = sum(weights[gate, k] * o for k, o in enumerate(odds))
-            error = b - 1 / (1 + np.exp(-x))
-            for k, o in enumerate(odds):
-                step = np.bincount(gate, error * o, mixing.GATES)
-                scale[:, k] += step * step
-                weights[:, k] += 0.3 * step / np.sqrt(scale[:, k])
-            np.add.at(seen, (gate, mixing._bucket(x), b), 1)
+    for slots, bit, times in learned_blocks(learner.codes, words, arrays):
+        odds = [np.log((c[k, 1] + mixing.PRIOR) / (c[k, 0] + mixing.PRIOR)).astype(np.float32) for c, k in zip(counts, slots)]
+        gate = mixing._gate(odds)
+        x = sum(weights[gate, k] * o for k, o in enumerate(odds))
+        error = (bit - 1 / (1 + np.exp(-x))) * times
+        for k, o in enumerate(odds):
+            step = np.bincount(gate, error * o, mixing.GATES)
+            scale[:, k] += step * step
+            weights[:, k] += 0.3 * step / np.sqrt(scale[:, k])
+        np.add.at(seen, (gate, mixing._bucket(x), bit), times)
         for c, k in zip(counts, slots):
-            np.add.at(c, (k, bit), 1)
-        total += len(bit)
-    assert total > 5 * mixing.STEP and learner.seen == learner.map[:, 0].sum() == total
+            np.add.at(c, (k, bit), times)
+        total += times.sum()
+    learner.learn(words, *arrays)
+    assert learner.seen == learner.map[:, 0].sum() == total
+    assert all((own.reshape(-1, 2) == c).all() for own, c in zip(learner.counts, counts))
     assert np.allclose(learner.weights, weights, atol=1e-3)
     got = learner.map.reshape(mixing.GATES, mixing.MAP, 2)
     assert np.abs(got[..., 0] - seen.sum(-1)).sum() < total / 100  # rounding moves few decisions to the next bucket
     assert got[..., 1].sum() == seen[..., 1].sum()
 
 
+def learned_blocks(codes, words, arrays):
+    """Decisions of all words, in the order of the learner's slices: what occurs twice in a slice comes once with its number."""
+    at, slices = 0, 0
+    while at < len(arrays[0]):
+        to = at + (1 << 12 + slices)
+        ids, ends, before, before_end = (x[at:to] for x in arrays)
+        seen = Counter((int(i), int(e)) for i, e in zip(ids, ends) if words.size[i])
+        order = sorted(seen, key=lambda k: (k[0], int(mixing._NUMBER[k[1]])))
+        times = np.array([seen[k] for k in order])
+        for own, prev, sym, three, run, _ in mixing.word_blocks(words, *(np.array(x) for x in zip(*order))):
+            slots, bit, first = mixing._slots(codes, prev, sym, three, run)
+            yield slots, bit, np.repeat(times[own], np.diff(np.append(first, len(bit))))
+        for k in range(0, len(ids), mixing.BLOCK_SYMBOLS):
+            slots, bit, _ = mixing.word_starts(codes, words, *(x[k : k + mixing.BLOCK_SYMBOLS] for x in (ids, ends, before, before_end)))
+            yield slots, bit, np.ones(len(bit))
+        at, slices = to, slices + 1
+
+
+def test_lm_one_very_long_word():
+    """A word far above PART is evaluated in parts, and each of its symbols once."""
+    words, sizes, arrays, learner = small_model([b"x" * 50_000 + b" y", b"ab" * 3000])
+    n = sum(len(own) for own, *_ in mixing.word_blocks(words, arrays[0][words.size[arrays[0]] > 0], arrays[1][words.size[arrays[0]] > 0]))
+    assert n == 50_000 + 1 + 6000
+    learner.learn(words, *arrays)
+    model = mixing.Model(learner.codes, {(k, b): v for k, b, v in learner.pieces()})
+    assert (model.score(words, *arrays, np.zeros(len(words))) < 0).all()
+
+
+# -- 8 SimHash
+
 def brute_simhash(text):
     ws = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()))
     grams = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] if len(ws) >= 3 else ([b" ".join(ws)] if ws else [])
