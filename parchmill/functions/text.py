@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # Line breaks and white space as the text model counts them.
-LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}]"
+BREAKS = r"\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}"
+WITHIN_LINE = rf"(?U)[\s\x1F&&[^{BREAKS}]]+"
 WHITE = r"(?U)[\s\x1C-\x1F]+"
 TOKENS_PER_WORD = 1.35
 
@@ -32,9 +33,9 @@ def collapse(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """NFKC without soft hyphens, white space collapsed per line, empty lines dropped."""
-    lines = F.split(F.regexp_replace(nfkc(text), "­", ""), LINE_BREAK)
-    return F.array_join(F.filter(F.transform(lines, collapse), lambda x: x != ""), "\n")
+    """NFKC without soft hyphens, white space collapsed per line, empty lines dropped; two passes over the text."""
+    level = F.regexp_replace(F.replace(nfkc(text), F.lit("\u00ad"), F.lit("")), WITHIN_LINE, " ")
+    return F.btrim(F.regexp_replace(level, rf" ?(?:[{BREAKS}] ?)+", "\n"), F.lit(" \n"))
 
 
 def clean_value(text: Column) -> Column:
@@ -71,6 +72,8 @@ def chunk_id(document_id: Column, ordinal: Column) -> Column:
     return F.format_string("%s-%04d", F.regexp_replace(document_id, r"[^A-Za-z0-9_\-=]", "_"), ordinal.cast("int"))
 
 
-def breadcrumb(name: Column, path: Column) -> Column:
-    """Document name and path parts that differ from it."""
-    return F.array_join(F.concat(F.array(name), F.filter(path, lambda p: F.lower(p) != F.lower(name))), " > ")
+def breadcrumb(name: Column, path: Column, maximum: int) -> Column:
+    """Document name and path parts that differ from it, cut at half of ``maximum`` tokens."""
+    line = F.array_join(F.concat(F.array(name), F.filter(path, lambda p: F.lower(p) != F.lower(name))), " > ")
+    most = max(1, maximum // 2)
+    return F.when(token_estimate(line) <= most, line).otherwise(truncate_tokens(line, most))

@@ -1,8 +1,11 @@
 """Sections and token-bounded chunks.
 
 Section windows are native.  The greedy fold over a document's sections depends
-on what it has assembled so far, so it runs in one Arrow pass per document; a
-document's blocks are its unit and no other grouping is needed.
+on what it has assembled so far (overlap is taken from the chunk before), so it
+runs in one Arrow pass per document; a document's blocks are its unit and no
+other grouping is needed.  Sizes are estimated from words, and joined parts are
+always separated by white space, so a joined text has the sum of its parts'
+words and the fold works on word counts alone.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 # Defaults of the chunk settings and the markers of cut text.
 TARGET, OVERLAP, MAXIMUM = 800, 120, 1200
-BELOW, AGAIN = "\n(continued below)", "(continued) "
+BELOW, AGAIN = "(continued below)", "(continued)"
 _SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 
 
@@ -50,88 +53,176 @@ def islands(rows: DataFrame, group: str, pos: str | list[str], value: Column) ->
     return rows.withColumn("__value", value).withColumn("__new", new).withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__value", "__new")
 
 
-def greedy_groups(values: Column, limit: int) -> Column:
-    """Group number of every value: a group takes values in order while their sum stays within ``limit``."""
-    start = F.struct(F.lit(0).alias("group"), F.lit(0).cast("long").alias("sum"), F.array().cast("array<int>").alias("out"))
+def greedy_pack(rows: DataFrame, group: str, order: str, value: str, limit: int, name: str = "pack") -> DataFrame:
+    """``rows`` with a group number: a group takes values in order while their sum stays within ``limit``.
+
+    The rows of a key meet in one partition in order, and the fold carries only
+    the running sum from row to row, so a key with many rows needs no memory.
+    """
+    columns = rows.columns
+
+    def run(batches):
+        key, total, number = run, 0, 0  # no key is equal to a function
+        for batch in batches:
+            out = []
+            for k, v in zip(batch.column(group).to_pylist(), batch.column(value).to_pylist()):
+                if k != key:
+                    key, total, number = k, v, 0
+                elif total + v <= limit:
+                    total += v
+                else:
+                    total, number = v, number + 1
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], [*columns, name])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.repartition(group).sortWithinPartitions(group, order).mapInArrow(run, f"{schema}, {name} int")
+
+
+def count(text: str) -> int:
+    return len(text.split())
 
-    def add(acc: Column, v: Column) -> Column:
-        fits = (acc["sum"] + v <= limit) | (F.size(acc["out"]) == 0)
-        group = F.when(fits, acc["group"]).otherwise(acc["group"] + 1)
-        return F.struct(group.alias("group"), F.when(fits, acc["sum"] + v).otherwise(v).cast("long").alias("sum"), F.array_append(acc["out"], group).alias("out"))
 
-    return F.aggregate(values, start, add)["out"]
+def tokens(words: int) -> int:
+    return max(1, int(words * 1.35)) if words else 0
 
 
 def estimate(text: str) -> int:
-    n = len(text.split())
-    return max(1, int(n * 1.35)) if n else 0
+    return tokens(count(text))
+
+
+def breadcrumb(name: str, path: list[str], maximum: int = MAXIMUM) -> str:
+    """Document name and the headings that differ from it, cut at half the ceiling."""
+    line = " > ".join([name, *(p for p in path if p.casefold() != name.casefold())])
+    most = max(1, maximum // 2)
+    return line if estimate(line) <= most else " ".join(line.split()[: max(1, int(most / 1.35))])
+
+
+def shared_prefix(one: list[str], two: list[str]) -> list[str]:
+    """The leading parts that both paths have."""
+    n = next((i for i, (a, b) in enumerate(zip(one, two)) if a != b), min(len(one), len(two)))
+    return one[:n]
+
+
+def runs(sizes: list[int], limit: int) -> list[slice]:
+    """Consecutive parts taken together while their words make at most ``limit`` tokens; a larger part stands alone."""
+    out, begin, total = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > begin and tokens(total + n) > limit:
+            out.append(slice(begin, i))
+            begin, total = i, 0
+        total += n
+    return [*out, slice(begin, len(sizes))] if sizes else out
+
 
+def sentences(text: str) -> list[str]:
+    return [s for s in _SENTENCE.split(text) if s.strip()]
 
-def _pack(parts: list[str], room: int, glue: str) -> list[str]:
-    """Consecutive parts joined while their estimate stays within ``room``; a larger part stands alone."""
-    out: list[str] = []
-    for p in parts:
-        joined = f"{out[-1]}{glue}{p}" if out else p
-        if out and estimate(joined) <= room:
-            out[-1] = joined
+
+def _sections(blocks: list[dict]) -> list[tuple[list[str], list[dict]]]:
+    """(path, blocks) per heading; what stands before the first heading has no path, and empty sections go."""
+    out: list[tuple[list[str], list[dict]]] = [([], [])]
+    for b in blocks:
+        if b["kind"] == "heading":
+            out.append((list(b["section_path"] or []), []))
+        else:
+            out[-1][1].append(b)
+    return [s for s in out if s[1]]
+
+
+def _pieces(blocks: list[dict], ceiling: int) -> list[tuple[str, bool, list[dict]]]:
+    """(text, was cut, blocks): list runs and single blocks, and those above the ceiling in parts.
+
+    A list run is cut between items, a text between sentences; a table never.
+    """
+    out, i = [], 0
+    while i < len(blocks):
+        j = i + 1
+        while blocks[i]["kind"] == "list_item" and j < len(blocks) and blocks[j]["kind"] == "list_item":
+            j += 1
+        own, i = blocks[i:j], j
+        texts = [b["text"] for b in own]
+        if estimate(" ".join(texts)) <= ceiling or own[0]["kind"] == "table":
+            out.append(("\n\n".join(texts), False, own))
+        elif len(own) > 1:
+            out += [("\n\n".join(texts[r]), True, own[r]) for r in runs([count(t) for t in texts], ceiling)]
         else:
-            out.append(p)
+            parts = sentences(texts[0]) or texts
+            out += [(" ".join(parts[r]), True, own) for r in runs([count(p) for p in parts], ceiling)]
     return out
 
 
-def chunk_bodies(name: str, blocks: list[dict], target: int = TARGET, overlap: int = OVERLAP, maximum: int = MAXIMUM) -> list[tuple[list[str], str]]:
-    """(path, body) of a document's chunks.
+def _tail(body: str, most: int) -> str:
+    """Whole sentences from the end of a chunk, marked, within ``most`` tokens."""
+    taken: list[str] = []
+    used = 0
+    for s in reversed(sentences(body.removesuffix(BELOW).rstrip())):
+        used += estimate(s)
+        if used > most:
+            break
+        taken.append(s)
+    return f"{AGAIN} {' '.join(reversed(taken))}" if taken else ""
+
+
+def _cut(blocks: list[dict], target: int, overlap: int, ceiling: int) -> list[tuple[str, list[dict]]]:
+    """Bodies of a section above the ceiling; sizes are those of the body alone."""
+    mark = estimate(BELOW)
+    pieces = _pieces(blocks, max(1, ceiling - mark))
+    out: list[tuple[str, list[dict]]] = []
+    for r in runs([count(p[0]) for p in pieces], max(1, target - mark)):
+        own = pieces[r]
+        body = "\n\n".join(p[0] for p in own) + (f"\n{BELOW}" if own[-1][1] else "")
+        if out and overlap:
+            lead = _tail(out[-1][0], min(overlap, ceiling - estimate(body)))
+            if lead and estimate(f"{lead} {body}") <= ceiling:
+                body = f"{lead}\n\n{body}"
+        out.append((body, [b for p in own for b in p[2]]))
+    return out
 
-    Whole sections are packed up to ``target`` while they share a path; a
-    section above ``maximum`` is cut at blocks, then at sentences, marked, and
-    continued with up to ``overlap`` tokens of whole sentences from before.
+
+def chunk_bodies(name: str, blocks: list[dict], target: int = TARGET, overlap: int = OVERLAP, maximum: int = MAXIMUM) -> list[tuple[list[str], str, list[dict]]]:
+    """(path, body, blocks) of a document's chunks.
+
+    Whole sections are packed up to ``target`` while they share the beginning
+    of their paths, which is then the chunk's path; each carries the rest of
+    its own as a line.  A section above ``maximum`` is cut at blocks, list
+    items or sentences, marked, and continued with up to ``overlap`` tokens of
+    whole sentences from before.
     """
-    sections: list[tuple[list[str], list[str]]] = []
-    for b in blocks:
-        if b["kind"] == "heading" or not sections:
-            sections.append((list(b["section_path"] or []), []))
-        if b["kind"] != "heading":
-            sections[-1][1].append(b["text"])
-    sections = [s for s in sections if s[1]]
-    groups: list[list] = []
-    for path, texts in sections:
-        if groups:
-            shared = [a for a, b in zip(groups[-1][0], path) if a == b] if groups[-1][0][:1] == path[:1] else []
-            head = estimate(" > ".join([name, *shared]))
-            if shared and groups[-1][2] + estimate("\n".join(texts)) + head <= target:
-                groups[-1] = [shared, groups[-1][1] + [(path, texts)], groups[-1][2] + estimate("\n".join(texts))]
-                continue
-        groups.append([path, [(path, texts)], estimate("\n".join(texts))])
-    out: list[tuple[list[str], str]] = []
-    for path, members, _ in groups:
-        head = estimate(" > ".join([name, *path]))
-        if len(members) > 1:
-            body = "\n\n".join("\n".join(filter(None, [" > ".join(p[len(path) :]), *texts])) for p, texts in members)
+    groups: list[tuple[list[str], list, int]] = []
+    for path, own in _sections(blocks):
+        size = tokens(sum(count(b["text"]) for b in own))
+        if groups and (common := shared_prefix(groups[-1][0], path)) and groups[-1][2] + size + estimate(breadcrumb(name, common, maximum)) <= target:
+            groups[-1] = (common, [*groups[-1][1], (path, own)], groups[-1][2] + size)
         else:
-            body = "\n".join(members[0][1])
-        if estimate(body) + head <= maximum:
-            out.append((path, body))
+            groups.append((path, [(path, own)], size))
+    out: list[tuple[list[str], str, list[dict]]] = []
+    for path, members, size in groups:
+        overhead = estimate(breadcrumb(name, path, maximum))
+        if size + overhead > maximum:
+            out += [(path, body, own) for body, own in _cut(members[0][1], max(1, target - overhead), overlap, max(1, maximum - overhead))]
             continue
-        room, units = max(1, target - head - estimate(BELOW)), []
-        for text in (t for _, texts in members for t in texts):
-            units += [text] if estimate(text) <= room else _pack(_SENTENCE.split(text), room, " ")
-        pieces, before = _pack(units, room, "\n"), ""
-        for k, piece in enumerate(pieces):
-            lead, spare = "", min(overlap, maximum - head - estimate(piece) - estimate(BELOW) - 2)
-            for s in reversed(_SENTENCE.split(before) if before else []):
-                if estimate(f"{AGAIN}{s} {lead}") > spare:
-                    break
-                lead = f"{s} {lead}".strip()
-            out.append((path, (f"{AGAIN}{lead}\n" if lead else "") + piece + (BELOW if len(pieces) > 1 else "")))
-            before = piece
+        texts = ["\n\n".join(b["text"] for b in own) for _, own in members]
+        if len(members) > 1:
+            heads = [" > ".join(p[len(path) :]) for p, _ in members]
+            texts = [f"{h}\n{t}" if h else t for h, t in zip(heads, texts)]
+        out.append((path, "\n\n".join(texts), [b for _, own in members for b in own]))
     return out
 
 
-CHUNKS = "document_id string, ordinal int, section_path array<string>, text string, embedding_text string, token_count int"
+_CHUNK = pa.schema([
+    ("document_id", pa.string()), ("ordinal", pa.int32()), ("section", pa.string()), ("section_path", pa.list_(pa.string())), ("text", pa.string()),
+    ("embedding_text", pa.string()), ("token_count", pa.int32()), ("page_number", pa.int32()), ("page_end", pa.int32()),
+])
+CHUNKS = "document_id string, ordinal int, section string, section_path array<string>, text string, embedding_text string, token_count int, page_number int, page_end int"
 
 
 def chunk_documents(documents: DataFrame, target: int = TARGET, overlap: int = OVERLAP, maximum: int = MAXIMUM) -> DataFrame:
-    """Chunks of rows (document_id, document_name, blocks); blocks hold kind, text and section_path in order."""
+    """Chunks of rows (document_id, document_name, blocks); blocks hold kind, text, section_path and maybe page_number in order.
+
+    A document without headings is its own section.  Null names fall back to
+    the id; documents without blocks have no chunks.
+    """
     if not 0 <= overlap < target <= maximum:
         raise ValueError("overlap must be below target, and target at most the maximum")
 
@@ -139,11 +230,12 @@ def chunk_documents(documents: DataFrame, target: int = TARGET, overlap: int = O
         for batch in batches:
             rows = []
             for i, name, blocks in zip(*(batch.column(c).to_pylist() for c in ("document_id", "document_name", "blocks"))):
-                for n, (path, body) in enumerate(chunk_bodies(name or i, blocks or [], target, overlap, maximum)):
-                    full = " > ".join([name or i, *(p for p in path if p.casefold() != (name or i).casefold())]) + "\n\n" + body
-                    rows.append((i, n, path, body, full, estimate(full)))
-            kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int32()]
-            columns = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["document_id", "ordinal", "section_path", "text", "embedding_text", "token_count"])
+                name = name or i or ""
+                for n, (path, body, own) in enumerate(chunk_bodies(name, blocks or [], target, overlap, maximum)):
+                    line = breadcrumb(name, path, maximum)
+                    full = f"{line}\n\n{body}" if line else body
+                    pages = [b["page_number"] for b in own if b.get("page_number") is not None]
+                    rows.append((i, n, path[-1] if path else name, path or [name], body, full, estimate(full), min(pages, default=None), max(pages, default=None)))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(list(zip(*rows)) or [()] * len(_CHUNK), _CHUNK)], schema=_CHUNK)
 
     return documents.select("document_id", "document_name", "blocks").mapInArrow(run, CHUNKS)

@@ -1,10 +1,22 @@
-"""Chunk index as tables: hash gate, upsert, prune, report."""
+"""Chunk index as tables: hash gate, upsert, prune, report, and snapshots that are swapped as a whole."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import chunk_id
+
+#: Columns of the index; chunk_id is the key, and the rule column says what each is for.
+SCHEMA = {
+    "chunk_id": ("string", "key"), "document_id": ("string", "filter, facet"), "document_name": ("string", "search"), "document_type": ("string", "filter, facet"),
+    "section": ("string", "search"), "section_path": ("string", "search"), "page_number": ("int", "filter"), "page_end": ("int", ""), "source_uri": ("string", ""),
+    "ordinal": ("int", "filter, sort"), "token_count": ("int", ""), "content_hash": ("string", "filter"), "content": ("string", "search"), "content_vector": ("array<float>", "vector"),
+}
+DDL = ", ".join(f"{name} {kind}" for name, (kind, _) in SCHEMA.items())
+
 
 def gate(documents: DataFrame, known: DataFrame, force: bool = False) -> DataFrame:
     """``documents`` with ``outcome``: skipped_unchanged if the known hash is equal, else indexed.
@@ -31,9 +43,89 @@ def stale(current: DataFrame, new: DataFrame, key: str = "chunk_id", document: s
 
 
 def report(results: DataFrame) -> DataFrame:
-    """One row: counts by outcome and whether any document failed."""
+    """One row: counts by outcome, sums, and whether any document failed."""
     n = lambda o: F.count_if(F.col("outcome") == o)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("chunks_written", "chunks_deleted", "embedding_tokens")]
     return results.agg(
-        F.count("*").alias("docs_total"), n("indexed").alias("docs_indexed"), n("skipped_unchanged").alias("docs_skipped"), n("failed").alias("docs_failed"),
-        F.coalesce(F.sum("chunks_written"), F.lit(0)).alias("chunks_written"), F.coalesce(F.sum("embedding_tokens"), F.lit(0)).alias("embedding_tokens"),
+        F.count("*").alias("docs_total"), n("indexed").alias("docs_indexed"), n("skipped_unchanged").alias("docs_skipped"), n("failed").alias("docs_failed"), *sums
     ).withColumn("status", F.when(F.col("docs_failed") > 0, "failed").otherwise("succeeded"))
+
+
+def summary(report_row: DataFrame) -> Column:
+    """The report as one JSON line."""
+    return F.to_json(F.struct("status", *[c for c in report_row.columns if c != "status"]))
+
+
+def search_documents(chunks: DataFrame) -> DataFrame:
+    """Chunks with their document's metadata as rows of the index."""
+    vector = F.col("embedding") if "embedding" in chunks.columns else F.lit(None).cast("array<float>")
+    return chunks.select(
+        chunk_id(F.col("document_id"), F.col("ordinal")).alias("chunk_id"), "document_id", "document_name", "document_type", "section",
+        F.array_join("section_path", " > ").alias("section_path"), "page_number", "page_end", "source_uri", "ordinal", "token_count", "content_hash",
+        F.col("text").alias("content"), vector.alias("content_vector"),
+    )
+
+
+def known_hashes(index: DataFrame) -> DataFrame:
+    """(document_id, content_hash) of every indexed document, from its first chunk."""
+    return index.where("ordinal = 0").groupBy("document_id").agg(F.max("content_hash").alias("content_hash"))
+
+
+def chunk_counts(index: DataFrame) -> DataFrame:
+    return index.groupBy("document_id").agg(F.count("*").alias("chunk_count"), F.min("page_number").alias("page_number"), F.max("page_end").alias("page_end"))
+
+
+def facets(index: DataFrame, column: str) -> DataFrame:
+    return index.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).select(F.lit(column).alias("facet"), "value", "n")
+
+
+class Snapshots:
+    """An index below ``root`` that changes as a whole.
+
+    Rows lie in buckets of documents.  A commit writes the buckets that change
+    into a folder of its own, and then one small table that names the folder of
+    every bucket; readers take the newest.  So a run that fails half way leaves
+    the index as it was, and unchanged buckets aren't written again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.jvm = spark.sparkContext._jvm
+
+    def _path(self, name: str):
+        path = self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def version(self) -> int:
+        """Number of the newest whole commit, 0 if there is none."""
+        path, fs = self._path("commits")
+        if not fs.exists(path):
+            return 0
+        done = [s.getPath() for s in fs.listStatus(path) if fs.exists(self.jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        return max((int(p.getName()) for p in done), default=0)
+
+    def folders(self) -> dict[int, str]:
+        """Bucket to folder, at most ``buckets`` of them."""
+        version = self.version()
+        return {r["bucket"]: r["folder"] for r in self.spark.read.parquet(f"{self.root}/commits/{version:09d}").collect()} if version else {}
+
+    def read(self) -> DataFrame:
+        """All rows; an index that was never written is empty."""
+        paths = sorted(f"{self.root}/data/{folder}/bucket={b}" for b, folder in self.folders().items())
+        return self.spark.read.schema(DDL).parquet(*paths) if paths else self.spark.createDataFrame([], DDL)
+
+    def commit(self, rows: DataFrame, replaced: DataFrame) -> int:
+        """Put ``rows`` in place of all chunks of the documents in ``replaced`` (document_id); return the version."""
+        bucket = F.pmod(F.xxhash64("document_id"), F.lit(self.buckets)).cast("int")
+        touched = {r[0] for r in replaced.select(bucket).distinct().collect()}  # at most ``buckets``
+        if not touched:
+            return self.version()
+        folder, version, before = uuid.uuid4().hex, self.version(), self.folders()
+        kept = self.read().withColumn("bucket", bucket).where(F.col("bucket").isin(sorted(touched))).join(replaced.select("document_id").distinct(), "document_id", "left_anti")
+        new = rows.select(*SCHEMA).withColumn("bucket", bucket).unionByName(kept)
+        new.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
+        path, fs = self._path(f"data/{folder}")
+        written = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "=" in s.getPath().getName()}
+        after = {b: f for b, f in before.items() if b not in touched} | {b: folder for b in written}
+        self.spark.createDataFrame(sorted(after.items()), "bucket int, folder string").coalesce(1).write.parquet(f"{self.root}/commits/{version + 1:09d}")
+        return version + 1

@@ -81,3 +81,49 @@ def metadata(fields: Column, stem: Column, title_hint: Column, first_heading: Co
         *[T.clean_value(fields[label]).alias(name) for label, name in (("department", "department"), ("policy category", "category"), ("version", "version"))],
         T.clean_value(date).alias("effective_date"), T.clean_value(fields["status"]).alias("status"),
     ]
+
+
+def clean_blocks(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with cleaned texts; empty ones go, and a heading without a level has level 2."""
+    cleaned = blocks.withColumn("text", T.clean_text(F.col("text"))).where(F.col("text") != "")
+    return cleaned.withColumn("level", F.coalesce("level", F.when(F.col("kind") == "heading", 2)).cast("int"))
+
+
+def document_hash(identity: Column, blocks: Column) -> Column:
+    """Digest of the id and of every block's kind, level and text; where a document comes from doesn't count."""
+    line = lambda b: F.concat(b["kind"], F.lit(":"), F.coalesce(b["level"], F.lit(0)).cast("string"), F.lit(":"), b["text"])
+    return F.sha2(F.array_join(F.concat(F.array(identity), F.transform(blocks, line)), "\n"), 256)
+
+
+def source_uri(path: Column, base: str = "") -> Column:
+    """Where a citation points: the file's name below ``base``, else the file itself."""
+    return F.concat(F.lit(base.rstrip("/") + "/"), F.element_at(F.split(path, "/"), -1)) if base else F.when(path.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), path).otherwise(F.concat(F.lit("file://"), path))
+
+
+def documents(loaded: DataFrame, base: str = "") -> DataFrame:
+    """One row per loaded file that has blocks: its metadata, its blocks with section paths, and its digest.
+
+    ``loaded`` holds path, document_type, title_hint and blocks.  Files whose
+    blocks are all empty or lifted as labelled values have an empty array.
+    """
+    from .chunk import section_path
+
+    rows = loaded.select(F.col("path").alias("document_id"), F.posexplode("blocks").alias("pos", "b")).select(
+        "document_id", "pos", "b.kind", "b.text", "b.level", "b.page_number"
+    )
+    fields, kept = lift_front_matter(clean_blocks(rows))
+    kept = section_path(drop_repeated_title(kept))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "kind", "text", "level", "page_number", "section_path")))
+    bodies = kept.groupBy("document_id").agg(ordered.alias("blocks"), F.min_by("text", F.when(F.col("level") == 1, F.col("pos"))).alias("first_heading"))
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?<=.)\.[^.]*$", "")
+    named = (
+        loaded.where(F.size("blocks") > 0).select("path", "document_type", "title_hint")
+        .join(fields.withColumnRenamed("document_id", "path"), "path", "left").join(bodies.withColumnRenamed("document_id", "path"), "path", "left")
+        .select("path", "document_type", *metadata(F.col("fields"), stem, F.col("title_hint"), F.col("first_heading")), source_uri(F.col("path"), base).alias("source_uri"),
+                F.coalesce("blocks", F.array().cast(ordered_type(bodies))).alias("blocks"))
+    )
+    return named.withColumn("content_hash", document_hash(F.col("document_id"), F.col("blocks")))
+
+
+def ordered_type(bodies: DataFrame) -> str:
+    return bodies.schema["blocks"].dataType.simpleString()

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.paths import materialize
 from ..functions.text import words
 
 # Parameters of the published BM25 and reciprocal-rank formulas.
 K1, B, RRF_K = 1.2, 0.75, 60
+#: Fields of the index that keyword search reads, with their weights.
+FIELDS = {"document_name": 2.0, "section": 1.5, "section_path": 1.0, "content": 1.0}
 
 
 def top(rows: DataFrame, by: str, group: str, tie: str, k: int, rank: str = "rank") -> DataFrame:
@@ -18,41 +21,79 @@ def top(rows: DataFrame, by: str, group: str, tie: str, k: int, rank: str = "ran
     return rows.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-def bm25(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, doc_id, score, rank) of the k best documents by BM25 per query.
+def terms(text: Column) -> Column:
+    return words(F.lower(text))
+
+
+def question_terms(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+
+
+def postings(documents: DataFrame, queries: DataFrame, tie: str = "doc_id", fields: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, size, term, tf) for the words that some query has, counted once and written, and (n, mean).
 
-    documents: doc_id, text; queries: query_id, text.  Only words of some query
-    are kept before the shuffle, and they are counted per document on the way.
+    With ``fields``, a word counts with the weight of the field it stands in.
+    The documents are read once; their words are counted per document before
+    any shuffle, and only the queries' words leave the scan.
     """
-    asked = queries.select("query_id", F.explode(F.array_distinct(words(F.lower("text")))).alias("term"))
-    sized = documents.select("doc_id", words(F.lower("text")).alias("terms")).withColumn("size", F.size("terms"))
-    total = sized.agg(F.count("*").alias("n"), F.avg("size").alias("mean"))
-    counted = (
-        sized.select("doc_id", "size", F.explode("terms").alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
-        .groupBy("doc_id", "size", "term").agg(F.count("*").alias("tf"))
-    )
+    weighted = fields or {"text": 1.0}
+    asked = question_terms(queries).select("term").distinct()
+    size = sum((F.size(terms(F.coalesce(F.col(c), F.lit("")))) * F.lit(w) for c, w in weighted.items()), F.lit(0.0))
+    weigh = lambda w: lambda t: F.struct(t.alias("term"), F.lit(w).alias("w"))
+    listed = F.flatten(F.array(*[F.transform(terms(F.coalesce(F.col(c), F.lit(""))), weigh(w)) for c, w in weighted.items()]))
+    sized = documents.select(F.col(tie).alias("doc_id"), size.alias("size"), listed.alias("listed"))
+    # A row per document rides along with its words, so that the totals need no second scan.
+    exploded = sized.select("doc_id", "size", F.explode(F.concat(F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1.0).alias("w"))), "listed")).alias("x"))
+    kept = exploded.select("doc_id", "size", "x.term", "x.w").join(asked.withColumn("asked", F.lit(True)), "term", "left").where("asked or term is null")
+    counted = materialize(kept.groupBy("doc_id", "size", "term").agg(F.sum("w").alias("tf"), F.count("*").alias("rows")), "postings")
+    total = counted.where("term is null").agg(F.sum("rows").alias("n"), (F.sum(F.col("size") * F.col("rows")) / F.sum("rows")).alias("mean"))
+    return counted.where("term is not null"), total
+
+
+def bm25_scores(counted: DataFrame, total: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score): the words' rarity goes to the small query side before it meets the postings."""
     frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
-    weight = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
-    scored = (
-        counted.join(frequency, "term").crossJoin(F.broadcast(total))  # one row
-        .withColumn("weight", weight).join(asked, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum("weight"), 6).alias("score"))
-    )
-    return top(scored, "score", "query_id", "doc_id", k)
+    asked = question_terms(queries).join(frequency, "term").crossJoin(F.broadcast(total))  # one row
+    asked = asked.select("query_id", "term", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "mean")
+    weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
+    return counted.join(asked, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(weight), 6).alias("score"))
+
+
+def bm25(documents: DataFrame, queries: DataFrame, k: int = 10, fields: dict[str, float] | None = None, tie: str = "doc_id") -> DataFrame:
+    """(query_id, doc_id, score, rank) of the k best documents by BM25 per query.
+
+    documents: doc_id, text (or the named ``fields``); queries: query_id, text.
+    """
+    counted, total = postings(documents, queries, tie, fields)
+    return top(bm25_scores(counted, total, queries), "score", "query_id", "doc_id", k)
+
+
+def overlap(counted: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, doc_id, score, rank) by the number of different words that query and document share.
+
+    It stands in for a cross-encoder, which needs a model: any scorer that
+    returns these columns can take its place.
+    """
+    shared = counted.select("doc_id", "term").distinct().join(question_terms(queries), "term").groupBy("query_id", "doc_id").agg(F.count("*").alias("score"))
+    return top(shared, "score", "query_id", "doc_id", k)
 
 
 def cosine_top(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 1024) -> DataFrame:
     """(query_id, vec_id, score, rank): the k nearest of all vectors per query, by exact cosine.
 
-    Queries and vectors are dealt into blocks and every pair of blocks is one
-    matrix product that leaves k rows per query, so neither side is broadcast
-    or collected.  Scores are rounded to 6 decimals (halves away from zero, as
-    in SQL) before any are left out, and ties go to the smallest vec_id.  A vector isn't its own neighbour; vectors without a cosine
-    are left out.
+    Queries and vectors are dealt into blocks; every block of vectors is sent
+    once to each block of queries by an explicit pair of numbers, and each pair
+    is one matrix product that leaves k rows per query.  Neither side is
+    broadcast or collected.  Scores are rounded to 6 decimals (halves away from
+    zero, as in SQL) before any are left out, and ties go to the smallest
+    vec_id.  A vector isn't its own neighbour; vectors without a cosine are
+    left out.
     """
-    def blocks(frame: DataFrame, key: str, side: str) -> DataFrame:
+    def blocks(frame: DataFrame, key: str, side: str) -> tuple[DataFrame, int]:
         usable = frame.where("embedding is not null and size(embedding) > 0").where(F.exists("embedding", lambda x: x != 0) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x)))
-        n = max(1, -(-frame.count() // block))
-        return usable.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias(f"{side}_block")).agg(F.collect_list(F.struct(F.col(key).cast("long").alias("id"), "embedding")).alias(side))
+        n = max(1, -(-usable.count() // block))
+        dealt = usable.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias(f"{side}_block")).agg(F.collect_list(F.struct(F.col(key).cast("long").alias("id"), "embedding")).alias(side))
+        return dealt, n
 
     def run(batches):
         for batch in batches:
@@ -73,8 +114,9 @@ def cosine_top(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int =
                 ok = np.isfinite(s)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[0][rows][ok]), pa.array(ids[1][best.ravel()][ok]), pa.array(s[ok])], ["query_id", "vec_id", "score"])
 
-    pairs = blocks(queries, "query_id", "q").join(blocks(vectors, "vec_id", "v"), F.lit(True))
-    found = pairs.select("q", "v").mapInArrow(run, "query_id long, vec_id long, score double")
+    asked, n = blocks(queries, "query_id", "q")
+    sent = blocks(vectors, "vec_id", "v")[0].withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>")))
+    found = asked.hint("shuffle_hash").join(sent, "q_block").select("q", "v").mapInArrow(run, "query_id long, vec_id long, score double")
     return top(found, "score", "query_id", "vec_id", k)
 
 
@@ -87,15 +129,35 @@ def fuse(rankings: list[DataFrame], k: int = 10) -> DataFrame:
     return top(summed, "score", "query_id", "doc_id", k)
 
 
+def union_queries(rankings: list[DataFrame], k: int = 30) -> DataFrame:
+    """Results of several wordings of one question: each document once, with its best score."""
+    parts = rankings[0].select("query_id", "doc_id", "score")
+    for r in rankings[1:]:
+        parts = parts.unionByName(r.select("query_id", "doc_id", "score"))
+    return top(parts.groupBy("query_id", "doc_id").agg(F.max("score").alias("score")), "score", "query_id", "doc_id", k)
+
+
+def trimmed(index: DataFrame, groups: list[str], filters: dict[str, str] | None = None) -> DataFrame:
+    """Rows that a caller in ``groups`` may see (rows without an access list are open), with equal metadata filters."""
+    open_to = F.col("allowed").isNull() | F.arrays_overlap("allowed", F.array(*map(F.lit, groups)).cast("array<string>"))
+    for column, value in (filters or {}).items():
+        index = index.where(F.col(column) == value)
+    return index.where(open_to)
+
+
 def assemble(candidates: DataFrame, threshold: float, per_group: int = 2, size: int = 6) -> DataFrame:
-    """Context of each query: above the threshold, at most ``per_group`` of a group, the best ``size``, best last.
+    """Context of each query: above the threshold, the best of each (group, path), at most ``per_group`` of a group, the best ``size``, best last.
 
-    candidates: query_id, doc_id, group, score.  position counts from 1 and
-    ascends with the score.
+    candidates: query_id, doc_id, group, score, and maybe path (without it
+    nothing counts as a repeated path).  position counts from 1 and ascends with the score.
     """
-    capped = top(candidates.where(F.col("score") >= threshold), "score", "query_id", "doc_id", 10**9, "__all")
+    rows = candidates.where(F.col("score") >= threshold)
+    if "path" in candidates.columns:
+        w = Window.partitionBy("query_id", "group", "path").orderBy(F.desc("score"), "doc_id")
+        rows = rows.withColumn("__in_path", F.row_number().over(w)).where("__in_path = 1")
     w = Window.partitionBy("query_id", "group").orderBy(F.desc("score"), "doc_id")
-    capped = capped.withColumn("__in_group", F.row_number().over(w)).where(F.col("__in_group") <= per_group)
-    best = top(capped, "score", "query_id", "doc_id", size, "__best")
+    rows = rows.withColumn("__in_group", F.row_number().over(w)).where(F.col("__in_group") <= per_group)
+    best = top(rows, "score", "query_id", "doc_id", size, "__best")
     back = Window.partitionBy("query_id").orderBy(F.desc("__best"))
-    return best.withColumn("position", F.row_number().over(back)).select("query_id", "doc_id", "group", "score", "position", F.format_string("[C%d]", "position").alias("marker"))
+    kept = [c for c in candidates.columns if c not in ("query_id", "doc_id", "group", "score")]
+    return best.withColumn("position", F.row_number().over(back)).select("query_id", "doc_id", "group", "score", *kept, "position", F.format_string("[C%d]", "position").alias("marker"))

@@ -6,27 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import chunk, index, normalize, retrieve
+from ..operators import chunk, index, normalize, stats
 from ..sources import html
 from ..streaming import events as streams
-
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def register(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from . import answer_queries, ingest_queries  # noqa: F401  (they register theirs)
+from .base import QUERIES, SQL, register, table
 
 # -- text
 
@@ -35,8 +19,8 @@ SELECT doc_id, len(lines) AS n_lines, sha256(array_to_string(lines, chr(10))) AS
   SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM documents)
 """)
 def clean_text(spark, sf_dir):
-    clean = T.clean_text(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(F.filter(F.split(clean, "\n"), lambda x: x != "")).alias("n_lines"), T.content_hash(clean).alias("clean_hash"))
+    clean = table(spark, sf_dir, "documents").select("doc_id", T.clean_text(F.col("text")).alias("clean"))
+    return clean.select("doc_id", F.when(F.col("clean") == "", 0).otherwise(F.size(F.split("clean", "\n"))).alias("n_lines"), T.content_hash(F.col("clean")).alias("clean_hash"))
 
 
 @register("""
@@ -82,17 +66,6 @@ def unchanged_gate(spark, sf_dir):
     return index.gate(*_snapshot(spark, sf_dir)).select("document_id", "outcome")
 
 
-@register(_GATED + """
-SELECT count(*) AS docs_total, count_if(outcome = 'indexed')::BIGINT AS docs_indexed, count_if(outcome = 'skipped_unchanged')::BIGINT AS docs_skipped, 0::BIGINT AS docs_failed,
-  sum(CASE WHEN outcome = 'indexed' THEN n // 100 + 1 ELSE 0 END)::BIGINT AS chunks_written, sum(CASE WHEN outcome = 'indexed' THEN n ELSE 0 END)::BIGINT AS embedding_tokens, 'succeeded' AS status FROM gated
-""")
-def run_report(spark, sf_dir):
-    done = index.gate(*_snapshot(spark, sf_dir))
-    written = F.when(F.col("outcome") == "indexed", F.floor(F.col("n") / 100) + 1).otherwise(0)
-    tokens = F.when(F.col("outcome") == "indexed", F.col("n")).otherwise(0)
-    return index.report(done.withColumns({"chunks_written": written, "embedding_tokens": tokens}))
-
-
 @register("""
 SELECT CAST(o.l_orderkey AS VARCHAR) || '-' || CAST(o.l_linenumber AS VARCHAR) AS chunk_id FROM lineitem o
 WHERE o.l_linenumber > 2 AND o.l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <= 2)
@@ -154,9 +127,8 @@ f AS (SELECT o_custkey, o_orderkey, i, v AS s, 0 AS g FROM o WHERE i = 1 UNION A
 SELECT o_orderkey, o_custkey, g AS pack FROM f
 """)
 def greedy_pack(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_custkey", F.struct("o_orderkey", F.floor("o_totalprice").cast("long").alias("v")).alias("o"))
-    packed = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o")).alias("os")).withColumn("g", chunk.greedy_groups(F.col("os.v"), 500000))
-    return packed.select("o_custkey", F.explode(F.arrays_zip("os", "g")).alias("x")).select(F.col("x.os.o_orderkey").alias("o_orderkey"), "o_custkey", F.col("x.g").alias("pack"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.floor("o_totalprice").cast("long").alias("v"))
+    return chunk.greedy_pack(o, "o_custkey", "o_orderkey", "v", 500000).select("o_orderkey", "o_custkey", "pack")
 
 
 def _order_documents(spark, sf_dir):
@@ -195,14 +167,11 @@ def html_blocks(spark, sf_dir):
 
 
 @register("""
-SELECT page_id, nullif(trim(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '\\s+', ' ', 'g')), '') AS title,
-  len(regexp_extract_all(html, '<p[ >]'))::INT AS n_paragraph_tags FROM pages
+SELECT page_id, replace(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')), '&amp;', '&') AS title_hint, NULL::VARCHAR AS error FROM pages
 """)
 def html_title(spark, sf_dir):
-    title = T.collapse(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", F.nullif(title, F.lit("")).alias("title"), F.size(F.regexp_extract_all("html", F.lit("<p[ >]"), F.lit(0))).alias("n_paragraph_tags")
-    )
+    """What the loader takes for a page's title."""
+    return html.html_blocks(table(spark, sf_dir, "pages"), "page_id").select("page_id", "title_hint", "error")
 
 
 @register()
@@ -223,142 +192,12 @@ def chunk_documents(spark, sf_dir):
     return chunk.chunk_documents(d, 200, 20, 250).select("document_id", "ordinal", "token_count", T.content_hash(F.col("text")).alias("content_hash"))
 
 
-@register("""
-SELECT p_partkey, least(dense_rank() OVER (ORDER BY p_size DESC), 6)::INT AS level FROM part WHERE p_size >= 1.15 * (SELECT arg_max(p_size, (n, -p_size)) FROM (SELECT p_size, sum(length(p_name)) AS n FROM part GROUP BY p_size))
-""")
-def level_rank(spark, sf_dir):
-    """Parts as lines: the size with most characters is the body; larger ones are headings, ranked by size."""
-    p = table(spark, sf_dir, "part")
-    sizes = p.groupBy("p_size").agg(F.sum(F.length("p_name")).alias("n"))
-    body = sizes.agg(F.max_by("p_size", F.struct("n", -F.col("p_size"))).alias("body"))
-    heads = sizes.select("p_size").join(F.broadcast(body), F.col("p_size") >= 1.15 * F.col("body"))  # one row
-    ranked = heads.select("p_size", F.least(F.dense_rank().over(Window.orderBy(F.desc("p_size"))), F.lit(6)).alias("level"))  # distinct sizes only
-    return p.join(ranked, "p_size").select("p_partkey", "level")
-
-
-# -- retrieval
-
-_BM25 = """
-WITH q AS (SELECT DISTINCT item_id AS query_id, unnest(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) AS term FROM benchmark),
-t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '') AS terms FROM documents),
-z AS (SELECT count(*) AS n, avg(len(terms)) AS mean FROM t),
-c AS (SELECT doc_id, size, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS size, unnest(terms) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
-f AS (SELECT term, count(*) AS df FROM c GROUP BY term),
-s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * size / mean))), 6) AS score
-  FROM c JOIN f USING (term) JOIN q USING (term), z GROUP BY query_id, doc_id),
-b AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
-"""
-
-
-def _bm25(spark, sf_dir, k=10):
-    return retrieve.bm25(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text"), k)
-
-
-@register(_BM25 + "SELECT query_id, doc_id, round(score, 4) AS score, rank::INT AS rank FROM b WHERE rank <= 10")
-def bm25_topk(spark, sf_dir):
-    return _bm25(spark, sf_dir).withColumn("score", F.round("score", 4))
-
-
-@register("""
-WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
-SELECT query_id, vec_id, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
-""")
-def cosine_topk(spark, sf_dir):
-    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return retrieve.cosine_top(v, v.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"))
-
-
-_OVERLAP = """, o AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, doc_id) AS rank FROM (SELECT query_id, doc_id, count(*) AS n FROM c JOIN q USING (term) GROUP BY ALL)),
-r AS (SELECT query_id, doc_id, round(sum(1 / (60 + rank)::DOUBLE), 9) AS score FROM (SELECT query_id, doc_id, rank FROM b WHERE rank <= 30 UNION ALL SELECT query_id, doc_id, rank FROM o WHERE rank <= 30) GROUP BY ALL),
-fused AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM r)
-"""
-
-
-def _fused(spark, sf_dir, k=10):
-    d = table(spark, sf_dir, "documents")
-    q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(F.array_distinct(T.words(F.lower("text")))).alias("term"))
-    terms = d.select("doc_id", F.explode(F.array_distinct(T.words(F.lower("text")))).alias("term"))
-    overlap = retrieve.top(terms.join(q, "term").groupBy("query_id", "doc_id").agg(F.count("*").alias("score")), "score", "query_id", "doc_id", 30)
-    return retrieve.fuse([_bm25(spark, sf_dir, 30), overlap], k)
-
-
-@register(_BM25 + _OVERLAP + "SELECT query_id, doc_id, score, rank::INT AS rank FROM fused WHERE rank <= 10")
-def rrf_fusion(spark, sf_dir):
-    return _fused(spark, sf_dir)
-
-
-@register(_BM25 + _OVERLAP + """, x AS (SELECT fused.query_id, fused.doc_id, d.source AS grp, score, row_number() OVER (PARTITION BY query_id, d.source ORDER BY score DESC, doc_id) AS g
-  FROM fused JOIN documents d USING (doc_id) WHERE rank <= 30 AND score >= 0.014),
-y AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS best FROM x WHERE g <= 2)
-SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY best DESC)::INT AS position FROM y WHERE best <= 6
-""")
-def context_assembly(spark, sf_dir):
-    sources = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("group"))
-    return retrieve.assemble(_fused(spark, sf_dir, 30).join(sources, "doc_id"), 0.014).select("query_id", "doc_id", "score", "position")
-
-
-@register(_BM25 + """, h AS (SELECT b.query_id, min(CASE WHEN contains(d.text, i.text) THEN rank END) AS first_hit FROM b JOIN documents d USING (doc_id) JOIN benchmark i ON i.item_id = b.query_id WHERE rank <= 6 GROUP BY b.query_id)
-SELECT i.item_id AS query_id, (h.first_hit IS NOT NULL)::INT AS hit, coalesce(round(1 / h.first_hit::DOUBLE, 6), 0) AS reciprocal_rank FROM benchmark i LEFT JOIN h ON i.item_id = h.query_id
-""")
-def recall_mrr(spark, sf_dir):
-    """Does one of the best six documents hold the question's passage, and how far up is the first."""
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("passage"))
-    found = _bm25(spark, sf_dir, 6).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").join(items, "query_id")
-    first = found.where(F.col("text").contains(F.col("passage"))).groupBy("query_id").agg(F.min("rank").alias("first_hit"))
-    return items.join(first, "query_id", "left").select("query_id", F.col("first_hit").isNotNull().cast("int").alias("hit"), F.coalesce(F.round(1 / F.col("first_hit"), 6), F.lit(0.0)).alias("reciprocal_rank"))
-
-
-# -- conversations and answers
-
-@register("SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r <= 6")
-def last_turns(spark, sf_dir):
-    w = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
-    return table(spark, sf_dir, "conversations").withColumn("r", F.row_number().over(w)).where("r <= 6").select("conv_id", "turn", "role")
-
-
-@register("SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS transcript_hash FROM conversations GROUP BY conv_id")
-def transcript(spark, sf_dir):
-    turns = F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit(": "), "text").alias("line"))))
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.sha2(F.array_join(F.transform(turns, lambda t: t["line"]), "\n"), 256).alias("transcript_hash"))
-
-
-@register("SELECT conv_id, left(arg_min(text, turn), 60) AS title, max(turn) AS last_turn FROM conversations GROUP BY conv_id")
-def conversation_titles(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.substring(F.min_by("text", "turn"), 1, 60).alias("title"), F.max("turn").alias("last_turn"))
-
-
-@register("SELECT conv_id, turn FROM conversations WHERE conv_id > 10 OR (conv_id = 10 AND turn > 1)")
-def keyset_page(spark, sf_dir):
-    """Everything after a cursor (conversation 10, turn 1)."""
-    return table(spark, sf_dir, "conversations").where("conv_id > 10 or (conv_id = 10 and turn > 1)").select("conv_id", "turn")
-
-
-@register("""
-WITH m AS (SELECT conv_id, turn, unnest(regexp_extract_all(text || ' [C' || (turn + 1) || '] [C9]', '\\[C([0-9]+)\\]', 1))::INT AS marker FROM conversations)
-SELECT conv_id, turn, marker, (marker BETWEEN 1 AND 6)::INT AS valid FROM m
-""")
-def citation_validation(spark, sf_dir):
-    """Every message cites its own turn and [C9]; a context has markers 1 to 6."""
-    cited = F.concat("text", F.lit(" [C"), (F.col("turn") + 1).cast("string"), F.lit("] [C9]"))
-    m = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.regexp_extract_all(cited, F.lit(r"\[C([0-9]+)\]"), F.lit(1))).alias("marker"))
-    return m.withColumn("marker", F.col("marker").cast("int")).withColumn("valid", F.col("marker").between(1, 6).cast("int"))
-
-
-@register("""
-SELECT conv_id, turn, CASE WHEN length(text) < 20 THEN 'refused_no_context' WHEN regexp_matches(lower(text), 'ignore (all|previous)|system prompt') THEN 'refused_guardrail' ELSE 'answered' END AS finish_reason
-FROM conversations WHERE role = 'assistant'
-""")
-def refusal_gate(spark, sf_dir):
-    reason = F.when(F.length("text") < 20, "refused_no_context").when(F.lower("text").rlike("ignore (all|previous)|system prompt"), "refused_guardrail").otherwise("answered")
-    return table(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", reason.alias("finish_reason"))
-
-
 # -- telemetry
 
 @register("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, count(*) AS n FROM events GROUP BY event_type")
 def latency_percentiles(spark, sf_dir):
-    p = lambda q: F.round(F.percentile("value", F.lit(q)), 6)
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(p(0.5).alias("p50"), p(0.95).alias("p95"), F.count("*").alias("n"))
+    found = stats.percentiles(table(spark, sf_dir, "events"), "event_type", "value", {"p50": 0.5, "p95": 0.95})
+    return found.select("event_type", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"), "n")
 
 
 @register("SELECT strftime(ts, '%Y-%m-%d') AS day, round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END)::DOUBLE, 6) AS error_rate, count(*) AS n FROM events GROUP BY 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -10,106 +11,144 @@ from pyspark.sql import DataFrame
 # Tags whose content is dropped, and tags that make a block.
 DROPPED = {"script", "style", "nav", "footer", "noscript", "aside", "form"}
 BLOCKS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "table", "pre", "blockquote"}
-CLOSES_P = BLOCKS | {"div", "section", "article", "ul", "ol", "header", "main"}
+CLOSES_P = BLOCKS | {"div", "section", "article", "ul", "ol", "header", "main", "nav", "footer", "aside", "form"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
+#: Open tags that a new tag ends, and the tags beyond which it doesn't look for them.
+ENDS = {
+    "li": (("li",), ("ul", "ol")), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
+    "tbody": (("tr",), ("table",)), "tfoot": (("tr",), ("table",)), "body": (("head",), ()),
+}
 
-BLOCK_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string()), ("level", pa.int32())]))
+BLOCK_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string()), ("level", pa.int32()), ("page_number", pa.int32())]))
+BLOCK_DDL = "array<struct<kind:string,text:string,level:int,page_number:int>>"
 
 
-class _Blocks(HTMLParser):
-    """Collects (kind, text, level) in order of opening tags."""
+@dataclass
+class _Open:
+    """An open tag and what its text goes to."""
 
-    def __init__(self):
+    tag: str
+    dropped: bool
+    block: dict | None = None
+    row: list | None = None
+    cell: list | None = None
+
+
+@dataclass
+class _Page(HTMLParser):
+    stack: list[_Open] = field(default_factory=list)
+    blocks: list[dict] = field(default_factory=list)
+    hints: dict[str, str] = field(default_factory=dict)
+    title: list[str] | None = None
+
+    def __post_init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[list] = []  # open tags: [tag, block or None]
-        self.blocks, self.title, self.in_title, self.dropped = [], [], False, 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in DROPPED:
-            self.dropped += 1
+        if tag == "meta":
+            named = {k: v for k, v in attrs if v}
+            if named.get("name") and named.get("content"):
+                self.hints[named["name"].lower()] = named["content"]
+        if tag in VOID:
             return
-        if self.dropped or tag in VOID:
-            return
-        if tag == "title":
-            self.in_title = True
         if tag in CLOSES_P:
-            self._close("p")
-        block = None
-        inside = {t for t, _ in self.stack}
-        if tag in BLOCKS and (tag == "table" or not inside & {"table", "li"}):
-            block = {"kind": "heading" if tag[0] == "h" else {"li": "list_item", "table": "table"}.get(tag, "paragraph"), "level": int(tag[1]) if tag[0] == "h" else None, "parts": [], "rows": []}
-            self.blocks.append(block)
-        if tag in ("tr", "td", "th") and (table := self._table()):
-            if tag == "tr":
-                table["rows"].append([])
-            elif table["rows"]:
-                table["rows"][-1].append([])
-        self.stack.append([tag, block])
+            self._close(("p",), ("table", "td", "th"))
+        if tag in ENDS:
+            self._close(*ENDS[tag])
+        new = _Open(tag, tag in DROPPED or any(o.dropped for o in self.stack[-1:]))
+        if tag == "title" and self.title is None:
+            self.title = []
+        if not new.dropped:
+            if tag in BLOCKS and (tag == "table" or not any(o.tag in ("table", "li") for o in self.stack)):
+                heading = tag[0] == "h"
+                kind = "heading" if heading else {"li": "list_item", "table": "table"}.get(tag, "paragraph")
+                new.block = {"kind": kind, "level": int(tag[1]) if heading else None, "parts": [], "rows": []}
+                self.blocks.append(new.block)
+            elif tag == "tr":  # a row belongs to every table around it
+                new.row = []
+                for o in self.stack:
+                    if o.block and o.tag == "table":
+                        o.block["rows"].append(new.row)
+            elif tag in ("td", "th"):
+                new.cell = []
+                for o in self.stack:
+                    if o.row is not None:
+                        o.row.append(new.cell)
+        self.stack.append(new)
 
     def handle_endtag(self, tag):
-        if tag in DROPPED:
-            self.dropped = max(0, self.dropped - 1)
-        elif tag == "title":
-            self.in_title = False
-        elif not self.dropped:
-            self._close(tag)
+        self._close((tag,), ())
 
     def handle_data(self, data):
         text = data.strip()
-        if self.in_title and text:
+        if not text or not self.stack:
+            return
+        if self.stack[-1].tag == "title" and self.title is not None:
             self.title.append(text)
-        if self.dropped or not text:
+        if self.stack[-1].dropped:
             return
-        for _, block in self.stack:
-            if block:
-                if block["kind"] == "table":
-                    if block["rows"] and block["rows"][-1]:
-                        block["rows"][-1][-1].append(text)
-                else:
-                    block["parts"].append(text)
-
-    def _table(self):
-        return next((b for _, b in reversed(self.stack) if b and b["kind"] == "table"), None)
-
-    def _close(self, tag):
+        for o in self.stack:
+            if o.cell is not None:
+                o.cell.append(text)
+            elif o.block and o.tag != "table":
+                o.block["parts"].append(text)
+
+    def parse_marked_section(self, i, report=1):
+        """Marked sections hold nothing for a reader; they end at the next '>'."""
+        return self.rawdata.find(">", i) + 1 or -1
+
+    def _close(self, tags, stops):
         for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
+            if self.stack[k].tag in tags:
                 del self.stack[k:]
                 return
+            if self.stack[k].tag in stops:
+                return
 
 
-def _table_text(rows) -> str:
-    """Pipe rows of equal width, a separator after the first."""
-    cells = [[" ".join(c) for c in r] for r in rows]
-    cells = [r for r in cells if any(r)]
-    width = max((len(r) for r in cells), default=0)
-    lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in cells]
-    return "\n".join(lines[:1] + ["|" + " --- |" * width] * bool(lines) + lines[1:])
+def pipe_table(rows: list[list[str]]) -> str:
+    """Rows as lines of equal width between pipes, with a rule after the first; rows of empty cells are left out."""
+    rows = [r for r in rows if any(r)]
+    width = max((len(r) for r in rows), default=0)
+    lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in rows]
+    return "\n".join([*lines[:1], "|" + "---|" * width, *lines[1:]]) if lines else ""
 
 
-def parse_html(html: str | None) -> tuple[list[dict], str | None]:
-    """Blocks and title hint (first h1, else <title>) of a page; null and broken pages give what can be read."""
-    parser = _Blocks()
-    parser.feed(html or "")
-    parser.close()
+def parse_html(html: str | None) -> tuple[list[dict], str | None, dict[str, str]]:
+    """Blocks, title hint (first h1, else <title>) and named meta values of a page; null gives none."""
+    page = _Page()
+    page.feed(html or "")
+    page.close()
     blocks = []
-    for b in parser.blocks:
-        text = _table_text(b["rows"]) if b["kind"] == "table" else " ".join(" ".join(b["parts"]).split())
+    for b in page.blocks:
+        text = pipe_table([[" ".join(" ".join(c).split()) for c in r] for r in b["rows"]]) if b["kind"] == "table" else " ".join(" ".join(b["parts"]).split())
         if text:
             blocks.append({"kind": b["kind"], "text": text, "level": b["level"]})
     first = next((b["text"] for b in blocks if b["level"] == 1), None)
-    return blocks, first or " ".join(" ".join(parser.title).split()) or None
+    return blocks, first or " ".join(" ".join(page.title or []).split()) or None, page.hints
 
 
 def html_blocks(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(key, title_hint, blocks): one row per page, one Python pass and no shuffle."""
+    """(key, title_hint, blocks, error): one row per page, one Python pass and no shuffle.
+
+    A page that the parser can't read has no blocks and says why in ``error``;
+    the others go on.
+    """
+
+    def one(text):
+        try:
+            blocks, title, _ = parse_html(text)
+            return title, blocks, None
+        except (AssertionError, ValueError, RecursionError) as e:
+            return None, [], f"cannot read html: {e}"
 
     def run(batches):
         for batch in batches:
-            parsed = [parse_html(x) for x in batch.column(1).to_pylist()]
+            parsed = [one(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([t for _, t in parsed], pa.string()), pa.array([b for b, _ in parsed], BLOCK_TYPE)], [key, "title_hint", "blocks"]
+                [batch.column(0), pa.array([p[0] for p in parsed], pa.string()), pa.array([p[1] for p in parsed], BLOCK_TYPE), pa.array([p[2] for p in parsed], pa.string())],
+                [key, "title_hint", "blocks", "error"],
             )
 
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInArrow(run, f"{key} {kind}, title_hint string, blocks array<struct<kind:string,text:string,level:int>>")
+    return pages.select(key, html).mapInArrow(run, f"{key} {kind}, title_hint string, blocks {BLOCK_DDL}, error string")
