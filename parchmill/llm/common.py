@@ -2,43 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.paths import materialize, remove, shared_dir  # noqa: F401  (the operators take them from here)
+
 #: The 26 letters that the contracts fold; other letters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name that driver and executors both see.
-
-    The cluster names the folder in ``spark.checkpoint.dir``.  Only where that
-    is unset (local tests) a temporary folder of this machine serves.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("parchmill.local.dir", "")
-    if not base:
-        base = tempfile.mkdtemp(prefix="parchmill-")
-        spark.conf.set("parchmill.local.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts lineage in a way that survives the loss of executors, and stops
-    an expensive plan that is used twice from running twice.
-    """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,6 +43,46 @@ def split_hot(rows: DataFrame, keys: list[str], spread_by: str, size: int) -> Da
     )
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have, one for each of ``names``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: A key is hot if it holds more than this share of the rows, so there are at most 1 / HOT hot keys.
+HOT = 1 / 1000
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their class, by an inner join on ``key``.
+
+    classes: one row per key with its number of rows in ``size``.  The hot
+    keys' classes, at most 1 / HOT of them, are sent to every task, so that no
+    task gets all rows of a hot key; the others meet their rows by a shuffle.
+    """
+    hot = classes.where(F.col(size) > total * HOT)
+    told = rows.join(F.broadcast(hot.withColumn("hot_", F.lit(True))), key, "left")
+    cold = told.where("hot_ is null").select(*rows.columns).join(classes.where(F.col(size) <= total * HOT), key)
+    return told.where("hot_").drop("hot_").unionByName(cold)
+
+
+def running_totals(counts: DataFrame, key: str, value: str, name: str, group: int = 1024) -> DataFrame:
+    """``counts`` with the sum of ``value`` over all lower keys; keys are whole numbers, once each.
+
+    Keys are summed up in groups first, so the one ordered pass over everything has a row per ``group`` keys.
+    """
+    part = F.floor(F.col(key) / group)
+    sums = counts.groupBy(part.alias("part_")).agg(F.sum(value).alias("sum_"))
+    ahead = sums.select("part_", (F.sum("sum_").over(Window.orderBy("part_")) - F.col("sum_")).alias("ahead_"))
+    inside = F.sum(value).over(Window.partitionBy("part_").orderBy(key)) - F.col(value)
+    return counts.withColumn("part_", part).withColumn("inside_", inside).join(ahead, "part_").withColumn(name, F.col("ahead_") + F.col("inside_")).drop("part_", "inside_", "ahead_")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

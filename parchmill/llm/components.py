@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, remove
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     ``edges`` holds integer ids; direction, repeats and loops don't matter, and
     rows with a null end are left out.  No edges give an empty result.  Each
-    round is written to the shared folder, so lineage stays short.
+    round is written to the shared folder, so lineage stays short, and the one
+    before it is deleted.
     """
     edges = materialize(
         edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a != b").distinct(), "edges"
@@ -54,8 +55,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         if not before[0]:
             break
-        edges = materialize(_small_star(_large_star(edges)), "stars")
+        old, edges = edges, materialize(_small_star(_large_star(edges)), "stars")
         now = state(edges)
+        remove(edges.sparkSession, sorted({f.rsplit("/", 1)[0] for f in old.inputFiles()}))
         if now == before:
             break
         before = now
