@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import by_bucket, id_bounds, materialize, packed_texts, unpack
+from .common import by_bucket, id_bounds, join_classes, materialize, packed_texts, unpack
 
 
 def canonical(text: str | None) -> bytes:
@@ -86,34 +86,35 @@ def _successors(batches, hasher):
         yield _batch([end(bucket, "last", held)])
 
 
-def _versions(docs: DataFrame, rows: DataFrame, hasher) -> DataFrame:
-    """(doc_id, digest, version) for documents in buckets of equal digests that hold unlike texts.
+def _unlike(docs: DataFrame, rows: DataFrame, hasher) -> dict[bytes, str]:
+    """Names for canonical texts that share their digest with another text: all but the first in byte order.
 
     Only documents of buckets with two rows or more are read again.  A bucket
     is compared by its least and greatest canonical text, which combine before
     the shuffle: a bucket with a third of all rows sends two texts per task.
+    What is returned are texts of buckets that really hold unlike ones; with a
+    wide digest there are none.
     """
-    shared = rows.groupBy("digest").count().where("count > 1").select("digest")
-    ids = materialize(rows.join(shared, "digest", "left_semi").select("doc_id").distinct(), "shared")
+    counts = rows.groupBy("digest").count().where("count > 1")
+    ids = materialize(join_classes(rows.select("doc_id", "digest"), counts, "digest", "count", rows.count()).select("doc_id").distinct(), "shared")
 
     def run(batches):
         for batch in batches:
             plain = [canonical(unpack(b.as_py())) for b in batch.column("body")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([hasher(t) for t in plain], pa.string()), pa.array(plain, pa.binary())], ["doc_id", "digest", "plain"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([hasher(t) for t in plain], pa.string()), pa.array(plain, pa.binary())], ["digest", "plain"])
 
-    again = packed_texts(docs, []).select("doc_id", "body").join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, digest string, plain binary")
+    packed = packed_texts(docs, []).select("doc_id", "body")
+    again = packed.join(ids.withColumnRenamed("doc_id", "shared_id"), F.col("doc_id").eqNullSafe(F.col("shared_id")), "left_semi").mapInArrow(run, "digest string, plain binary")
     unlike = again.groupBy("digest").agg(F.min("plain").alias("low"), F.max("plain").alias("high")).where("low != high").select("digest")
     unlike = materialize(unlike, "unlike")
     if unlike.isEmpty():
-        return docs.sparkSession.createDataFrame([], "doc_id long, digest string, version int")
-    bodies = again.join(unlike, "digest", "left_semi")
-    ranked = bodies.select("digest", "plain").distinct().groupBy("digest").agg(F.sort_array(F.collect_list("plain")).alias("plains"))
-    return bodies.join(ranked, "digest").select("doc_id", "digest", (F.array_position("plains", F.col("plain")) - 1).cast("int").alias("version")).distinct()
+        return {}
+    rank = F.row_number().over(Window.partitionBy("digest").orderBy("plain")) - 1
+    named = again.join(unlike, "digest", "left_semi").select("digest", "plain").distinct().withColumn("k", rank).where("k > 0")
+    return {bytes(r["plain"]): f"{r['digest']}-{r['k']}" for r in named.collect()}
 
 
-def edit_report(docs: DataFrame, hasher=xxhash.xxh3_128_hexdigest) -> DataFrame:
+def edit_report(docs: DataFrame, hasher=xxhash.xxh3_128_hexdigest, compare: bool = True) -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likeness.
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
@@ -145,16 +146,11 @@ def edit_report(docs: DataFrame, hasher=xxhash.xxh3_128_hexdigest) -> DataFrame:
 
     done = rows.where("flag = 'row'").drop("body").union(tails.mapInArrow(finish, _ROWS_DDL).drop("body"))
     done = materialize(done.drop("bucket", "flag"), "rows")
-    versions = _versions(docs, done, hasher)
-    named = lambda d, v: F.concat(F.col(d), F.when(F.col(v) > 0, F.concat(F.lit("-"), F.col(v))).otherwise(F.lit("")))
-    own = versions.withColumnRenamed("version", "own_version")
-    after = versions.select(F.col("doc_id").alias("next_id"), F.col("digest").alias("next_digest"), F.col("version").alias("next_version"))
-    out = done.join(own, ["doc_id", "digest"], "left").join(after, ["next_id", "next_digest"], "left") if not versions.isEmpty() else done.withColumns({"own_version": F.lit(0), "next_version": F.lit(0)})
-    out = out.withColumns({"own_version": F.coalesce("own_version", F.lit(0)), "next_version": F.coalesce("next_version", F.lit(0))})
-    out = out.withColumns({"fingerprint": named("digest", "own_version"), "next_fingerprint": named("next_digest", "next_version")})
-    return out.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint",
-        F.when(F.col("same_edited"), F.col("fingerprint")).when(F.col("edited_digest") == F.col("fingerprint"), F.concat("edited_digest", F.lit("-edited"))).otherwise(F.col("edited_digest")).alias("edited_fingerprint"),
-        F.col("same_edited").cast("double").alias("near_edited"),
-        (F.col("fingerprint") == F.col("next_fingerprint")).cast("double").alias("near_next"),
+    if compare and (names := _unlike(docs, done, hasher)):
+        # The rare case: digest once more, with names that tell the unlike texts apart.
+        return edit_report(docs, lambda plain: names.get(plain) or hasher(plain), compare=False)
+    return done.select(
+        "doc_id", "n_chars", "edited_sha256", F.col("digest").alias("fingerprint"),
+        F.when(F.col("same_edited") | (F.col("edited_digest") != F.col("digest")), F.col("edited_digest")).otherwise(F.concat("edited_digest", F.lit("-edited"))).alias("edited_fingerprint"),
+        F.col("same_edited").cast("double").alias("near_edited"), (F.col("digest") == F.col("next_digest")).cast("double").alias("near_next"),
     )
