@@ -1,16 +1,22 @@
 """Operator 8: SimHash near-duplicates, compared exactly in tiles.
 
 Fingerprints are compared with numpy exclusive-or and bit counts, tile against
-tile; a pair of tiles whose population counts differ by more than the radius is
-skipped.  Which fingerprints meet in a tile is set by an exact pigeonhole rule:
-two fingerprints at ``radius`` bits or fewer agree in at least one of
-``radius + 1`` blocks of bits, so each block value is a cell and only cells are
-tiled.  Without it every tile would meet every other, which grows with the
-square of the corpus.
+tile, in order of their population counts; a pair of tiles whose counts differ
+by more than the radius is skipped.  Which fingerprints meet in a tile is set by
+an exact pigeonhole rule: two fingerprints at ``radius`` bits or fewer agree in
+all but ``radius`` of any blocks of bits, so each choice of that many equal
+blocks is a cell and only cells are tiled.  Without it every tile would meet
+every other, which grows with the square of the corpus.
+
+A fingerprint may be wider than 64 bits: then the first 64 bits say who meets,
+and links must also hold over the whole width, which estimates the likeness of
+two texts more closely.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -18,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import materialize, split_hot
+from .common import join_classes, materialize, split_hot
 from .components import connected_components
 
-TILE = 2048
+#: Fingerprints in a tile that travels, and in the tiles compared at once inside it.
+TILE, STRIP = 2048, 256
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
 def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> np.ndarray:
@@ -39,35 +47,45 @@ def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> np.ndarr
     )
 
 
-def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """64-bit fingerprint: a bit is set if it is set in over half the shingle hashes."""
-    hashes = shingle_hashes(text, words, seed)
-    n, ones = len(hashes), np.zeros(64, np.int64)
-    for at in range(0, n, 4096):  # whole text, bounded memory
-        ones += np.unpackbits(hashes[at : at + 4096].astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+def _lanes(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """64 further bits per lane from every hash; the first lane is the hash itself."""
+    with np.errstate(over="ignore"):
+        z = hashes[:, None] + np.arange(lanes, dtype=np.uint64) * _MIX[0]
+        z = (z ^ (z >> np.uint64(30))) * _MIX[1]
+        z = (z ^ (z >> np.uint64(27))) * _MIX[2]
+        z ^= z >> np.uint64(31)
+    z[:, 0] = hashes
+    return z
 
 
-def with_fingerprint(docs: DataFrame, name: str, words: int = 3, seed: int = 42, texts: bool = True) -> DataFrame:
-    """All columns (but the text unless ``texts``) and the fingerprint as a signed long.  Null texts count as empty: fp 0."""
+def simhash(text: str | None, words: int = 3, seed: int = 42, lanes: int = 1) -> np.ndarray:
+    """Fingerprint of ``lanes`` times 64 bits: a bit is set if it is set in over half the shingle hashes."""
+    hashes = shingle_hashes(text, words, seed)
+    n, ones = len(hashes), np.zeros(64 * lanes, np.int64)
+    for at in range(0, n, 255 * 16):  # whole text, bounded memory
+        part = _lanes(hashes[at : at + 255 * 16], lanes)
+        bits = np.zeros((-(-len(part) // 255) * 255, 64 * lanes), np.uint8)
+        bits[: len(part)] = np.unpackbits(part.astype(">u8").view(np.uint8), axis=1)
+        # 255 bytes of 0 or 1 add up without a carry, eight columns in a word.
+        ones += bits.view(np.uint64).reshape(-1, 255, 8 * lanes).sum(1).view(np.uint8).sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > n).view(">u8").astype(np.uint64)
+
+
+def with_fingerprint(docs: DataFrame, names: list[str], words: int = 3, seed: int = 42, texts: bool = True) -> DataFrame:
+    """All columns (but the text unless ``texts``) and the fingerprint as signed longs, 64 bits a name.  Null texts count as empty: all 0."""
     keep = [c for c in docs.columns if texts or c != "text"]
 
     def run(batches):
         for batch in batches:
-            fps = np.array([simhash(t.as_py(), words, seed) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fps)], [*keep, name])
+            fps = np.array([simhash(t.as_py(), words, seed, len(names)) for t in batch.column("text")], np.uint64).reshape(-1, len(names)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(fps[:, k].copy()) for k in range(len(names)))], [*keep, *names])
 
-    return docs.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), StructField(name, LongType())]))
+    return docs.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), *(StructField(n, LongType()) for n in names)]))
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp)."""
-    return with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "fp", words, seed, texts=False)
-
-
-def _near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    """Tile comparison: one row per fingerprint of ``a``."""
-    return np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
+    return with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["fp"], words, seed, texts=False)
 
 
 def star_edges(ids_a: np.ndarray, ids_b: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,40 +105,64 @@ def star_edges(ids_a: np.ndarray, ids_b: np.ndarray, linked: np.ndarray) -> tupl
     return ids[keep], low[keep]
 
 
-def _edges_of(batches, radius: int):
+def _strips(one, two):
+    """Pairs of strips of two tiles in order of population counts, as index arrays with counts; without ``two``, of one tile with itself."""
+    cut = lambda fp: [(k, np.bitwise_count(fp[k, 0])) for k in np.array_split(np.argsort(np.bitwise_count(fp[:, 0]), kind="stable"), -(-len(fp) // STRIP))]
+    a = cut(one)
+    b = a if two is None else cut(two)
+    for i, (x, count_x) in enumerate(a):
+        for y, count_y in b[i:] if two is None else b:
+            yield x, y, int(count_x.min()), int(count_x.max()), int(count_y.min()), int(count_y.max())
+
+
+def _edges_of(batches, lanes: list[str], radius: int, wide: int | None):
     """Compare pairs of tiles; a row without its own second tile is compared with itself."""
     for batch in batches:
         nodes, lows = [], []
         for one, two in zip(batch.column("one"), batch.column("two")):
-            a_fp, a_id = (np.asarray(one.values.field(k), np.int64) for k in ("fp", "rep"))
-            if two.is_valid:
-                b_fp, b_id = (np.asarray(two.values.field(k), np.int64) for k in ("fp", "rep"))
-                count_a, count_b = np.bitwise_count(a_fp.view(np.uint64)), np.bitwise_count(b_fp.view(np.uint64))
-                if int(count_a.max()) + radius < int(count_b.min()) or int(count_b.max()) + radius < int(count_a.min()):
+            read = lambda t: (np.stack([np.asarray(t.values.field(k), np.int64).view(np.uint64) for k in lanes], 1), np.asarray(t.values.field("rep"), np.int64))
+            a_fp, a_id = read(one)
+            b_fp, b_id = read(two) if two.is_valid else (a_fp, a_id)
+            for x, y, low_x, high_x, low_y, high_y in _strips(a_fp, b_fp if two.is_valid else None):
+                if high_x + radius < low_y or high_y + radius < low_x:
                     continue
-            else:
-                b_fp, b_id = a_fp, a_id
-            linked = _near(a_fp.view(np.uint64), b_fp.view(np.uint64), radius)
-            if linked.any():
-                ids, low = star_edges(a_id, b_id, linked)
-                nodes.append(ids)
-                lows.append(low)
+                linked = np.bitwise_count(a_fp[x, None, 0] ^ b_fp[None, y, 0]) <= radius
+                if wide is not None and linked.any():
+                    i, j = np.nonzero(linked)
+                    linked[i, j] = np.bitwise_count(a_fp[x[i]] ^ b_fp[y[j]]).sum(1) <= wide
+                if linked.any():
+                    ids, low = star_edges(a_id[x], b_id[y], linked)
+                    nodes.append(ids)
+                    lows.append(low)
         if nodes:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(lows))], ["a", "b"])
 
 
-def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
-    """Edges that span every component of the link graph over distinct (fp, rep) rows."""
-    width, count = 64 // (radius + 1), radius + 1
-    blocks = F.array(*[
-        F.struct(F.lit(i).alias("block"), F.expr(f"shiftrightunsigned(fp, {i * width}) & {(1 << (width if i < count - 1 else 64 - width * i)) - 1}L").alias("key"))
-        for i in range(count)
-    ])
-    rows = distinct.select("fp", "rep", F.bit_count("fp").alias("ones"), F.explode(blocks).alias("at")).select("fp", "rep", "ones", "at.block", "at.key")
+def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE, agree: int = 1, wide: int | None = None) -> DataFrame:
+    """Edges that span every component of the link graph over distinct rows (fp, further lanes, rep).
+
+    The bits of ``fp`` are cut into ``radius + agree`` blocks, of which two
+    linked fingerprints share ``agree`` at least; more of them make cells
+    smaller and more.  ``wide``: the distance that links must also keep over all lanes.
+    """
+    lanes = [c for c in distinct.columns if c != "rep"]
+    count = radius + agree
+    stops = [64 * i // count for i in range(count + 1)]
+    value = lambda i: F.expr(f"shiftrightunsigned(fp, {stops[i]}) & {(1 << (stops[i + 1] - stops[i])) - 1}L")
+
+    def cell(number: int, chosen: tuple[int, ...]):
+        key, width = F.lit(0).cast("long"), 0
+        for i in chosen:
+            key = key + F.shiftleft(value(i), width)
+            width += stops[i + 1] - stops[i]
+        return F.struct(F.lit(number).alias("block"), key.alias("key"))
+
+    blocks = F.array(*[cell(n, chosen) for n, chosen in enumerate(combinations(range(count), agree))])
+    rows = distinct.select(*lanes, "rep", F.bit_count("fp").alias("ones"), F.explode(blocks).alias("at")).select(*lanes, "rep", "ones", "at.block", "at.key")
     rows = split_hot(rows, ["block", "key"], "fp", tile)
-    # Tiles of a hot cell follow the population count, so that whole pairs of tiles can be skipped.
+    # Tiles of a hot cell follow the population count, so that whole pairs of tiles needn't travel.
     rows = rows.withColumn("level", F.when(F.col("tiles") > 1, F.col("ones")).otherwise(-1))
-    tiles = rows.groupBy("block", "key", "level", "tile").agg(F.collect_list(F.struct("fp", "rep")).alias("members"))
+    tiles = rows.groupBy("block", "key", "level", "tile").agg(F.collect_list(F.struct(*lanes, "rep")).alias("members"))
     cold = tiles.where("level < 0 and size(members) > 1").select(F.col("members").alias("one"), F.lit(None).cast(tiles.schema["members"].dataType).alias("two"))
     hot = materialize(tiles.where("level >= 0"), "tiles")
     keys = hot.select("block", "key", "level", "tile")
@@ -134,21 +176,23 @@ def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE) -> DataFr
         .join(hot.select("block", "key", F.col("level").alias("to"), F.col("tile").alias("to_tile"), F.col("members").alias("two")), ["block", "key", "to", "to_tile"])
         .select("one", "two")
     )
-    run = lambda batches: _edges_of(batches, radius)
+    run = lambda batches: _edges_of(batches, lanes, radius, wide)
     return cold.mapInArrow(run, "a long, b long").union(pairs.mapInArrow(run, "a long, b long"))
 
 
-def components(fps: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
-    """(fp, part, component_id) for every distinct fingerprint of rows (doc_id, fp).
+def components(fps: DataFrame, radius: int = 3, tile: int = TILE, agree: int = 1, wide: int | None = None) -> DataFrame:
+    """(fp and further lanes, copies, part, component_id) for every distinct fingerprint of rows (doc_id, fp, further lanes).
 
     Fingerprints are linked by themselves, so rows without a doc_id link and
-    bridge like any other.  part names the component (its least fingerprint as
-    a signed long); component_id is its smallest doc_id, null if it has none.
+    bridge like any other.  part names the component; component_id is its
+    smallest doc_id, null if it has none.
     """
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    parts = connected_components(link_edges(distinct.select("fp", F.col("fp").alias("rep")), radius, tile))
-    classes = materialize(distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
-    return classes.join(classes.groupBy("part").agg(F.min("least").alias("component_id")), "part").select("fp", "part", "component_id")
+    lanes = [c for c in fps.columns if c != "doc_id"]
+    distinct = materialize(fps.groupBy(*lanes).agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    parts = connected_components(link_edges(distinct.select(*lanes, F.col("node").alias("rep")), radius, tile, agree, wide)).withColumnRenamed("component", "linked")
+    classes = materialize(distinct.join(parts, "node", "left").select(*lanes, "least", "copies", F.coalesce("linked", "node").alias("part")), "parts")
+    named = classes.groupBy("part").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    return join_classes(classes, named, "part", "members", classes.count()).select(*lanes, "copies", "part", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, seed: int = 42, tile: int = TILE) -> DataFrame:
@@ -164,7 +208,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, seed: int
     gives an empty result; further columns of ``docs`` are ignored.
     """
     fps = materialize(fingerprints(docs, words, seed), "simhash")
-    return fps.join(components(fps, radius, tile), "fp").select(
+    return join_classes(fps, components(fps, radius, tile), "fp", "copies", fps.count()).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )
