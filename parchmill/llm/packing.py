@@ -12,6 +12,8 @@ Lengths are whole numbers up to the capacity, so a histogram of at most
    group needs, so it goes to the next step.
 4. Everything else, above all the small ones, goes to the tightest room (best
    fit, longest first), and only then into new sequences.
+5. A closing step empties the least-filled sequences, more of them each time,
+   best-fits what they held, and keeps the outcome if it takes fewer sequences.
 
 A plan is a list of runs: "items r to r+n of this length go to sequences from s
 on, k in each, from this offset".  Spark ranks the pieces of each length in
@@ -20,8 +22,11 @@ parallel and looks each one's run up, so no task sees all pieces.
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ from .common import materialize
 from .encoding import encoder
 
 CAPACITY, GROUPS = 2048, 96
+#: Pieces of one length that are ranked in one go.
+RANKED = 2000
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 600) -> list[tuple[np.ndarray, float]]:
@@ -77,92 +84,131 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
     return [(c, max(0.0, v)) for c, v in zip(columns, x)]
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
-    """Runs (length, rank, items, sequence, per_sequence, offset) and the number of sequences."""
-    left = {n: c for n, c in counts.items() if c > 0}
-    used, runs, sequences = defaultdict(int), [], 0
-    free: dict[int, list[list[int]]] = defaultdict(list)  # room -> [first sequence, how many]
-
-    def put(length: int, items: int, first: int, each: int, offset: int) -> None:
-        runs.append((length, used[length], items, first, each, offset))
-        used[length] += items
-        left[length] -= items
-
-    if left.get(capacity):
-        put(capacity, left[capacity], 0, 1, 0)
-        sequences = used[capacity]
-    large = sorted((n for n in left if capacity // 8 < n < capacity), reverse=True)
+def best_fit(patterns: list[tuple[tuple[int, ...], int]], items: Counter, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Put items (length: how many), longest first, into the tightest room, else into new sequences.
+
+    A pattern is what a sequence holds, with the number of sequences that hold it.
+    """
+    free: dict[int, list[list]] = defaultdict(list)
+    for content, n in patterns:
+        free[capacity - sum(content)].append([content, n])
+    rooms = sorted(free)
+
+    def add(content: tuple[int, ...], n: int) -> None:
+        room = capacity - sum(content)
+        if n:
+            if not free[room]:
+                k = bisect_left(rooms, room)
+                if k == len(rooms) or rooms[k] != room:
+                    rooms.insert(k, room)
+            free[room].append([content, n])
+
+    for length in sorted((n for n in items if items[n] > 0), reverse=True):
+        left = items[length]
+        while left:
+            at = bisect_left(rooms, length)
+            while at < len(rooms) and not free[rooms[at]]:
+                rooms.pop(at)
+            room = rooms[at] if at < len(rooms) else capacity
+            content, n = free[room].pop() if at < len(rooms) else ((), left)
+            each = room // length
+            whole, rest = divmod(min(left, each * n), each)
+            left -= whole * each + rest
+            add(content + (length,) * each, whole)
+            add(content + (length,) * rest, 1 if rest else 0)
+            if content:
+                add(content, n - whole - (1 if rest else 0))
+    return [(content, n) for own in free.values() for content, n in own]
+
+
+def grouped(counts: dict[int, int], capacity: int, groups: int) -> tuple[list[tuple[tuple[int, ...], int]], Counter]:
+    """Patterns by linear grouping of the large lengths, and the items left over."""
+    left = Counter({n: c for n, c in counts.items() if c > 0})
+    patterns = [((capacity,), left.pop(capacity))] if left.get(capacity) else []
+    large = sorted((n for n in left if n > capacity // 8), reverse=True)
     total = sum(left[n] for n in large)
-    if total:
-        # Equal cardinalities; a length may lie in two groups.
-        members, each, group, room = [[]], -(-total // groups), 0, -(-total // groups)
-        for n in large:
-            c = left[n]
-            while c:
-                if not room:
-                    members.append([])
-                    group, room = group + 1, each
-                take = min(c, room)
-                members[group].append([n, take])
-                c, room = c - take, room - take
-        sizes: list[int] = []
-        merged: list[list[list[int]]] = []
-        for m in members:
-            if sizes and sizes[-1] == m[0][0]:
-                merged[-1] += m
-            else:
-                sizes.append(m[0][0])
-                merged.append(list(m))
-        for column, value in configurations(sizes, [sum(c for _, c in m) for m in merged], capacity):
-            many = int(value + 1e-9)
-            stock = [sum(c for _, c in m) for m in merged]
-            many = min([many, *(stock[i] // int(a) for i, a in enumerate(column) if a)])
-            if many <= 0:
-                continue
-            parts = [[sequences, many, 0]]  # first, how many, filled
-            sequences += many
-            kinds = np.repeat(np.arange(len(column)), column)  # sizes fall, so the smallest place comes last
-            for i in kinds[: max(1, len(kinds) - 1)]:
-                after = []
-                for first, n, filled in parts:
-                    while n:
-                        length, there = merged[i][0]
-                        take = min(n, there)
-                        put(length, take, first, 1, filled)
-                        after.append([first, take, filled + length])
-                        first, n = first + take, n - take
-                        merged[i][0][1] -= take
-                        if not merged[i][0][1]:
-                            merged[i].pop(0)
-                parts = after
-            for first, n, filled in parts:
-                if filled < capacity:
-                    free[capacity - filled].append([first, n])
-    for length in sorted((n for n in left if left[n]), reverse=True):
-        for room in range(length, capacity):
-            while left[length] and free[room]:
-                first, n = free[room].pop()
-                each = room // length
-                whole, rest = divmod(min(left[length], each * n), each)
-                for items, at, many, k in ((whole * each, first, whole, each), (rest, first + whole, 1 if rest else 0, rest)):
-                    if items:
-                        put(length, items, at, k, capacity - room)
-                        if room - k * length:
-                            free[room - k * length].append([at, many])
-                gone = whole + (1 if rest else 0)
-                if gone < n:
-                    free[room].append([first + gone, n - gone])
-            if not left[length]:
-                break
-        if left[length]:
-            each = capacity // length
-            whole, rest = divmod(left[length], each)
-            for items, many, k in ((whole * each, whole, each), (rest, 1 if rest else 0, rest)):
-                if items:
-                    put(length, items, sequences, k, 0)
-                    if capacity - k * length:
-                        free[capacity - k * length].append([sequences, many])
-                    sequences += many
+    if not total:
+        return patterns, left
+    # Equal cardinalities; a length may lie in two groups.
+    members, each, group, room = [[]], -(-total // groups), 0, -(-total // groups)
+    for n in large:
+        c = left[n]
+        while c:
+            if not room:
+                members.append([])
+                group, room = group + 1, each
+            take = min(c, room)
+            members[group].append([n, take])
+            c, room = c - take, room - take
+    sizes: list[int] = []
+    merged: list[list[list[int]]] = []
+    for m in members:
+        if sizes and sizes[-1] == m[0][0]:
+            merged[-1] += m
+        else:
+            sizes.append(m[0][0])
+            merged.append(list(m))
+    for column, value in configurations(sizes, [sum(c for _, c in m) for m in merged], capacity):
+        stock = [sum(c for _, c in m) for m in merged]
+        many = min([int(value + 1e-9), *(stock[i] // int(a) for i, a in enumerate(column) if a)])
+        if many <= 0:
+            continue
+        parts: list[tuple[tuple[int, ...], int]] = [((), many)]
+        kinds = np.repeat(np.arange(len(column)), column)  # sizes fall, so the smallest place comes last
+        for i in kinds[: max(1, len(kinds) - 1)]:
+            after = []
+            for content, n in parts:
+                while n:
+                    length, there = merged[i][0]
+                    take = min(n, there)
+                    left[length] -= take
+                    after.append((content + (length,), take))
+                    n -= take
+                    merged[i][0][1] -= take
+                    if not merged[i][0][1]:
+                        merged[i].pop(0)
+            parts = after
+        patterns += parts
+    return patterns, left
+
+
+def dissolved(patterns: list[tuple[tuple[int, ...], int]], most: int, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """``patterns`` after the ``most`` least-filled sequences were emptied and their items best-fitted again."""
+    items, kept = Counter(), []
+    for content, n in sorted(patterns, key=lambda p: (sum(p[0]), p[0])):
+        take = min(n, most)
+        most -= take
+        for length in content:
+            items[length] += take
+        if n > take:
+            kept.append((content, n - take))
+    return best_fit(kept, items, capacity)
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+    """Runs (length, rank, items, sequence, per_sequence, offset) and the number of sequences.
+
+    Never more sequences than longest-first best fit needs: the closing step
+    may go as far as emptying all of them.
+    """
+    patterns = best_fit(*grouped(counts, capacity, groups), capacity)
+    size = lambda own: sum(n for _, n in own)
+    least = -(-sum(n * c for n, c in counts.items()) // capacity)
+    for share in (0.02, 0.05, 0.1, 0.2, 0.4, 0.7, 1.0):
+        if size(patterns) <= least:
+            break
+        again = dissolved(patterns, math.ceil(share * size(patterns)), capacity)
+        if size(again) < size(patterns):
+            patterns = again
+    used, runs, sequences = Counter(), [], 0
+    for content, n in sorted(patterns):
+        offset = 0
+        for length, own in groupby(content):
+            k = len(list(own))
+            runs.append((length, used[length], n * k, sequences, k, offset))
+            used[length] += n * k
+            offset += length * k
+        sequences += n
     return runs, sequences
 
 
@@ -198,8 +244,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
     runs.sort()
     table = spark.sparkContext.broadcast(np.array(runs, np.int64).reshape(-1, 6))
     # Ranks within a length: by hashed bucket first, then inside the bucket, so that one very common length isn't one task.
-    buckets = max(1, -(-sum(counts.values()) // 20_000))
-    rows = pieces.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    buckets = spark.createDataFrame([(n, -(-c // RANKED)) for n, c in counts.items()], "length long, __buckets long")  # at most ``capacity`` rows
+    rows = pieces.join(F.broadcast(buckets), "length").withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), "__buckets").cast("int"))
     ahead = rows.groupBy("length", "__bucket").count().select(
         "length", "__bucket", (F.sum("count").over(Window.partitionBy("length").orderBy("__bucket")) - F.col("count")).alias("__ahead")
     )
