@@ -27,6 +27,8 @@ from .common import crc32_of_id, materialize
 #: Hashed indicators; the sample that the linear model is fitted on; rows of it that calibrate.
 SPACE, FIT_ROWS, CALIBRATE = 1 << 16, 4000, 0.3
 THRESHOLD = 0.3
+#: Slots of the bitmap of labelled ids, as a logarithm.
+LABEL_BITS = 22
 
 
 def indicators(text: str | None) -> np.ndarray:
@@ -116,16 +118,44 @@ def _unpack(body: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint16), dtype=np.uint16)
 
 
+def _slot(ids: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - LABEL_BITS)).astype(np.int64)
+
+
+def labelled_slots(known: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** LABEL_BITS slots with the labelled ids' slots set, of one size whatever the labels are."""
+
+    def run(batches):
+        bits = np.zeros(1 << LABEL_BITS, np.uint8)
+        for batch in batches:
+            bits[_slot(np.asarray(batch.column(0)))] = 1
+        words = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["word", "bits"])
+
+    got = known.select("doc_id").where("doc_id is not null").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    words = np.zeros((1 << LABEL_BITS) // 64, np.int64)
+    words[got["word"]] = got["bits"]
+    return np.unpackbits(words.view(np.uint8)).astype(bool)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, quality, body): packed indicators of labelled rows that aren't held out."""
+    """(doc_id, quality, body): packed indicators of labelled rows that aren't held out.
+
+    Rows whose id can't be labelled are left out before their texts are read,
+    by a bitmap of bounded size; the join then is exact.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
+    shared = docs.sparkSession.sparkContext.broadcast(labelled_slots(known))
 
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(shared.value[_slot(np.asarray(batch.column(0)))]))
             bodies = [_pack(indicators(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], ["doc_id", "body"])
 
     train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").where(crc32_of_id(F.col("doc_id")) % 5 != 0)
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
     return train.mapInArrow(run, "doc_id long, body binary").join(known, "doc_id").select("doc_id", "quality", "body")
 
 
