@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, text_or_empty
+from .common import fresh, LOWER, UPPER, text_or_empty
 
 # Kinds, patterns, and the characters a text must hold for a kind to be possible.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -155,8 +155,9 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans are masked as one, under the kind that starts first (the
     longer on a tie).  Texts without spans, null texts included, stay as they are.
     """
-    found = with_spans(docs, text, "_mask_spans")
-    ordered = F.array_sort(F.transform("_mask_spans", lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("back"), s["kind"].alias("kind"))))
+    (spans,) = fresh(docs, "spans")
+    found = with_spans(docs, text, spans)
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("back"), s["kind"].alias("kind"))))
     done = F.aggregate(
         ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
@@ -167,7 +168,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     masked = F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, F.lit(2**31 - 1)))
-    return found.withColumn(text, F.when(F.size("_mask_spans") > 0, masked).otherwise(F.col(text))).drop("_mask_spans")
+    return found.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(F.col(text))).drop(spans)
 
 
 def report(docs: DataFrame) -> DataFrame:

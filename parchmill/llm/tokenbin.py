@@ -18,21 +18,27 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bucket, id_bounds, materialize, packed_texts, shared_dir, unpack
+from .common import by_bucket, id_bounds, materialize, packed_texts, running_totals, shared_dir, unpack
 from .encoding import encoder
 
 #: Length of a sequence, and sequences in a record batch.
 SEQUENCE, BATCH = 2048, 64
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme, as Spark's own file system settings resolve it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _file_system(uri: str):
-    """pyarrow's file system and path for a folder that Spark names (file:, hdfs:, s3: ...)."""
+    """pyarrow's file system and path for a qualified folder (file:, hdfs:, s3: ...)."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    return fs.FileSystem.from_uri(uri)
 
 
 class _PartWriter:
@@ -93,7 +99,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
     ids first, ties by text; null texts count as empty and every document ends
     with ``end_id``.  An empty table writes nothing.
     """
-    folder = folder or shared_dir(docs.sparkSession, "tokens")
+    folder = qualified(docs.sparkSession, folder or shared_dir(docs.sparkSession, "tokens"))
     bounds, n = id_bounds(docs, "doc_id")
 
     def run(batches):
@@ -158,8 +164,7 @@ class TokenFile:
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the files of a manifest."""
     # One row per part; a part holds what one task of the shuffle holds.
-    order = Window.orderBy("bucket")
-    placed = manifest.select("bucket", "folder", "name", (F.sum("n_tokens").over(order) - F.col("n_tokens")).alias("first"))
+    placed = running_totals(manifest.select("bucket", "folder", "name", "n_tokens"), "bucket", "n_tokens", "first").select("bucket", "folder", "name", "first")
 
     def run(batches):
         for batch in batches:
