@@ -3,6 +3,9 @@
 Counted as part of the subpackage ``parchmill.llm``.  Every stage takes
 (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's rows
 as Parquet in the shared folder and reads them again as the next one's input.
+All stages keep null and empty texts but where their decisions say otherwise,
+treat repeated rows one by one, give an empty table for an empty table, and
+pass on further columns whatever their names.
 """
 
 from __future__ import annotations
@@ -11,28 +14,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchmill.llm import packing, pii, quality, simhash
-from parchmill.llm.common import materialize, table
+from parchmill.llm.common import fresh, materialize, table
 from parchmill.llm.queries import tokenizer_file
 
+#: Near-duplicates: shingles of WORDS words; fingerprints of 64 * LANES bits that differ in at most NEAR of the first 64
+#: bits and WIDE bits in all.  Sets of equal size with similarity 0.8 have shares of 0.89 in common, so their
+#: fingerprints differ in 15 of 100 bits: 10 of 64, 39 of 256.
+WORDS, LANES, NEAR, WIDE, AGREE = 5, 4, 9, 40, 2
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score reaches the classifier's threshold; it learns from the labels of ``sf_dir``."""
+    """Documents whose score reaches the classifier's threshold; it learns from the labels of ``sf_dir``.
+
+    Null and empty texts are scored like any other, as texts without marks.
+    """
     ratio, model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    columns = docs.columns
-    return quality.with_score(docs, ratio, model, "__score").where(F.col("__score") >= quality.THRESHOLD).select(*columns)
+    (score,) = fresh(docs, "score")
+    return quality.with_score(docs, ratio, model, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every near-duplicate group: the one with the smallest doc_id.
 
-    Among rows that repeat that doc_id, and in groups without any doc_id, a
-    hash of the text decides.
+    Groups are what links of like fingerprints connect.  Among rows that repeat
+    that doc_id, and in groups without any doc_id, a hash of the text decides.
+    Texts without words are one group.
     """
-    rows = materialize(simhash.with_fingerprint(docs, "__fp").withColumn("__row", F.monotonically_increasing_id()), "rows")
-    fps = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__fp").alias("fp"), "__row", F.xxhash64("text").alias("order"))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "order", "__row")
-    kept = fps.join(simhash.components(fps).select("fp", "part"), "fp").groupBy("part").agg(F.min(rank).alias("best")).select("best.__row")
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    row, order, *lanes = fresh(docs, "row", "order", *[f"fp{k}" for k in range(LANES)])
+    rows = materialize(simhash.with_fingerprint(docs, lanes, WORDS).withColumn(row, F.monotonically_increasing_id()), "rows")
+    names = ["fp", *[f"fp{k}" for k in range(1, LANES)]]
+    fps = rows.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(a).alias(b) for a, b in zip(lanes, names)], F.col(row).alias("row"), F.xxhash64("text").alias("order"))
+    classes = simhash.components(fps.drop("row", "order"), NEAR, agree=AGREE, wide=WIDE)
+    # A class is named by one number from here on.
+    key = F.sha2(F.concat_ws(",", *names), 256)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "order", "row")
+    best = fps.groupBy(key.alias("key")).agg(F.min(rank).alias("best"))
+    kept = best.join(classes.select(key.alias("key"), "part"), "key").groupBy("part").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def personal_data_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +59,10 @@ def personal_data_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences of 2048 tokens."""
+    """Pieces of all documents with their places in sequences of 2048 tokens.
+
+    A null or empty text is one piece that holds the end id.
+    """
     return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), end_id=0)
 
 
