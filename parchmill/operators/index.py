@@ -79,6 +79,14 @@ def facets(index: DataFrame, column: str) -> DataFrame:
     return index.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).select(F.lit(column).alias("facet"), "value", "n")
 
 
+def coverage(manifest: DataFrame, index: DataFrame) -> DataFrame:
+    """(format, n_expected, n_found, missing): the corpus list against the indexed documents; missing ids in order, as text."""
+    found = index.select("document_id").distinct().withColumn("found", F.lit(True))
+    told = manifest.join(found, "document_id", "left")
+    lost = F.array_join(F.array_sort(F.collect_list(F.when(F.col("found").isNull(), F.col("document_id")))), ",")
+    return told.groupBy(F.lower("format").alias("format")).agg(F.count("*").alias("n_expected"), F.count("found").alias("n_found"), lost.alias("missing"))
+
+
 class Snapshots:
     """An index below ``root`` that changes as a whole.
 

@@ -161,9 +161,18 @@ def _page_documents(spark, sf_dir):
     return chunk.section_path(rows)
 
 
-@register()
+@register("""
+WITH c AS (SELECT page_id, regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<nav.*?</nav>|<footer.*?</footer>|<!--.*?-->|<head>.*?</head>', '', 'g') AS h FROM pages),
+m AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(h, '<p>', chr(1) || 'P', 'g'), '<h1>', chr(1) || 'H', 'g'), '</p>|</h1>|</?div[^>]*>|</?article>|</?body>|</html>', chr(1) || 'X', 'g') AS h FROM c),
+s AS (SELECT page_id, unnest(string_split(h, chr(1))) AS part, generate_subscripts(string_split(h, chr(1)), 1) AS i FROM m),
+t AS (SELECT page_id, i, part[1] AS k, trim(regexp_replace(regexp_replace(replace(regexp_replace(part[2:], '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS text FROM s WHERE part[1] IN ('P', 'H')),
+b AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos, max(CASE WHEN k = 'H' THEN i END) OVER (PARTITION BY page_id ORDER BY i) AS head FROM t WHERE text <> '')
+SELECT b.page_id::VARCHAR AS document_id, b.pos::INT AS pos, CASE WHEN b.k = 'H' THEN 'heading' ELSE 'paragraph' END AS kind, b.text, CASE WHEN b.k = 'H' THEN 1 ELSE 0 END AS level, coalesce(h.text, '') AS path
+FROM b LEFT JOIN t h ON h.page_id = b.page_id AND h.i = b.head
+""")
 def html_blocks(spark, sf_dir):
-    return _page_documents(spark, sf_dir).select("document_id", "pos", "kind", "text", "level", F.array_join("section_path", " > ").alias("path"))
+    """Blocks of the pages with their section paths."""
+    return _page_documents(spark, sf_dir).select("document_id", "pos", "kind", "text", F.coalesce("level", F.lit(0)).alias("level"), F.array_join("section_path", " > ").alias("path"))
 
 
 @register("""

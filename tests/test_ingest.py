@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parchmill import cli
-from parchmill.operators import answer, embed, index, layout, retrieve
+from parchmill.operators import answer, embed, index, layout, normalize, retrieve
 from parchmill.plans import ingest
 from parchmill.plans.ingest_queries import _package
 from parchmill.sources import files
@@ -114,6 +114,12 @@ def test_two_files_with_one_id(spark, tmp_path):
     assert empty.report().first()["docs_total"] == 0 and empty.report().first()["status"] == "succeeded"
 
 
+def test_source_addresses(spark):
+    rows = spark.createDataFrame([("/a/b c.md",), ("hdfs://h/x.md",), ("x.md",)], "path string")
+    get = lambda base: [r[0] for r in rows.select(normalize.source_uri(F.col("path"), base)).collect()]
+    assert get("") == ["file:///a/b c.md", "hdfs://h/x.md", "file://x.md"] and get("https://s/") == ["https://s/b c.md", "https://s/x.md", "https://s/x.md"]
+
+
 def test_failed_write_leaves_the_index(spark, tmp_path):
     store = index.Snapshots(spark, str(tmp_path / "index"), 4)
     source = spark.createDataFrame([("x.md", b"# T\n\ntext")], "path string, content binary")
@@ -160,6 +166,9 @@ def test_corpus_lists(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps([{"document_id": "X-1", "title": "T", "format": "PDF", "status": "Active"}]))
     (tmp_path / "q.json").write_text(json.dumps([{"id": "Q1", "question": "q", "source_documents": ["X-1"], "expected_answer": "a"}, {"id": "Q2", "question": "q", "source_documents": ["NONE"], "expected_answer": "a"}]))
     assert files.manifest(spark, str(tmp_path / "m.json")).first()["format"] == "PDF"
+    held = spark.createDataFrame([("X-1",), ("Z-9",)], "document_id string")
+    listed = spark.createDataFrame([("X-1", "PDF"), ("X-3", "PDF"), ("X-2", "PDF"), ("Y-1", "HTML")], "document_id string, format string")
+    assert sorted(tuple(r) for r in index.coverage(listed, held).collect()) == [("html", 1, 0, "Y-1"), ("pdf", 3, 1, "X-2,X-3")]
     assert {r["id"]: r["source_documents"] for r in files.questions(spark, str(tmp_path / "q.json")).collect()} == {"Q1": ["X-1"], "Q2": []}
 
 
