@@ -12,6 +12,8 @@ from ..functions.text import words
 
 # Parameters of the published BM25 and reciprocal-rank formulas.
 K1, B, RRF_K = 1.2, 0.75, 60
+#: Bytes of queries that are sent to every task.
+SENT = 64 << 20
 #: Fields of the index that keyword search reads, with their weights.
 FIELDS = {"document_name": 2.0, "section": 1.5, "section_path": 1.0, "content": 1.0}
 
@@ -81,19 +83,20 @@ def overlap(counted: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 def cosine_top(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 1024) -> DataFrame:
     """(query_id, vec_id, score, rank): the k nearest of all vectors per query, by exact cosine.
 
-    Queries and vectors are dealt into blocks; every block of vectors is sent
-    once to each block of queries by an explicit pair of numbers, and each pair
-    is one matrix product that leaves k rows per query.  Neither side is
-    broadcast or collected.  Scores are rounded to 6 decimals (halves away from
+    Queries and vectors are dealt into blocks, and every pair of blocks is one
+    matrix product that leaves k rows per query.  Queries of SENT bytes or less
+    are sent to every task; more of them meet the vectors by a shuffle on the
+    pair of block numbers.  Scores are rounded to 6 decimals (halves away from
     zero, as in SQL) before any are left out, and ties go to the smallest
     vec_id.  A vector isn't its own neighbour; vectors without a cosine are
     left out.
     """
-    def blocks(frame: DataFrame, key: str, side: str) -> tuple[DataFrame, int]:
+    def blocks(frame: DataFrame, key: str, side: str) -> tuple[DataFrame, int, int]:
         usable = frame.where("embedding is not null and size(embedding) > 0").where(F.exists("embedding", lambda x: x != 0) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x)))
-        n = max(1, -(-usable.count() // block))
-        dealt = usable.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias(f"{side}_block")).agg(F.collect_list(F.struct(F.col(key).cast("long").alias("id"), "embedding")).alias(side))
-        return dealt, n
+        rows, numbers = usable.agg(F.count("*"), F.coalesce(F.sum(F.size("embedding")), F.lit(0))).first()
+        n = max(1, -(-rows // block))
+        dealt = usable.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(f"{side}_block")).agg(F.collect_list(F.struct(F.col(key).cast("long").alias("id"), "embedding")).alias(side))
+        return dealt, n, 8 * numbers
 
     def run(batches):
         for batch in batches:
@@ -114,9 +117,14 @@ def cosine_top(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int =
                 ok = np.isfinite(s)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[0][rows][ok]), pa.array(ids[1][best.ravel()][ok]), pa.array(s[ok])], ["query_id", "vec_id", "score"])
 
-    asked, n = blocks(queries, "query_id", "q")
-    sent = blocks(vectors, "vec_id", "v")[0].withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>")))
-    found = asked.hint("shuffle_hash").join(sent, "q_block").select("q", "v").mapInArrow(run, "query_id long, vec_id long, score double")
+    asked, n_q, size = blocks(queries, "query_id", "q")
+    sent, n_v, _ = blocks(vectors, "vec_id", "v")
+    if size <= SENT:
+        pairs = sent.crossJoin(F.broadcast(asked))
+    else:
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        pairs = asked.withColumn("v_block", every(n_v)).join(sent.withColumn("q_block", every(n_q)), ["q_block", "v_block"])
+    found = pairs.select("q", "v").mapInArrow(run, "query_id long, vec_id long, score double")
     return top(found, "score", "query_id", "vec_id", k)
 
 
