@@ -286,6 +286,13 @@ def test_unigram_against_brute_force(spark, docs, sp_model, texts):
         assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes()) and r["score"] == pytest.approx(sum(model.scores[i] for i in ids))
 
 
+def test_unigram_very_long_word(sp_model, monkeypatch):
+    model, word = unigram.Unigram(unigram.load_pieces(sp_model)), unigram.MARK + "abcé日x" * 300
+    plain = model.segment(word)
+    monkeypatch.setattr(unigram, "LONG", 100)
+    assert model.segment(word) == plain and b"".join(model.bytes_of[i] for i in plain).decode() == word
+
+
 def test_unigram_hard_tables(odd, empty, sp_model):
     out = unigram.round_trip_report(odd, sp_model)
     assert out.count() == len(ODD) and out.where("round_trip").count() == len(ODD)
