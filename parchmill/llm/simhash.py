@@ -155,25 +155,24 @@ def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE, agree: in
         for i in chosen:
             key = key + F.shiftleft(value(i), width)
             width += stops[i + 1] - stops[i]
-        return F.struct(F.lit(number).alias("block"), key.alias("key"))
+        return F.shiftleft(F.lit(number).cast("long"), 48) + key
 
-    blocks = F.array(*[cell(n, chosen) for n, chosen in enumerate(combinations(range(count), agree))])
-    rows = distinct.select(*lanes, "rep", F.bit_count("fp").alias("ones"), F.explode(blocks).alias("at")).select(*lanes, "rep", "ones", "at.block", "at.key")
-    rows = split_hot(rows, ["block", "key"], "fp", tile)
+    cells = F.array(*[cell(n, chosen) for n, chosen in enumerate(combinations(range(count), agree))])
+    rows = split_hot(distinct.select(*lanes, "rep", F.explode(cells).alias("cell")), ["cell"], "fp", tile)
     # Tiles of a hot cell follow the population count, so that whole pairs of tiles needn't travel.
-    rows = rows.withColumn("level", F.when(F.col("tiles") > 1, F.col("ones")).otherwise(-1))
-    tiles = rows.groupBy("block", "key", "level", "tile").agg(F.collect_list(F.struct(*lanes, "rep")).alias("members"))
+    rows = rows.withColumn("level", F.when(F.col("tiles") > 1, F.bit_count("fp")).otherwise(-1))
+    tiles = rows.groupBy("cell", "level", "tile").agg(F.collect_list(F.struct(*lanes, "rep")).alias("members"))
     cold = tiles.where("level < 0 and size(members) > 1").select(F.col("members").alias("one"), F.lit(None).cast(tiles.schema["members"].dataType).alias("two"))
     hot = materialize(tiles.where("level >= 0"), "tiles")
-    keys = hot.select("block", "key", "level", "tile")
+    keys = hot.select("cell", "level", "tile")
     near = (
         keys.withColumn("to", F.explode(F.sequence(F.col("level"), F.col("level") + radius)))
-        .join(keys.select("block", "key", F.col("level").alias("to"), F.col("tile").alias("to_tile")), ["block", "key", "to"])
+        .join(keys.select("cell", F.col("level").alias("to"), F.col("tile").alias("to_tile")), ["cell", "to"])
         .where("to > level or to_tile >= tile")
     )
     pairs = (
-        near.join(hot.withColumnRenamed("members", "one"), ["block", "key", "level", "tile"])
-        .join(hot.select("block", "key", F.col("level").alias("to"), F.col("tile").alias("to_tile"), F.col("members").alias("two")), ["block", "key", "to", "to_tile"])
+        near.join(hot.withColumnRenamed("members", "one"), ["cell", "level", "tile"])
+        .join(hot.select("cell", F.col("level").alias("to"), F.col("tile").alias("to_tile"), F.col("members").alias("two")), ["cell", "to", "to_tile"])
         .select("one", "two")
     )
     run = lambda batches: _edges_of(batches, lanes, radius, wide)
