@@ -19,8 +19,8 @@ from parchmill.llm.queries import tokenizer_file
 
 #: Near-duplicates: shingles of WORDS words; fingerprints of 64 * LANES bits that differ in at most NEAR of the first 64
 #: bits and WIDE bits in all.  Sets of equal size with similarity 0.8 have shares of 0.89 in common, so their
-#: fingerprints differ in 15 of 100 bits: 10 of 64, 39 of 256.
-WORDS, LANES, NEAR, WIDE, AGREE = 5, 4, 9, 40, 2
+#: fingerprints differ in 15 of 100 bits: 10 of 64, 19 of 128.
+WORDS, LANES, NEAR, WIDE, AGREE = 5, 2, 9, 20, 2
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,8 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "order", "row")
     best = fps.groupBy(key.alias("key")).agg(F.min(rank).alias("best"))
     kept = best.join(classes.select(key.alias("key"), "part"), "key").groupBy("part").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
-    return rows.join(kept, row, "left_semi").select(*docs.columns)
+    # As many ids as documents: the same plan at every size, and no broadcast.
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def personal_data_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
