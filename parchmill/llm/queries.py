@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, mixing, packing, pii, quality, shards, simhash, tokenbin, unigram
+from . import embed_dedup, fingerprint, mixing, mixture, packing, pii, quality, shards, simhash, tokenbin, unigram
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.read_token_files(spark, manifest)
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -65,14 +69,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = [
         op1_embedding_near_dedup, op2_pii, op3_quality_classifier, op4_sentencepiece, op5_fingerprints, op6_sharding,
-        op7_lm_scoring, op8_simhash_near_dedup, op9_best_fit_packing, op10_token_files, pipeline,
+        op7_lm_scoring, op8_simhash_near_dedup, op9_best_fit_packing, op10_token_files, op13_source_mixing, pipeline,
     ]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL counterparts; the other operators have none and are tested against brute force."""
-    return {"op1_embedding_near_dedup": OP1_SQL}
+    return {"op1_embedding_near_dedup": OP1_SQL, "op13_source_mixing": OP13_SQL}
 
 
 OP1_SQL = """
@@ -92,3 +96,45 @@ SELECT v.vec_id, (SELECT count(*) FROM pairs p WHERE p.a = v.vec_id) AS n_links,
        v.vec_id = (SELECT min(r.b) FROM reach r WHERE r.a = v.vec_id) AS kept
 FROM v
 """
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce('s' || source, 't') AS name, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5(concat_ws(':', '29', doc_id, md5(coalesce(text, '')))) AS h
+  FROM documents
+), s AS (
+  SELECT name, sum(size)::HUGEINT AS source_size, row_number() OVER (ORDER BY name) - 1 AS rank,
+         [5, 2, 1][(row_number() OVER (ORDER BY name) - 1) % 3 + 1]::HUGEINT AS weight
+  FROM d GROUP BY name
+), filled AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS level,
+         sum(weight) OVER (ORDER BY source_size / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+  FROM s
+), line AS (
+  SELECT arg_min(level, (source_size / weight, rank)) AS level, arg_min(free, (source_size / weight, rank)) AS free
+  FROM filled WHERE weight * level <= 3 * source_size * free
+), t AS (
+  SELECT s.name, s.rank, s.source_size, least(s.weight::DOUBLE * line.level::DOUBLE / line.free::DOUBLE, (3 * s.source_size)::DOUBLE) AS target FROM s, line
+), q AS (
+  SELECT *, least(floor(target + 0.5)::HUGEINT, 3 * source_size) AS quota FROM t
+), points AS (
+  SELECT *, greatest(1, CAST(2 ** ceil(log2(greatest(2, ceil(sum(quota) OVER () / 1024)))) AS HUGEINT)) AS points,
+         coalesce(sum(quota) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(quota) OVER () AS everything
+  FROM q
+), cut AS (
+  SELECT *, least(quota, greatest(1, ((before + quota) * points + everything - 1) // everything - (before * points + everything - 1) // everything)) AS slots FROM points
+), placed AS (
+  SELECT d.*, source_size, target, quota, quota // slots AS low, quota % slots AS more,
+         sum(size) OVER (PARTITION BY d.name ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
+  FROM d JOIN cut USING (name)
+), turns AS (
+  SELECT *, start + turn * source_size AS begin, least(start + turn * source_size + size, quota) AS stop FROM placed, (VALUES (0), (1), (2)) AS v(turn)
+), taken AS (
+  SELECT doc_id, sum(stop - begin) AS taken, sum(
+    CASE WHEN stop - 1 < more * (low + 1) THEN (stop - 1) // (low + 1) ELSE more + (stop - 1 - more * (low + 1)) // low END
+    - CASE WHEN begin < more * (low + 1) THEN begin // (low + 1) ELSE more + (begin - more * (low + 1)) // low END + 1) AS slots
+  FROM turns WHERE begin < stop GROUP BY doc_id
+)
+SELECT p.doc_id, p.size::BIGINT AS size, p.source_size::BIGINT AS source_size, p.target, coalesce(t.taken, 0)::BIGINT AS taken, coalesce(t.slots, 0)::BIGINT AS slots
+FROM placed p LEFT JOIN taken t USING (doc_id)
+"""
