@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, mixing, mixture, packing, pii, quality, shards, simhash, tokenbin, unigram
+from . import embed_dedup, fingerprint, mixing, mixture, packing, pii, quality, repair, shards, simhash, tokenbin, unigram
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.read_token_files(spark, manifest)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_report(table(spark, sf_dir, "documents"))
 
@@ -69,14 +73,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = [
         op1_embedding_near_dedup, op2_pii, op3_quality_classifier, op4_sentencepiece, op5_fingerprints, op6_sharding,
-        op7_lm_scoring, op8_simhash_near_dedup, op9_best_fit_packing, op10_token_files, op13_source_mixing, pipeline,
+        op7_lm_scoring, op8_simhash_near_dedup, op9_best_fit_packing, op10_token_files, op12_conversation_repair, op13_source_mixing, pipeline,
     ]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL counterparts; the other operators have none and are tested against brute force."""
-    return {"op1_embedding_near_dedup": OP1_SQL, "op13_source_mixing": OP13_SQL}
+    return {"op1_embedding_near_dedup": OP1_SQL, "op12_conversation_repair": OP12_SQL, "op13_source_mixing": OP13_SQL}
 
 
 OP1_SQL = """
@@ -138,3 +142,67 @@ WITH d AS (
 SELECT p.doc_id, p.size::BIGINT AS size, p.source_size::BIGINT AS source_size, p.target, coalesce(t.taken, 0)::BIGINT AS taken, coalesce(t.slots, 0)::BIGINT AS slots
 FROM placed p LEFT JOIN taken t USING (doc_id)
 """
+
+#: Forward over the rows: per state the cheapest (cost, letters, lines); crc32 by its table of 256 entries.
+OP12_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT i, i::UBIGINT AS c, 0 AS k FROM range(256) AS r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(concat_ws(':', coalesce(conv_id::VARCHAR, ' '), coalesce(turn::VARCHAR, ' ')), ''), lambda x: ascii(x)::UBIGINT) AS bytes
+  FROM conversations
+), hashed AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295::UBIGINT], bytes), lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295) % 20 AS h
+  FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM hashed JOIN (VALUES (1), (2)) AS v(copy) ON h <> 0 AND (h = 3 OR copy = 1)
+), placed AS (
+  SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS rows, lag(left(role, 1)) OVER w AS initial_before,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role)::VARCHAR || ':' || role || text), copy)
+), marked AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed
+), steps AS (
+  SELECT conv_id, 0 AS pos, {'c': 0, 's': '', 't': ''} AS s0, {'c': 1000000, 's': '', 't': ''} AS s1, {'c': 1000000, 's': '', 't': ''} AS s2, {'c': 1000000, 's': '', 't': ''} AS s3
+  FROM (SELECT DISTINCT conv_id FROM marked)
+  UNION ALL
+  SELECT conv_id, pos, s0, s1, s2, s3 FROM (
+    SELECT conv_id, pos, struct_pack(c := i0.c + 3, s := i0.s || 'D', t := i0.t) AS s0,
+      list_sort([struct_pack(c := i1.c + 3, s := i1.s || 'D', t := i1.t)]
+        || CASE WHEN gone OR left(role, 1) <> 's' THEN [] ELSE [struct_pack(c := i0.c + cut, s := i0.s || 'K', t := i0.t || own)] END)[1] AS s1,
+      list_sort([struct_pack(c := i2.c + 3, s := i2.s || 'D', t := i2.t)]
+        || CASE WHEN gone THEN [] ELSE list_transform([i0, i1, i3], lambda x: struct_pack(c := x.c + cut + 2, s := x.s || 'R', t := x.t || chr(10) || 'user:' || text)) END
+        || CASE WHEN gone OR left(role, 1) <> 'u' THEN [] ELSE list_transform([i0, i1, i3], lambda x: struct_pack(c := x.c + cut, s := x.s || 'K', t := x.t || own)) END)[1] AS s2,
+      list_sort([struct_pack(c := i3.c + 3, s := i3.s || 'D', t := i3.t)]
+        || CASE WHEN gone THEN [] ELSE [struct_pack(c := i2.c + cut + 2, s := i2.s || 'R', t := i2.t || chr(10) || 'assistant:' || text)] END
+        || CASE WHEN gone OR left(role, 1) <> 'a' THEN [] ELSE [struct_pack(c := i2.c + cut, s := i2.s || 'K', t := i2.t || own)] END)[1] AS s3
+    FROM (
+      SELECT *, list_sort([i2_, struct_pack(c := i3.c + 2, s := i3.s || 'I', t := i3.t || chr(10) || 'user:')])[1] AS i2 FROM (
+        SELECT *, list_sort([i3_, struct_pack(c := i2_.c + 2, s := i2_.s || 'I', t := i2_.t || chr(10) || 'assistant:')])[1] AS i3 FROM (
+          SELECT m.conv_id, m.pos::INTEGER AS pos, m.role, m.text, chr(10) || m.role || ':' || m.text AS own, m.fault IN ('blank', 'duplicate') AS gone, CASE WHEN m.fault = 'truncated' THEN 1 ELSE 0 END AS cut,
+            s0 AS i0, s1 AS i1, s3 AS i3_,
+            list_sort([s2] || list_transform([s0, s1, s3], lambda x: struct_pack(c := x.c + 2, s := x.s || 'I', t := x.t || chr(10) || 'user:')))[1] AS i2_
+          FROM steps s JOIN marked m ON s.conv_id IS NOT DISTINCT FROM m.conv_id AND m.pos = s.pos + 1
+        )
+      )
+    )
+  )
+), ends AS (
+  SELECT s.conv_id, list_sort([s0, s3, struct_pack(c := s2.c + 2, s := s2.s || 'I', t := s2.t || chr(10) || 'assistant:'),
+      struct_pack(c := s1.c + 4, s := s1.s || 'II', t := s1.t || chr(10) || 'user:' || chr(10) || 'assistant:')])[1] AS best
+  FROM steps s JOIN (SELECT conv_id, max(rows) AS rows FROM marked GROUP BY conv_id) n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND s.pos = n.rows
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pos > 1 AND initial_before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.s, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN counts c ON d.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON d.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
