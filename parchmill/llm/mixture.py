@@ -100,7 +100,8 @@ def schedule(sources: DataFrame, bits: int) -> DataFrame:
     slots = points.select("name", slot.alias("slot"), F.shiftright(slot, 12).alias("stretch"))
     inside = F.row_number().over(Window.partitionBy("name", "stretch").orderBy("slot")) - 1
     ahead = slots.groupBy("name", "stretch").count().select("name", "stretch", (F.sum("count").over(Window.partitionBy("name").orderBy("stretch")) - F.col("count")).alias("ahead"))
-    return slots.withColumn("inside", inside).join(ahead, ["name", "stretch"]).select("name", (F.col("inside") + F.col("ahead")).alias("block"), "slot")
+    # Spark sizes these tables by the sources before they are exploded: without hints it would send all slots to every task.
+    return slots.withColumn("inside", inside).join(ahead.hint("merge"), ["name", "stretch"]).select("name", (F.col("inside") + F.col("ahead")).alias("block"), "slot")
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     sources, bits = _scheduled(targets(rows, weights, cap), block)
     sources = materialize(sources, "schedule")
     placed = materialize(_placed(rows), "placed")
-    pieces = _pieces(placed, sources, cap).join(schedule(sources, bits), ["name", "block"])
+    pieces = _pieces(placed, sources, cap).join(schedule(sources, bits).hint("merge"), ["name", "block"])
     return pieces, placed.select("name", "doc_id", "h", "copy", "size"), sources
 
 
