@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, mixing, mixture, packing, pii, quality, repair, shards, simhash, tokenbin, unigram
+from . import collocations, embed_dedup, fingerprint, mixing, mixture, packing, pii, quality, repair, shards, simhash, tokenbin, unigram
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.read_token_files(spark, manifest)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(table(spark, sf_dir, "conversations"))
 
@@ -73,14 +77,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = [
         op1_embedding_near_dedup, op2_pii, op3_quality_classifier, op4_sentencepiece, op5_fingerprints, op6_sharding,
-        op7_lm_scoring, op8_simhash_near_dedup, op9_best_fit_packing, op10_token_files, op12_conversation_repair, op13_source_mixing, pipeline,
+        op7_lm_scoring, op8_simhash_near_dedup, op9_best_fit_packing, op10_token_files, op11_collocations, op12_conversation_repair, op13_source_mixing, pipeline,
     ]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL counterparts; the other operators have none and are tested against brute force."""
-    return {"op1_embedding_near_dedup": OP1_SQL, "op12_conversation_repair": OP12_SQL, "op13_source_mixing": OP13_SQL}
+    return {"op1_embedding_near_dedup": OP1_SQL, "op11_collocations": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_source_mixing": OP13_SQL}
 
 
 OP1_SQL = """
@@ -206,3 +210,35 @@ SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.s, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN counts c ON d.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON d.conv_id IS NOT DISTINCT FROM e.conv_id
 """
+
+OP11_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         list_filter(regexp_split_to_array(unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[\\x20\\x09]+'), lambda w: w <> '') AS words
+  FROM documents
+), grams AS (
+  SELECT lang, m, list_slice(words, i, i + m - 1) AS phrase FROM (
+    SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4), (5)) AS v(m)
+  )
+), f AS (
+  SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE m = 1 GROUP BY lang
+), c AS (
+  SELECT lang, m, phrase, f AS a FROM f WHERE m > 1 AND f >= 100
+), inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM c s JOIN c g ON s.lang = g.lang AND g.m > s.m AND 100 * g.a >= 100 * s.a
+  WHERE len(list_filter(range(1, g.m - s.m + 2), lambda i: list_slice(g.phrase, i, i + s.m - 1) = s.phrase)) > 0
+), cuts AS (
+  SELECT lang, m, phrase, a, unnest(range(1, m)) AS k FROM c ANTI JOIN inside USING (lang, phrase)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, n, k, l.f AS l, r.f AS r, (1000 * a * n) // (l.f * r.f) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = list_slice(cuts.phrase, 1, k) JOIN f r ON r.lang = cuts.lang AND r.phrase = list_slice(cuts.phrase, k + 1, cuts.m)
+  JOIN totals ON totals.lang = cuts.lang
+), best AS (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, a, n, l, r, score, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE nth = 1
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
