@@ -58,6 +58,8 @@ KINDS = [
 ]
 #: How many characters on either side are searched for context words, and what one adds.
 CONTEXT_CHARS, CONTEXT_GAIN = 40, 0.15
+#: A text is cut into blocks of so many characters to take parts of it from.
+BLOCK_CHARS = 1024
 
 
 def _possible(kind: Kind, text: Column) -> Column:
@@ -95,31 +97,57 @@ def _valid(kind: Kind, found: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: Kind, text: Column, gaps: Column, found: Column) -> Column:
-    """Array of (kind, start, end, score) for the confirmed matches of a kind."""
-    sized = F.zip_with(
-        F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), m.alias("found"))
-    )
-    empty = F.array().cast("array<struct<start:int,stop:int,found:string>>")
-    placed = F.aggregate(
-        sized, F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + m["size"]).alias("at"),
-            F.array_append(
-                acc["spans"], F.struct((acc["at"] + m["gap"]).alias("start"), (acc["at"] + m["gap"] + m["size"]).alias("stop"), m["found"].alias("found"))
-            ).alias("spans"),
-        ),
-    )["spans"]
-
-    def scored(s: Column) -> Column:
-        before = F.substring(text, F.greatest(F.lit(1), s["start"] + 1 - CONTEXT_CHARS), F.least(s["start"], F.lit(CONTEXT_CHARS)))
-        after = F.substring(text, s["stop"] + 1, F.lit(CONTEXT_CHARS))
-        near = F.translate(F.concat(before, F.lit(" "), after), UPPER, LOWER).rlike(rf"\b(?:{kind.context})")
-        score = F.lit(kind.score) + F.when(near, F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0))
-        return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), F.least(score, F.lit(1.0)).alias("score"))
-
-    kept = F.transform(F.filter(placed, lambda s: _valid(kind, s["found"])), scored)
-    return kept if kind.base else F.filter(kept, lambda s: s["score"] >= kind.threshold)
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scan(values: Column, op, zero: Column) -> Column:
+    """Running results of an associative ``op`` over an array, by doubling: n log n steps for n values."""
+    steps = F.filter(F.array(*[F.lit(2**k) for k in range(30)]), lambda s: s < F.size(values))
+    return F.aggregate(steps, values, lambda acc, s: F.zip_with(F.concat(F.array_repeat(zero, s), F.slice(acc, 1, F.size(acc) - s)), acc, op))
+
+
+def _left(text: Column) -> Column:
+    return F.substring(text, 1, CONTEXT_CHARS)
+
+
+def _right(text: Column) -> Column:
+    return F.when(F.length(text) <= CONTEXT_CHARS, text).otherwise(F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS))
+
+
+def _spans(kind: Kind, gaps: Column, found: Column) -> Column:
+    """Array of (kind, start, end, score) for the confirmed matches of a kind.
+
+    Words near a match are looked for in the gaps and matches around it, each
+    cut to what can be near, so the work is linear in the text.
+    """
+    matches = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(
+        (F.length(g) + F.length(m)).alias("both"), F.length(m).alias("size"), m.alias("found"), _right(g).alias("near"),
+    ))
+
+    def placed(matches: Column, stops: Column, ahead: Column, behind: Column) -> Column:
+        def scored(m: Column, i: Column) -> Column:
+            # A match has a character at least, so as many neighbours as characters are enough.
+            first = F.greatest(i - CONTEXT_CHARS, F.lit(0))
+            before = _right(F.concat(F.array_join(F.slice(ahead, first + 1, i - first), ""), m["near"]))
+            after = _left(F.array_join(F.slice(behind, i + 2, CONTEXT_CHARS), ""))
+            near = F.translate(F.concat(before, F.lit(" "), after), UPPER, LOWER).rlike(rf"\b(?:{kind.context})")
+            score = F.lit(kind.score) + F.when(near, F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0))
+            stop = F.element_at(stops, i + 1)
+            span = F.struct(F.lit(kind.name).alias("kind"), (stop - m["size"]).alias("start"), stop.alias("stop"), F.least(score, F.lit(1.0)).alias("score"))
+            return F.when(_valid(kind, m["found"]), span)
+
+        kept = F.filter(F.transform(matches, scored), lambda s: s.isNotNull())
+        return kept if kind.base else F.filter(kept, lambda s: s["score"] >= kind.threshold)
+
+    def with_neighbours(matches: Column) -> Column:
+        stops = scan(F.transform(matches, lambda m: m["both"]), lambda a, b: a + b, F.lit(0))
+        ahead = F.transform(matches, lambda m: F.concat(m["near"], _right(m["found"])))
+        behind = F.transform(gaps, lambda g, i: F.concat(_left(g), F.when(i < F.size(found), _left(F.get(found, i))).otherwise("")))
+        return let(F.struct(stops.alias("stops"), ahead.alias("ahead"), behind.alias("behind")), lambda n: placed(matches, n["stops"], n["ahead"], n["behind"]))
+
+    return let(matches, with_neighbours)
 
 
 SPANS = "array<struct<kind:string,start:int,stop:int,score:double>>"
@@ -143,7 +171,7 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
         for k in KINDS
     ])
     each = [
-        F.when(F.size(F.col(f"{name}{k.name}")["found"]) > 0, _spans(k, body, F.col(f"{name}{k.name}")["gaps"], F.col(f"{name}{k.name}")["found"])).otherwise(F.array().cast(SPANS))
+        F.when(F.size(F.col(f"{name}{k.name}")["found"]) > 0, _spans(k, F.col(f"{name}{k.name}")["gaps"], F.col(f"{name}{k.name}")["found"])).otherwise(F.array().cast(SPANS))
         for k in KINDS
     ]
     return matched.withColumn(out, F.concat(*each)).drop(*[f"{name}{k.name}" for k in KINDS])
@@ -157,18 +185,26 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     (spans,) = fresh(docs, "spans")
     found = with_spans(docs, text, spans)
+    body = F.col(text)
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("back"), s["kind"].alias("kind"))))
-    done = F.aggregate(
-        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], -s["back"]).alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"]).otherwise(
-                F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-            ).alias("out"),
-        ),
-    )
-    masked = F.concat(done["out"], F.substring(F.col(text), done["at"] + 1, F.lit(2**31 - 1)))
-    return found.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(F.col(text))).drop(spans)
+
+    def part(blocks: Column, start: Column, stop: Column) -> Column:
+        """Characters from start to stop, from the blocks that hold them."""
+        first = F.floor(start / BLOCK_CHARS).cast("int")
+        inside = F.array_join(F.slice(blocks, first + 1, F.floor(stop / BLOCK_CHARS).cast("int") - first + 1), "")
+        return F.when(stop <= start, "").otherwise(F.substring(inside, start - first * BLOCK_CHARS + 1, stop - start))
+
+    def replaced(x: Column) -> Column:
+        # Where the text is covered up to, before each span.
+        covered = F.concat(F.array(F.lit(0)), scan(F.transform(x["ordered"], lambda s: -s["back"]), lambda a, b: F.greatest(a, b), F.lit(0)))
+        def masked(c: Column) -> Column:
+            pieces = F.transform(x["ordered"], lambda s, i: F.when(s["start"] >= F.get(c, i), F.concat(part(x["blocks"], F.get(c, i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+            return F.concat(F.array_join(pieces, ""), part(x["blocks"], F.element_at(c, -1), F.length(body)))
+        return let(covered, masked)
+
+    blocks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+    done = let(F.struct(ordered.alias("ordered"), blocks.alias("blocks")), replaced)
+    return found.withColumn(text, F.when(F.size(spans) > 0, done).otherwise(body)).drop(spans)
 
 
 def report(docs: DataFrame) -> DataFrame:
