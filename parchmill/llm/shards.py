@@ -43,8 +43,9 @@ def numbered(rows: DataFrame, tie: str, nth: str, part: str) -> DataFrame:
     hot = materialize(rows.join(many, tie, "left_semi").withColumn(part, F.spark_partition_id()), "copies")
     w = Window.partitionBy(tie).orderBy(part)
     ahead = hot.groupBy(tie, part).count().select(tie, part, (F.sum("count").over(w) - F.col("count")).alias(nth))
+    (place,) = fresh(hot, "place")
     inside = F.row_number().over(Window.partitionBy(tie, part).orderBy(part)) - 1
-    told = hot.withColumn("inside_", inside).join(ahead, [tie, part]).withColumn(nth, F.col(nth) + F.col("inside_")).drop("inside_", part)
+    told = hot.withColumn(place, inside).join(ahead, [tie, part]).withColumn(nth, F.col(nth) + F.col(place)).drop(place, part)
     return rows.join(many, tie, "left_anti").withColumn(nth, F.lit(0).cast("long")).unionByName(told)
 
 
