@@ -194,7 +194,7 @@ def _chunks(marked: DataFrame) -> DataFrame:
     placed = marked.repartitionByRange(partitions(marked.sparkSession), *order).sortWithinPartitions(*order)
 
     def run(batches):
-        part, no, held, started = TaskContext.get().partitionId(), 0, [], False
+        part, no, held, started, ready = TaskContext.get().partitionId(), 0, [], False, []
 
         def chunk(rows: pa.Table, divided: bool):
             nonlocal no
@@ -213,12 +213,17 @@ def _chunks(marked: DataFrame) -> DataFrame:
             if divided:
                 out |= dict(zip(("before", "cost", "lead"), (x.reshape(-1) for x in tables().summary(symbols))))
             no += 1
-            return pa.RecordBatch.from_pylist([out], schema=arrow)
+            ready.append(out)
 
         def conversation(rows: list[pa.RecordBatch], whole: bool):
             table = pa.Table.from_batches(rows)
             for at in range(0, table.num_rows, CHUNK):
-                yield chunk(table.slice(at, CHUNK), not whole or table.num_rows > CHUNK)
+                chunk(table.slice(at, CHUNK), not whole or table.num_rows > CHUNK)
+
+        def out():
+            if ready:
+                yield pa.RecordBatch.from_pylist(ready, schema=arrow)
+                ready.clear()
 
         for batch in batches:
             if not batch.num_rows:
@@ -229,18 +234,21 @@ def _chunks(marked: DataFrame) -> DataFrame:
             for end in ends:
                 piece = batch.slice(at, end - at)
                 if held and held[0].column("conv_id")[0].as_py() != piece.column("conv_id")[0].as_py():
-                    yield from conversation(held, whole=started)
+                    conversation(held, whole=started)
                     held, started = [], True
                 held.append(piece)
                 # A very long conversation goes out as it comes, in whole chunks.
                 if sum(h.num_rows for h in held) >= 4 * CHUNK:
                     table = pa.Table.from_batches(held)
                     for k in range(3):
-                        yield chunk(table.slice(k * CHUNK, CHUNK), True)
+                        chunk(table.slice(k * CHUNK, CHUNK), True)
+                    yield from out()
                     held, started = table.slice(3 * CHUNK).to_batches(), False
                 at = end
+            yield from out()
         if held:
-            yield from conversation(held, whole=False)
+            conversation(held, whole=False)
+        yield from out()
 
     arrow = to_arrow_schema(schema)
     return placed.mapInArrow(run, schema)
