@@ -265,3 +265,56 @@ def test_mix_pieces_are_whole_and_well_spread(spark, sf_dir):
     for r in lines:
         blocks[r["name"], r["block"]] += r["words"]
     assert all(max(v) - min(v) <= 1 for v in [[w for (n, _), w in blocks.items() if n == name] for name in quota])
+
+
+# ---- mended operators
+
+
+def test_pii_context_and_masks_against_plain_version(spark):
+    """Scores by the 40 characters on either side and masks of merged spans, on texts dense with matches of all kinds."""
+    from parchmill.llm import pii
+
+    rng = np.random.default_rng(11)
+    bits = ["a@b.co", "jo.doe@mail.example.org", "10.1.2.3", "4111 1111 1111 1111", "+1 (614) 555-8001", "123-45-6789", "key", "Card", "héé", "日本", "mail", "call me", "12", "x" * 50, "GB82 WEST 1234 5698 7654 32", "a" * 32]
+    texts = ["".join(bits[rng.integers(len(bits))] + [" ", ", ", "\n", " é ", "  "][rng.integers(5)] for _ in range(n)) for n in (1, 3, 10, 40, 400, 900)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["s"] for r in pii.with_spans(docs, out="s").collect()}
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(docs).collect()}
+    by = {k.name: k for k in pii.KINDS}
+    for i, text in enumerate(texts):
+        assert spans[i] == sorted(spans[i], key=lambda s: ([k.name for k in pii.KINDS].index(s["kind"]), s["start"]))
+        for s in spans[i]:
+            k = by[s["kind"]]
+            near = (text[max(0, s["start"] - 40) : s["start"]] + " " + text[s["stop"] : s["stop"] + 40]).translate({c: c + 32 for c in range(65, 91)})
+            assert s["score"] == pytest.approx(min(1.0, k.score + 0.15 * bool(re.search(rf"\b(?:{k.context})", near, re.ASCII))))
+            assert re.fullmatch(k.pattern.replace(r"\G|", ""), text[s["start"] : s["stop"]])
+        at, out = 0, ""
+        for s in sorted(spans[i], key=lambda s: (s["start"], -s["stop"], s["kind"])):
+            if s["start"] >= at:
+                out += text[at : s["start"]] + f"[{s['kind'].upper()}]"
+            at = max(at, s["stop"])
+        assert masked[i] == out + text[at:]
+
+
+def test_pii_is_linear_in_the_matches(spark):
+    import time
+
+    from parchmill.llm import pii
+
+    docs = spark.createDataFrame([(1, " ".join(f"u{k}@b.co" for k in range(48_000)))], "doc_id long, text string")
+    pii.mask(docs.limit(0)).collect()
+    began = time.time()
+    assert pii.report(docs).first()["n_email"] == 48_000
+    assert pii.mask(docs).first()["text"] == " ".join(["[EMAIL]"] * 48_000)
+    assert time.time() - began < 40  # a square of the matches took minutes
+
+
+def test_shards_of_many_copies_with_clashing_names(spark):
+    from parchmill.llm import shards
+
+    rows = [(1, "copy", 5, 6, 7)] * 400 + [(k, f"text {k}", 1, 2, 3) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, inside_ long, place long, nth long").repartition(4)
+    got = spark.read.parquet(shards.write_shards(docs, 7)).collect()
+    assert sorted((r["doc_id"], r["text"], r["inside_"], r["place"], r["nth"]) for r in got) == sorted(rows)
+    sizes = Counter(r["shard"] for r in got)
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and all(sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n)) for s, n in sizes.items())
