@@ -43,7 +43,7 @@ def line_blocks(lines: DataFrame, outline: DataFrame | None = None) -> DataFrame
     """
     text = F.col("text")
     lines = lines.withColumn("text", collapse(text)).where(text != "")
-    known = lines.join(F.broadcast(outline.select("document_id", "text").distinct().withColumn("outlined", F.lit(True))), ["document_id", "text"], "left") if outline is not None else lines.withColumn("outlined", F.lit(False))
+    known = lines.join(outline.select("document_id", "text").distinct().withColumn("outlined", F.lit(True)), ["document_id", "text"], "left") if outline is not None else lines.withColumn("outlined", F.lit(False))
     told = known.join(body_size(lines), "document_id").withColumn("heading", is_heading(F.col("body_size"), F.coalesce("outlined", F.lit(False))))
     told = told.join(heading_levels(told.where("heading")), ["document_id", "size"], "left")
     w = Window.partitionBy("document_id").orderBy("pos")

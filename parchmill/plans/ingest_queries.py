@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -178,6 +179,82 @@ def level_rank(spark, sf_dir):
     return heads.join(layout.heading_levels(heads), ["document_id", "size"]).select("p_partkey", "level")
 
 
+# Lines of 8 to 12 points 12.3 apart, 50 on a page; ascent 0.8 and descent 0.2 of the size.
+_PRINTED = """
+WITH n AS (SELECT p_brand AS document_id, p_partkey AS k, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos, (8 + p_size % 5)::DOUBLE AS size FROM part),
+l AS (SELECT document_id, pos, (1 + pos // 50)::INT AS page_number, CASE WHEN k % 7 = 0 THEN '• ' ELSE '' END || p_name AS text, size, k % 11 = 0 AS bold, 40 + (pos % 50) * 12.3::DOUBLE AS base FROM n),
+"""
+
+
+def _printed(name: str, lines: list[dict]) -> bytes:
+    """Lines (page, text, size, bold, base) as a PDF file; files of every second name have packed objects and a cross-reference stream."""
+    packed, pages = int(name[-1:] or 0) % 2 == 1 if name[-1:].isdigit() else False, {}
+    for x in lines:
+        shown = x["text"].encode("cp1252", "replace").replace(b"\\", b"\\\\").replace(b"(", b"\\(").replace(b")", b"\\)")
+        words = shown.split(b" ")
+        parts = b" ".join(b"(%s%s)" % (w, b" " if k % 2 and k + 1 < len(words) else b"") + (b" -300" if k % 2 == 0 and k + 1 < len(words) else b"") for k, w in enumerate(words))
+        pages.setdefault(x["page"], []).append(b"/F%d %d Tf 1 0 0 1 50 %.1f Tm [%s] TJ" % (2 if x["bold"] else 1, x["size"], 792 - x["base"], parts))
+    font = b"<< /Type /Font /Subtype /TrueType /BaseFont /%s /Encoding /WinAnsiEncoding /FirstChar 32 /Widths [%s] /FontDescriptor << /Ascent 800 /Descent -200 >> >>"
+    objects: dict[int, bytes] = {
+        1: b"<< /Type /Catalog /Pages 2 0 R /Outlines 5 0 R >>", 3: font % (b"Sans", b"500 " * 224), 4: font % (b"Sans-Bold", b"500 " * 224),
+        5: b"<< /First 6 0 R >>", 6: b"<< /Title (cold  widget) /Parent 5 0 R >>",
+    }
+    kids = []
+    for number in sorted(pages):
+        body, at = b"BT " + b"\n".join(pages[number]) + b" ET", 7 + 2 * len(kids)
+        data = zlib.compress(body) if packed else body
+        objects[at] = b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R >>" % (at + 1)
+        objects[at + 1] = b"<< /Length %d %s>>\nstream\n%s\nendstream" % (len(data), b"/Filter /FlateDecode " if packed else b"", data)
+        kids.append(b"%d 0 R" % at)
+    objects[2] = b"<< /Type /Pages /Count %d /Kids [%s] /MediaBox [0 0 612 792] /Resources << /Font << /F1 3 0 R /F2 4 0 R >> >> >>" % (len(kids), b" ".join(kids))
+    out, places = bytearray(b"%PDF-1.7\n"), {}
+    inner = [n for n in sorted(objects) if packed and not objects[n].endswith(b"endstream")]
+    if inner:
+        heads, bodies = [], b""
+        for n in inner:
+            heads.append(b"%d %d" % (n, len(bodies)))
+            bodies += objects.pop(n) + b" "
+        head, holder = b" ".join(heads) + b"\n", max([*objects, *inner]) + 1
+        data = zlib.compress(head + bodies)
+        objects[holder] = b"<< /Type /ObjStm /N %d /First %d /Filter /FlateDecode /Length %d >>\nstream\n%s\nendstream" % (len(inner), len(head), len(data), data)
+        places = {n: (2, holder, k) for k, n in enumerate(inner)}
+    for n in sorted(objects):
+        places[n] = (1, len(out), 0)
+        out += b"%d 0 obj\n%s\nendobj\n" % (n, objects[n])
+    size, start = max(places) + 1, len(out)
+    if packed:
+        rows = b"".join(t.to_bytes(1, "big") + a.to_bytes(4, "big") + b.to_bytes(2, "big") for n in range(size) for t, a, b in [places.get(n, (0, 0, 0))])
+        out += b"%d 0 obj\n<< /Type /XRef /Size %d /W [1 4 2] /Root 1 0 R /Length %d >>\nstream\n%s\nendstream\nendobj\n" % (size, size, len(rows), rows)
+    else:
+        out += b"xref\n0 %d\n0000000000 65535 f \n" % size + b"".join(b"%010d 00000 n \n" % places[n][1] for n in range(1, size)) + b"trailer\n<< /Size %d /Root 1 0 R >>\n" % size
+    return bytes(out + b"startxref\n%d\n%%%%EOF\n" % start)
+
+
+@register(_PRINTED + _LINES[_LINES.index("s AS (SELECT"):].replace("top - pb", "base - 0.8 * size - pb").replace("lag(bottom) OVER o", "lag(base + 0.2 * size) OVER o") + """,
+r AS (SELECT g.document_id, min(pos) AS first, arg_min(CASE WHEN heading THEN 'heading' WHEN text LIKE '• %' THEN 'list_item' ELSE 'paragraph' END, pos) AS kind,
+  string_agg(CASE WHEN heading THEN text ELSE replace(text, '• ', '') END, ' ' ORDER BY pos) AS text, max(CASE WHEN heading THEN level ELSE 0 END)::INT AS level, arg_min(page_number, pos)::INT AS page_number
+FROM g LEFT JOIN v USING (document_id, size) GROUP BY g.document_id, block)
+SELECT document_id, (row_number() OVER (PARTITION BY document_id ORDER BY first) - 1)::INT AS pos, kind, text, level, page_number FROM r
+""")
+def pdf_blocks(spark, sf_dir):
+    """Parts as lines of a PDF file per brand, through the PDF loader and the layout."""
+    line = F.struct(
+        F.col("p_partkey").alias("k"), F.concat(F.when(F.col("p_partkey") % 7 == 0, "• ").otherwise(""), "p_name").alias("text"), (F.lit(8) + F.col("p_size") % 5).alias("size"), (F.col("p_partkey") % 11 == 0).alias("bold"),
+    )
+    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    placed = F.transform("lines", lambda x, i: F.struct(F.floor(i / 50).cast("int").alias("page"), x["text"].alias("text"), x["size"].cast("int").alias("size"), x["bold"].alias("bold"), (F.lit(40) + i % 50 * 12.3).cast("double").alias("base")))
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            made = [_printed(*x) for x in zip(names, batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([f"{n}.pdf" for n in names]), pa.array(made, pa.binary())], ["path", "content"])
+
+    loaded = files.load(brands.select("p_brand", placed.alias("lines")).mapInArrow(run, "path string, content binary"))
+    blocks = loaded.select(files.stem(F.col("path")).alias("document_id"), F.posexplode("blocks").alias("pos", "b"))
+    return blocks.select("document_id", "pos", "b.kind", "b.text", F.coalesce("b.level", F.lit(0)).alias("level"), "b.page_number")
+
+
 # -- vectors
 
 @register("""

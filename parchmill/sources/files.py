@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .docx import parse_docx
+from ..functions.paths import materialize
+from ..operators import layout
 from .html import BLOCK_DDL, BLOCK_TYPE, parse_html
 from .markdown import parse_markdown
+from .pdf import PdfError, read_pdf
 
 # File names that are never documents.
 SKIPPED = [".DS_Store", "Thumbs.db", "README.md", "readme.md"]
@@ -48,7 +52,20 @@ def _markdown(content: bytes):
     return parse_markdown(content.decode("utf-8"))
 
 
-#: Extension to (document type, parser of bytes into blocks, title hint and hints); ``register`` adds to it.
+@dataclass
+class Printed:
+    """What a parser of a paged format gives instead of blocks: lines for ``operators.layout``, and the outline's titles."""
+
+    lines: list[dict]
+    outline: list[str]
+
+
+def _pdf(content: bytes):
+    lines, outline, pages = read_pdf(content)
+    return Printed(lines, outline), None, {"page_count": str(pages)}
+
+
+#: Extension to (document type, parser of bytes into blocks or Printed, title hint and hints); ``register`` adds to it.
 LOADERS: dict[str, tuple[str, Callable]] = {}
 
 
@@ -59,6 +76,9 @@ def register(document_type: str, extensions: list[str], parse: Callable) -> None
 register("html", [".html", ".htm", ".xhtml"], _html)
 register("markdown", [".md", ".markdown"], _markdown)
 register("docx", [".docx"], parse_docx)
+register("pdf", [".pdf"], _pdf)
+#: Types whose parsers give Printed.
+PRINTED = {"pdf"}
 
 
 def supported_extensions() -> list[str]:
@@ -97,39 +117,65 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "content") if single else files.where(wanted(F.col("path"))).select("path", "content")
 
 
+LINE_TYPE = pa.list_(pa.struct([("page_number", pa.int32()), ("text", pa.string()), ("size", pa.float64()), ("bold", pa.bool_()), ("top", pa.float64()), ("bottom", pa.float64())]))
+LINE_DDL = "array<struct<page_number:int,text:string,size:double,bold:boolean,top:double,bottom:double>>"
+
+
 def load(files: DataFrame) -> DataFrame:
     """(path, document_type, title_hint, hints, blocks, error_class, error) for rows (path, content).
 
     Every file is parsed by the loader of its extension, in one pass without a
-    shuffle.  A file that can't be read, or holds nothing, has no blocks and
-    says why; it doesn't stop the others.  Null contents count as empty.
+    shuffle.  Paged formats give printed lines, and Spark makes their blocks
+    from them; only then the parsed rows are written once.  A file that can't be
+    read, or holds nothing, has no blocks and says why; it doesn't stop the
+    others.  Null contents count as empty.
     """
-    names = ["path", "document_type", "title_hint", "hints", "blocks", "error_class", "error"]
+    read = _parsed(files)
+    if files.where(document_type(F.col("path")).isin(sorted(PRINTED))).select("path").isEmpty():
+        return read.drop("lines", "outline")
+    read = materialize(read.withColumn("row", F.monotonically_increasing_id()), "read")
+    key = F.col("row").alias("document_id")
+    lines = read.select(key, F.posexplode("lines").alias("pos", "line")).select("document_id", "pos", "line.*")
+    blocks = layout.line_blocks(lines, read.select(key, F.explode("outline").alias("text")))
+    block = F.struct("pos", "kind", "text", "level", "page_number")
+    each = blocks.groupBy("document_id").agg(F.transform(F.array_sort(F.collect_list(block)), lambda b: b.dropFields("pos")).alias("laid"))
+    title = F.get(F.filter("laid", lambda b: b["level"] == 1), F.lit(0))["text"]
+    return read.join(each, F.col("row") == F.col("document_id"), "left").select(
+        "path", "document_type", F.coalesce("title_hint", title).alias("title_hint"), "hints", F.coalesce("laid", "blocks").alias("blocks"), "error_class", "error"
+    )
+
+
+def _parsed(files: DataFrame) -> DataFrame:
+    names = ["path", "document_type", "title_hint", "hints", "blocks", "error_class", "error", "lines", "outline"]
     loaders = dict(LOADERS)
 
     def one(path, content):
         name = (path or "").rsplit("/", 1)[-1]
         ending = "." + name.rsplit(".", 1)[-1].lower() if "." in name else ""
         if ending not in loaders:
-            return None, None, [], [], UnsupportedFormatError.__name__, f"no loader for '{ending}': {name}"
+            return None, None, [], [], UnsupportedFormatError.__name__, f"no loader for '{ending}': {name}", None, None
         kind, parse = loaders[ending]
         try:
             blocks, title, hints = parse(content or b"")
+        except PdfError as e:
+            return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {e}", None, None
         except Exception as e:  # parsers meet arbitrary bytes; the document fails, not the task
-            return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {type(e).__name__}"
+            return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {type(e).__name__}", None, None
+        if isinstance(blocks, Printed):
+            return kind, title, list(hints.items()), [], None, None, blocks.lines, blocks.outline
         if not blocks:
-            return kind, title, list(hints.items()), [], DocumentParseError.__name__, f"{kind} {name} produced no content"
-        return kind, title, list(hints.items()), blocks, None, None
+            return kind, title, list(hints.items()), [], DocumentParseError.__name__, f"{kind} {name} produced no content", None, None
+        return kind, title, list(hints.items()), blocks, None, None, None, None
 
     def run(batches):
-        types = [pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), BLOCK_TYPE, pa.string(), pa.string()]
+        types = [pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), BLOCK_TYPE, pa.string(), pa.string(), LINE_TYPE, pa.list_(pa.string())]
         for batch in batches:
             rows = [one(p, c) for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            columns = list(zip(*rows)) or [()] * 6
+            columns = list(zip(*rows)) or [()] * 8
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), t) for c, t in zip(columns, types))], names)
 
     return files.select("path", "content").mapInArrow(
-        run, f"path string, document_type string, title_hint string, hints map<string,string>, blocks {BLOCK_DDL}, error_class string, error string"
+        run, f"path string, document_type string, title_hint string, hints map<string,string>, blocks {BLOCK_DDL}, error_class string, error string, lines {LINE_DDL}, outline array<string>"
     )
 
 
