@@ -1,13 +1,13 @@
-"""Chunk index as tables: hash gate, upsert, prune, report, and snapshots that are swapped as a whole."""
+"""Chunk index as tables: hash gate, upsert, prune, report, and an index that changes by commits."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..errors import IndexingError
 from ..functions.text import chunk_id
+from .changes import ChangedTable, Rejected
 
 #: Columns of the index; chunk_id is the key, and the rule column says what each is for.
 SCHEMA = {
@@ -23,7 +23,7 @@ def gate(documents: DataFrame, known: DataFrame, force: bool = False) -> DataFra
 
     Documents without an id or text fail and don't stop the others.
     """
-    old = known.select("document_id", F.col("content_hash").alias("known_hash"))
+    old = known.groupBy("document_id").agg(F.max("content_hash").alias("known_hash"))
     same = F.lit(False) if force else F.coalesce(F.col("content_hash") == F.col("known_hash"), F.lit(False))
     return documents.join(old, "document_id", "left").withColumn(
         "outcome", F.when(F.col("content_hash").isNull() | F.col("document_id").isNull(), "failed").when(same, "skipped_unchanged").otherwise("indexed")
@@ -87,53 +87,30 @@ def coverage(manifest: DataFrame, index: DataFrame) -> DataFrame:
     return told.groupBy(F.lower("format").alias("format")).agg(F.count("*").alias("n_expected"), F.count("found").alias("n_found"), lost.alias("missing"))
 
 
-class Snapshots:
-    """An index below ``root`` that changes as a whole.
+class Snapshots(ChangedTable):
+    """The chunk index below ``root``: chunks of a document are replaced as a whole, by delta files and deletion marks.
 
-    Rows lie in buckets of documents.  A commit writes the buckets that change
-    into a folder of its own, and then one small table that names the folder of
-    every bucket; readers take the newest.  So a run that fails half way leaves
-    the index as it was, and unchanged buckets aren't written again.
+    A commit with a chunk that has no key or no text, or with a vector that
+    isn't all finite numbers or of another length than the first one's, is
+    rejected as a whole with IndexingError; so is one with a repeated key.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.jvm = spark.sparkContext._jvm
-
-    def _path(self, name: str):
-        path = self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def version(self) -> int:
-        """Number of the newest whole commit, 0 if there is none."""
-        path, fs = self._path("commits")
-        if not fs.exists(path):
-            return 0
-        done = [s.getPath() for s in fs.listStatus(path) if fs.exists(self.jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return max((int(p.getName()) for p in done), default=0)
-
-    def folders(self) -> dict[int, str]:
-        """Bucket to folder, at most ``buckets`` of them."""
-        version = self.version()
-        return {r["bucket"]: r["folder"] for r in self.spark.read.parquet(f"{self.root}/commits/{version:09d}").collect()} if version else {}
-
-    def read(self) -> DataFrame:
-        """All rows; an index that was never written is empty."""
-        paths = sorted(f"{self.root}/data/{folder}/bucket={b}" for b, folder in self.folders().items())
-        return self.spark.read.schema(DDL).parquet(*paths) if paths else self.spark.createDataFrame([], DDL)
-
-    def commit(self, rows: DataFrame, replaced: DataFrame) -> int:
-        """Put ``rows`` in place of all chunks of the documents in ``replaced`` (document_id); return the version."""
-        bucket = F.pmod(F.xxhash64("document_id"), F.lit(self.buckets)).cast("int")
-        touched = {r[0] for r in replaced.select(bucket).distinct().collect()}  # at most ``buckets``
-        if not touched:
-            return self.version()
-        folder, version, before = uuid.uuid4().hex, self.version(), self.folders()
-        kept = self.read().withColumn("bucket", bucket).where(F.col("bucket").isin(sorted(touched))).join(replaced.select("document_id").distinct(), "document_id", "left_anti")
-        new = rows.select(*SCHEMA).withColumn("bucket", bucket).unionByName(kept)
-        new.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
-        path, fs = self._path(f"data/{folder}")
-        written = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "=" in s.getPath().getName()}
-        after = {b: f for b, f in before.items() if b not in touched} | {b: folder for b in written}
-        self.spark.createDataFrame(sorted(after.items()), "bucket int, folder string").coalesce(1).write.parquet(f"{self.root}/commits/{version + 1:09d}")
-        return version + 1
+    def __init__(self, spark: SparkSession, root: str, compact_after: int = 32):
+        super().__init__(spark, root, DDL, "document_id", compact_after)
+
+    def fault(self) -> Column:
+        vector = F.col("content_vector")
+        odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+        return F.coalesce(super().fault(), F.when(F.col("chunk_id").isNull(), "no chunk_id").when(F.col("content").isNull(), "no content").when(F.coalesce(odd, F.lit(False)), "vector with a number that isn't finite"))
+
+    def reject(self, rows: DataFrame) -> None:
+        try:
+            super().reject(rows)
+        except Rejected as e:
+            raise IndexingError(str(e)) from e
+        twice = rows.groupBy("chunk_id").count().where("count > 1").select("chunk_id").take(5)
+        if twice:
+            raise IndexingError("keys given twice: " + ", ".join(r[0] for r in twice))
+        sizes = rows.where("content_vector is not null").agg(F.min(F.size("content_vector")), F.max(F.size("content_vector"))).first()
+        if sizes[0] != sizes[1]:
+            raise IndexingError(f"vectors of {sizes[0]} to {sizes[1]} numbers in one commit")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .docx import parse_docx
+from ..errors import ConfigurationError, DocumentParseError, EmbeddingError, IndexingError, IngestionError, UnsupportedFormatError  # noqa: F401  (taken from here)
 from ..functions.paths import materialize
 from ..operators import layout
 from .html import BLOCK_DDL, BLOCK_TYPE, parse_html
@@ -20,30 +21,6 @@ from .pdf import PdfError, read_pdf
 SKIPPED = [".DS_Store", "Thumbs.db", "README.md", "readme.md"]
 
 
-class IngestionError(Exception):
-    """What stops a document, with its class name as error_class."""
-
-
-class UnsupportedFormatError(IngestionError):
-    pass
-
-
-class DocumentParseError(IngestionError):
-    pass
-
-
-class ConfigurationError(IngestionError):
-    pass
-
-
-class EmbeddingError(IngestionError):
-    pass
-
-
-class IndexingError(IngestionError):
-    pass
-
-
 def _html(content: bytes):
     return parse_html(content.decode("utf-8", "replace"))
 
