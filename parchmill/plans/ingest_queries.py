@@ -181,8 +181,9 @@ def level_rank(spark, sf_dir):
 
 # Lines of 8 to 12 points 12.3 apart, 50 on a page; ascent 0.8 and descent 0.2 of the size.
 _PRINTED = """
-WITH n AS (SELECT p_brand AS document_id, p_partkey AS k, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos, (8 + p_size % 5)::DOUBLE AS size FROM part),
-l AS (SELECT document_id, pos, (1 + pos // 50)::INT AS page_number, CASE WHEN k % 7 = 0 THEN '• ' ELSE '' END || p_name AS text, size, k % 11 = 0 AS bold, 40 + (pos % 50) * 12.3::DOUBLE AS base FROM n),
+WITH n AS (SELECT 'c' || conv_id AS document_id, coalesce(length(text), 0) AS k, role || ' writes ' || coalesce(length(text), 0) || ' signs' AS name, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+  (8 + coalesce(length(text), 0) % 5)::DOUBLE AS size FROM conversations),
+l AS (SELECT document_id, pos, (1 + pos // 50)::INT AS page_number, CASE WHEN k % 7 = 0 THEN '• ' ELSE '' END || name AS text, size, k % 11 = 0 AS bold, 40 + (pos % 50) * 12.3::DOUBLE AS base FROM n),
 """
 
 
@@ -237,11 +238,10 @@ FROM g LEFT JOIN v USING (document_id, size) GROUP BY g.document_id, block)
 SELECT document_id, (row_number() OVER (PARTITION BY document_id ORDER BY first) - 1)::INT AS pos, kind, text, level, page_number FROM r
 """)
 def pdf_blocks(spark, sf_dir):
-    """Parts as lines of a PDF file per brand, through the PDF loader and the layout."""
-    line = F.struct(
-        F.col("p_partkey").alias("k"), F.concat(F.when(F.col("p_partkey") % 7 == 0, "• ").otherwise(""), "p_name").alias("text"), (F.lit(8) + F.col("p_size") % 5).alias("size"), (F.col("p_partkey") % 11 == 0).alias("bold"),
-    )
-    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    """Turns as lines of a PDF file per conversation, through the PDF loader and the layout."""
+    k = F.coalesce(F.length("text"), F.lit(0))
+    line = F.struct("turn", F.concat(F.when(k % 7 == 0, "• ").otherwise(""), "role", F.lit(" writes "), k.cast("string"), F.lit(" signs")).alias("text"), (8 + k % 5).alias("size"), (k % 11 == 0).alias("bold"))
+    whole = table(spark, sf_dir, "conversations").groupBy(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("name")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
     placed = F.transform("lines", lambda x, i: F.struct(F.floor(i / 50).cast("int").alias("page"), x["text"].alias("text"), x["size"].cast("int").alias("size"), x["bold"].alias("bold"), (F.lit(40) + i % 50 * 12.3).cast("double").alias("base")))
 
     def run(batches):
@@ -250,7 +250,7 @@ def pdf_blocks(spark, sf_dir):
             made = [_printed(*x) for x in zip(names, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([f"{n}.pdf" for n in names]), pa.array(made, pa.binary())], ["path", "content"])
 
-    loaded = files.load(brands.select("p_brand", placed.alias("lines")).mapInArrow(run, "path string, content binary"))
+    loaded = files.load(whole.select("name", placed.alias("lines")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name").mapInArrow(run, "path string, content binary"))
     blocks = loaded.select(files.stem(F.col("path")).alias("document_id"), F.posexplode("blocks").alias("pos", "b"))
     return blocks.select("document_id", "pos", "b.kind", "b.text", F.coalesce("b.level", F.lit(0)).alias("level"), "b.page_number")
 
