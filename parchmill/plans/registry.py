@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import chunk, index, normalize, stats
 from ..sources import html
 from ..streaming import events as streams
-from . import answer_queries, ingest_queries  # noqa: F401  (they register theirs)
+from . import answer_queries, ingest_queries, search_queries  # noqa: F401  (they register theirs)
 from .base import QUERIES, SQL, register, table
 
 # -- text
