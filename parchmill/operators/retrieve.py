@@ -14,6 +14,8 @@ from ..functions.text import words
 K1, B, RRF_K = 1.2, 0.75, 60
 #: Bytes of queries that are sent to every task.
 SENT = 64 << 20
+#: Different words of all queries that are tested inside a document's row; more of them meet the words by a join.
+LISTED = 10_000
 #: Fields of the index that keyword search reads, with their weights.
 FIELDS = {"document_name": 2.0, "section": 1.5, "section_path": 1.0, "content": 1.0}
 
@@ -40,13 +42,18 @@ def postings(documents: DataFrame, queries: DataFrame, tie: str = "doc_id", fiel
     """
     weighted = fields or {"text": 1.0}
     asked = question_terms(queries).select("term").distinct()
+    listed_words = [r[0] for r in asked.limit(LISTED + 1).collect()]
     size = sum((F.size(terms(F.coalesce(F.col(c), F.lit("")))) * F.lit(w) for c, w in weighted.items()), F.lit(0.0))
     weigh = lambda w: lambda t: F.struct(t.alias("term"), F.lit(w).alias("w"))
     listed = F.flatten(F.array(*[F.transform(terms(F.coalesce(F.col(c), F.lit(""))), weigh(w)) for c, w in weighted.items()]))
+    if len(listed_words) <= LISTED:  # few enough to be tested inside the row, before a row is made of each word
+        listed = F.filter(listed, lambda x: x["term"].isin(listed_words))
     sized = documents.select(F.col(tie).alias("doc_id"), size.alias("size"), listed.alias("listed"))
     # A row per document rides along with its words, so that the totals need no second scan.
     exploded = sized.select("doc_id", "size", F.explode(F.concat(F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1.0).alias("w"))), "listed")).alias("x"))
-    kept = exploded.select("doc_id", "size", "x.term", "x.w").join(asked.withColumn("asked", F.lit(True)), "term", "left").where("asked or term is null")
+    kept = exploded.select("doc_id", "size", "x.term", "x.w")
+    if len(listed_words) > LISTED:
+        kept = kept.join(asked.withColumn("asked", F.lit(True)), "term", "left").where("asked or term is null")
     counted = materialize(kept.groupBy("doc_id", "size", "term").agg(F.sum("w").alias("tf"), F.count("*").alias("rows")), "postings")
     total = counted.where("term is null").agg(F.sum("rows").alias("n"), (F.sum(F.col("size") * F.col("rows")) / F.sum("rows")).alias("mean"))
     return counted.where("term is not null"), total

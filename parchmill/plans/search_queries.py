@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.paths import shared_dir
-from ..operators import retrieve, vectors
-from .base import register, table
+from ..operators import keywords, retrieve, vectors
+from .answer_queries import bm25_sql
+from .base import SQL, register, table
 
 
 def _vector_index(spark, sf_dir) -> vectors.VectorIndex:
@@ -44,3 +45,29 @@ def ann_filtered(spark, sf_dir):
     turned = rows.where("vec_id % 7 = 4").select("vec_id", F.transform("embedding", lambda x: -x).alias("embedding"), F.col("label").cast("long").alias("label"))
     index.put(turned, rows.where("vec_id % 7 = 3").select("vec_id"))
     return index.search(_asked(spark, sf_dir), where=F.col("label") % 3 == 1, exact=True)
+
+
+def _keyword_index(spark, sf_dir, documents=None) -> keywords.KeywordIndex:
+    index = keywords.KeywordIndex(spark, shared_dir(spark, "keywords"), extra="lang string")
+    index.put((table(spark, sf_dir, "documents") if documents is None else documents).select("doc_id", "text", "lang"))
+    return index
+
+
+@register(SQL["bm25_topk"])
+def keyword_index_topk(spark, sf_dir):
+    """The benchmark's passages as questions to the stored keyword index."""
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return _keyword_index(spark, sf_dir).search(asked).withColumn("score", F.round("score", 4))
+
+
+@register(bm25_sql().replace("FROM documents)", "FROM (SELECT doc_id, lang, CASE WHEN doc_id % 5 = 2 THEN 'changed ' || text ELSE text END AS text FROM documents WHERE doc_id % 5 <> 1))").replace(
+    "b AS (SELECT *,", "w AS (SELECT s.* FROM s JOIN documents d USING (doc_id) WHERE d.lang <> 'en'), b AS (SELECT *,").replace("DESC, doc_id) AS rank FROM s)", "DESC, doc_id) AS rank FROM w)")
+    + "SELECT query_id, doc_id, score, rank::INT AS rank FROM b WHERE rank <= 10")
+def keyword_index_changed(spark, sf_dir):
+    """The index after a commit that deletes a fifth of the documents and changes another, asked for documents that aren't English."""
+    documents = table(spark, sf_dir, "documents")
+    index = _keyword_index(spark, sf_dir)
+    changed = documents.where("doc_id % 5 = 2").select("doc_id", F.concat(F.lit("changed "), "text").alias("text"), "lang")
+    index.put(changed, documents.where("doc_id % 5 = 1").select("doc_id"))
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return index.search(asked, where=F.col("lang") != "en")
