@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.tokens import tokens as exact
+
 # Defaults of the chunk settings and the markers of cut text.
 TARGET, OVERLAP, MAXIMUM = 800, 120, 1200
 BELOW, AGAIN = "(continued below)", "(continued)"
@@ -217,25 +219,30 @@ _CHUNK = pa.schema([
 CHUNKS = "document_id string, ordinal int, section string, section_path array<string>, text string, embedding_text string, token_count int, page_number int, page_end int"
 
 
-def chunk_documents(documents: DataFrame, target: int = TARGET, overlap: int = OVERLAP, maximum: int = MAXIMUM) -> DataFrame:
+def chunk_documents(documents: DataFrame, target: int = TARGET, overlap: int = OVERLAP, maximum: int = MAXIMUM, vocabulary: str | None = None) -> DataFrame:
     """Chunks of rows (document_id, document_name, blocks); blocks hold kind, text, section_path and maybe page_number in order.
 
     A document without headings is its own section.  Null names fall back to
-    the id; documents without blocks have no chunks.
+    the id; documents without blocks have no chunks.  Sizes are estimated from
+    words, or exact by the ``vocabulary`` file where one is named.
     """
+    from . import exact_chunk  # it uses this module
+
     if not 0 <= overlap < target <= maximum:
         raise ValueError("overlap must be below target, and target at most the maximum")
 
     def run(batches):
+        size = exact(vocabulary).count if vocabulary else estimate
         for batch in batches:
             rows = []
             for i, name, blocks in zip(*(batch.column(c).to_pylist() for c in ("document_id", "document_name", "blocks"))):
                 name = name or i or ""
-                for n, (path, body, own) in enumerate(chunk_bodies(name, blocks or [], target, overlap, maximum)):
-                    line = breadcrumb(name, path, maximum)
+                made = exact_chunk.chunk_bodies(name, blocks or [], size, target, overlap, maximum) if vocabulary else chunk_bodies(name, blocks or [], target, overlap, maximum)
+                for n, (path, body, own) in enumerate(made):
+                    line = exact_chunk.breadcrumb(name, path, maximum, size) if vocabulary else breadcrumb(name, path, maximum)
                     full = f"{line}\n\n{body}" if line else body
                     pages = [b["page_number"] for b in own if b.get("page_number") is not None]
-                    rows.append((i, n, path[-1] if path else name, path or [name], body, full, estimate(full), min(pages, default=None), max(pages, default=None)))
+                    rows.append((i, n, path[-1] if path else name, path or [name], body, full, size(full), min(pages, default=None), max(pages, default=None)))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(list(zip(*rows)) or [()] * len(_CHUNK), _CHUNK)], schema=_CHUNK)
 
     return documents.select("document_id", "document_name", "blocks").mapInArrow(run, CHUNKS)

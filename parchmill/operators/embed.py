@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.tokens import truncate_tokens
 
 # Default dimensions and the longest input in tokens.
 DIMENSIONS, LONGEST = 3072, 8191
@@ -37,17 +38,19 @@ def embed(text: Column, dimensions: int = DIMENSIONS) -> Column:
     return run(text)
 
 
-def fitted(text: Column, longest: int = LONGEST) -> Column:
-    """The text, or as many of its first words as the model takes."""
+def fitted(text: Column, longest: int = LONGEST, vocabulary: str | None = None) -> Column:
+    """The text, or as much of its beginning as the model takes: tokens of the vocabulary, or words by the estimate."""
+    if vocabulary:
+        return truncate_tokens(text, longest, vocabulary)
     return F.when(T.token_estimate(text) > longest, T.truncate_tokens(text, longest)).otherwise(text)
 
 
-def embed_chunks(chunks: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
+def embed_chunks(chunks: DataFrame, dimensions: int = DIMENSIONS, vocabulary: str | None = None) -> DataFrame:
     """``chunks`` with ``embedding`` of the fitted embedding text; one vector per chunk, on the chunk's own row."""
-    return chunks.withColumn("embedding", embed(fitted(F.col("embedding_text")), dimensions))
+    return chunks.withColumn("embedding", embed(fitted(F.col("embedding_text"), vocabulary=vocabulary), dimensions))
 
 
 def check_vectors(chunks: DataFrame, dimensions: int) -> DataFrame:
-    """Documents with a chunk whose vector is missing or has another length: (document_id, n_bad)."""
-    bad = F.coalesce(F.size("embedding") != dimensions, F.lit(True)) | F.exists("embedding", lambda x: F.isnan(x))
+    """Documents with a chunk whose vector is missing, has another length, or holds a number that is null or not finite: (document_id, n_bad)."""
+    bad = F.coalesce(F.size("embedding") != dimensions, F.lit(True)) | F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return chunks.where(bad | F.col("embedding").isNull()).groupBy("document_id").agg(F.count("*").alias("n_bad"))

@@ -12,6 +12,15 @@ from ..streaming import events as streams
 from . import answer_queries, ingest_queries, search_queries  # noqa: F401  (they register theirs)
 from .base import QUERIES, SQL, register, table
 
+
+
+def tokenizer_file(name: str) -> str:
+    """A vocabulary of the public tokenizers package, at its place on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 # -- text
 
 @register("""
@@ -201,6 +210,20 @@ def chunk_documents(spark, sf_dir):
     return chunk.chunk_documents(d, 200, 20, 250).select("document_id", "ordinal", "token_count", T.content_hash(F.col("text")).alias("content_hash"))
 
 
+@register("""
+SELECT doc_id::VARCHAR AS document_id, 0::BIGINT AS above, len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''))::BIGINT AS n_words FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''
+""")
+def chunk_exact(spark, sf_dir):
+    """Documents cut by exact token counts without overlap: how many chunks are above 250 tokens (none may be), and the words of all chunks."""
+    d = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("document_id"), F.concat_ws("/", "source", "doc_id").alias("document_name"),
+        F.transform(F.filter(F.split(T.clean_text(F.col("text")), "\n"), lambda x: x != ""), lambda x: F.struct(F.lit("paragraph").alias("kind"), x.alias("text"), F.array().cast("array<string>").alias("section_path"))).alias("blocks"),
+    )
+    chunks = chunk.chunk_documents(d, 200, 0, 250, tokenizer_file("byte_bpe_50k.tiktoken"))
+    own = F.size(T.words(F.replace("text", F.lit(chunk.BELOW), F.lit(""))))
+    return chunks.groupBy("document_id").agg(F.count_if(F.col("token_count") > 250).alias("above"), F.sum(own).alias("n_words"))
+
+
 # -- telemetry
 
 @register("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, count(*) AS n FROM events GROUP BY event_type")
