@@ -72,16 +72,20 @@ class KeywordIndex:
         """
         counted = [F.coalesce(F.col(c), F.lit("")) for c in self.fields]
         size = sum((F.size(terms(c)) * F.lit(w) for c, w in zip(counted, self.fields.values())), F.lit(0.0))
-        rows = documents.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).dropDuplicates(["doc_id"])
+        rows = documents.where("doc_id is not null").withColumns({"doc_id": F.col("doc_id").cast("long"), "mark": F.xxhash64(*counted)})
         n, words = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0.0))).first()
         slices = max(1, -(-n // SLICE_DOCS), int(words // SLICE_WORDS) + 1)
         base = (uuid.uuid4().int & (2**30 - 1)) << 32
         dealt = rows.withColumn("slice", F.lit(base) + F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+        # Texts are shuffled once, with the slice they go to; places follow from the ids alone, here and there.
+        one = dealt.select("doc_id", "slice", F.struct("mark", size.alias("size"), *self.extra).alias("told")).groupBy("doc_id", "slice").agg(F.min_by("told", "told.mark").alias("told"))
         place = (F.row_number().over(Window.partitionBy("slice").orderBy("doc_id")) - 1).cast("int")
-        placed = materialize(dealt.select("doc_id", "slice", place.alias("place"), size.alias("size"), *self.extra, *self.fields), "dealt")
+        placed = materialize(one.select("doc_id", "slice", place.alias("place"), "told.size", *[f"told.{c}" for c in self.extra]), "placed")
         folder = f"{self.root}/postings/{uuid.uuid4().hex}"
         weights = list(self.fields.values())
-        listed = placed.select("slice", "place", "size", *[terms(F.coalesce(F.col(c), F.lit(""))).alias(f"f{k}") for k, c in enumerate(self.fields)])
+        texts = [F.coalesce(F.col(c), F.lit("")).alias(f"f{k}") for k, c in enumerate(self.fields)]
+        sent = dealt.select("slice", "doc_id", "mark", *texts).repartition("slice").sortWithinPartitions("slice", "doc_id", "mark")
+        listed = sent.select("slice", "doc_id", *[terms(F.col(f"f{k}")).alias(f"f{k}") for k in range(len(self.fields))])
 
         def run(batches):
             held, now = [], None
@@ -98,7 +102,7 @@ class KeywordIndex:
             if held:
                 yield from _blocks(now, pa.Table.from_batches(held), weights)
 
-        blocks = listed.repartition("slice").sortWithinPartitions("slice", "place").mapInArrow(run, POSTINGS)
+        blocks = listed.mapInArrow(run, POSTINGS)
         blocks.sortWithinPartitions("term").write.option("parquet.block.size", 16 << 20).parquet(folder)
         gone = deleted.select(F.col("doc_id").cast("long").alias("doc_id")) if deleted is not None else self.spark.createDataFrame([], "doc_id long")
         return self.live.commit(placed.select("doc_id", "slice", "place", "size", *self.extra), placed.select("doc_id").union(gone), since)
@@ -188,14 +192,16 @@ class KeywordIndex:
 
 def _blocks(number: int, rows: pa.Table, weights: list[float]):
     """Posting blocks of one slice: how often each word stands in each document, from the lists of words."""
-    place, size = np.asarray(rows.column("place")), np.asarray(rows.column("size"))
-    words, at, often = [], [], []
+    ids = np.asarray(rows.column("doc_id"))
+    rows = rows.take(pa.array(np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))))  # the first of each id
+    place, size, words, at, often = np.arange(rows.num_rows), np.zeros(rows.num_rows), [], [], []
     for k, w in enumerate(weights):
         column = rows.column(f"f{k}").combine_chunks()
         lengths = np.diff(np.asarray(column.offsets))
         words.append(column.flatten())
         at.append(np.repeat(np.arange(len(place)), lengths))
         often.append(np.full(int(lengths.sum()), w))
+        size = size + w * lengths
     coded = pa.concat_arrays(words).dictionary_encode()
     if not len(coded):
         return

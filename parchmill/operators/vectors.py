@@ -23,6 +23,8 @@ from .retrieve import SENT, top
 SAMPLE, SAMPLE_NUMBERS, LISTS, ROUNDS, PROBED = 16_384, 16 << 20, 4096, 12, 256
 #: Rows of a block where queries and vectors meet by a shuffle.
 BLOCK = 1024
+#: Rows that bound the scores at first, roughly; scores that a task holds before it sorts them out.
+BOUND, HELD = 4096, 1 << 20
 
 
 def usable(vector: Column) -> Column:
@@ -163,7 +165,7 @@ class VectorIndex(ChangedTable):
         return top(found, "score", "query_id", "vec_id", k)
 
     def _sent(self, rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-        """Queries of SENT bytes at most go to every task; the vectors are scored where they are read."""
+        """Queries of SENT bytes at most go to every task; the vectors are scored where they are read, and a task gives k rows a query at most."""
         table = asked.groupBy("query_id").agg(F.first("q").alias("q"), F.collect_set("list").alias("lists")).toArrow().combine_chunks()
         if not table.num_rows:
             return self.spark.createDataFrame([], "query_id long, vec_id long, score double")
@@ -171,19 +173,49 @@ class VectorIndex(ChangedTable):
         looks = np.zeros((len(ids), len(self.fitted()[0])), bool)
         for i, lists in enumerate(table.column("lists").to_pylist()):
             looks[i, lists] = True
-        held = self.spark.sparkContext.broadcast((ids, q, looks))
+        # The k-th score among some of the rows is one that a neighbour has to reach.
+        step = max(1, rows.count() // BOUND)
+        some = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(step)) == 0).limit(4 * BOUND).select("vec_id", "embedding").toArrow().combine_chunks()
+        least = np.full(len(ids), -np.inf)
+        if some.num_rows:
+            for at in range(0, len(ids), BLOCK):
+                part = slice(at, at + BLOCK)
+                found = np.concatenate([rounded(q[part] @ matrix(some.column("embedding").combine_chunks()).T), np.full((len(ids[part]), k), -np.inf)], axis=1)
+                found[:, : some.num_rows][ids[part][:, None] == some.column("vec_id").to_numpy()[None, :]] = -np.inf
+                least[part] = np.partition(found, -k, axis=1)[:, -k]
+        held = self.spark.sparkContext.broadcast((ids, q, looks, least))
         wanted = [int(x) for x in np.flatnonzero(looks.any(0))]
 
         def run(batches):
-            ids, q, looks = held.value
+            ids, q, looks, least = held.value
+            least, kept, size = least.copy(), [], 0
+
+            def best():
+                """The k best so far of each query; the k-th is what others have to reach from now on."""
+                who, vec, score = (np.concatenate(x) for x in zip(*kept))
+                order = np.lexsort((vec, -score, who))
+                who, vec, score = who[order], vec[order], score[order]
+                nth = np.arange(len(who)) - np.searchsorted(who, who)
+                full = nth == k - 1
+                least[who[full]] = np.maximum(least[who[full]], score[full])
+                return [(who[nth < k], vec[nth < k], score[nth < k])]
+
             for batch in batches:
                 lists = np.asarray(batch.column("list"))
+                vec, unit_rows = np.asarray(batch.column("vec_id")), matrix(batch.column("embedding")) if batch.num_rows else None
                 for one in np.unique(lists):
-                    at = np.flatnonzero(lists == one)
-                    who = np.flatnonzero(looks[:, one])
-                    if len(who):
-                        part = batch.take(pa.array(at))
-                        yield from _best(ids[who], q[who], np.asarray(part.column("vec_id")), matrix(part.column("embedding")), k)
+                    at, who = np.flatnonzero(lists == one), np.flatnonzero(looks[:, one])
+                    score = rounded(q[who] @ unit_rows[at].T)
+                    score[ids[who][:, None] == vec[at][None, :]] = -np.inf
+                    i, j = np.nonzero((score >= least[who][:, None]) & np.isfinite(score))
+                    kept.append((who[i], vec[at[j]], score[i, j]))
+                    size += len(i)
+                    if size > HELD:
+                        kept = best()
+                        size = len(kept[0][0])
+            if kept:
+                who, vec, score = best()[0]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[who]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
 
         if len(wanted) < looks.shape[1] <= LISTS:
             rows = rows.where(F.col("list").isin(wanted))  # reaches the scan

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.paths import shared_dir
-from ..operators import keywords, retrieve, vectors
+from ..operators import keywords, vectors
 from .answer_queries import bm25_sql
 from .base import SQL, register, table
 
@@ -27,9 +27,9 @@ SELECT count(*) AS n_queries, sum(n)::BIGINT AS n_wanted, TRUE AS recall_reached
 """)
 def ann_recall(spark, sf_dir):
     """The vector index asked for every twentieth vector: how many neighbours an exact search has, and whether 90 of 100 of them are found."""
-    asked = _asked(spark, sf_dir)
-    exact = retrieve.cosine_top(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), asked).select("query_id", "vec_id")
-    found = _vector_index(spark, sf_dir).search(asked).select("query_id", "vec_id", F.lit(1).alias("found"))
+    asked, index = _asked(spark, sf_dir), _vector_index(spark, sf_dir)
+    exact = index.search(asked, exact=True).select("query_id", "vec_id")
+    found = index.search(asked).select("query_id", "vec_id", F.lit(1).alias("found"))
     each = asked.select("query_id").join(exact, "query_id", "left").join(found, ["query_id", "vec_id"], "left")
     return each.agg(F.count_distinct("query_id").alias("n_queries"), F.count("vec_id").alias("n_wanted"), (F.sum(F.coalesce("found", F.lit(0))) >= 0.9 * F.count("vec_id")).alias("recall_reached"))
 
