@@ -179,6 +179,11 @@ def link_edges(distinct: DataFrame, radius: int = 3, tile: int = TILE, agree: in
     return cold.mapInArrow(run, "a long, b long").union(pairs.mapInArrow(run, "a long, b long"))
 
 
+def distinct_fingerprints(fps: DataFrame, lanes: list[str], *more: F.Column) -> DataFrame:
+    """(fingerprint lanes, least doc_id, copies, node): every fingerprint once, written; ``more`` are further aggregates."""
+    return materialize(fps.groupBy(*lanes).agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), *more).withColumn("node", F.monotonically_increasing_id()), "classes")
+
+
 def components(fps: DataFrame, radius: int = 3, tile: int = TILE, agree: int = 1, wide: int | None = None) -> DataFrame:
     """(fp and further lanes, copies, part, component_id) for every distinct fingerprint of rows (doc_id, fp, further lanes).
 
@@ -187,8 +192,13 @@ def components(fps: DataFrame, radius: int = 3, tile: int = TILE, agree: int = 1
     smallest doc_id, null if it has none.
     """
     lanes = [c for c in fps.columns if c != "doc_id"]
-    distinct = materialize(fps.groupBy(*lanes).agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    parts = connected_components(link_edges(distinct.select(*lanes, F.col("node").alias("rep")), radius, tile, agree, wide)).withColumnRenamed("component", "linked")
+    distinct = distinct_fingerprints(fps, lanes)
+    return linked_classes(distinct, lanes, link_edges(distinct.select(*lanes, F.col("node").alias("rep")), radius, tile, agree, wide))
+
+
+def linked_classes(distinct: DataFrame, lanes: list[str], edges: DataFrame) -> DataFrame:
+    """Components of distinct fingerprints over edges (a, b) of their nodes."""
+    parts = connected_components(edges).withColumnRenamed("component", "linked")
     classes = materialize(distinct.join(parts, "node", "left").select(*lanes, "least", "copies", F.coalesce("linked", "node").alias("part")), "parts")
     named = classes.groupBy("part").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
     return join_classes(classes, named, "part", "members", classes.count()).select(*lanes, "copies", "part", "component_id")

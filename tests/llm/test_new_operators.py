@@ -318,3 +318,50 @@ def test_shards_of_many_copies_with_clashing_names(spark):
     assert sorted((r["doc_id"], r["text"], r["inside_"], r["place"], r["nth"]) for r in got) == sorted(rows)
     sizes = Counter(r["shard"] for r in got)
     assert max(sizes.values()) - min(sizes.values()) <= 1 and all(sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n)) for s, n in sizes.items())
+
+
+def test_near_duplicates_of_the_pipeline_reach_the_likeness(spark):
+    """Of the pairs with five-word Jaccard similarity of 0.8 or more, nine in ten and more are put in one group; others stay apart."""
+    import itertools
+    import random
+
+    import corpus_pipeline
+    from parchmill.llm.simhash import shingle_hashes
+
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    texts = []
+    for _ in range(150):
+        own = rng.choices(words, k=rng.randrange(30, 400))
+        texts.append(own)
+        for share in (0.0, 0.01, 0.02, 0.03, 0.08):  # edits of single words, up to a likeness well below 0.8
+            texts.append([rng.choice(words) if rng.random() < share else w for w in own])
+    docs = spark.createDataFrame([(k, " ".join(t), 1) for k, t in enumerate(texts)], "doc_id long, text string, bands int").repartition(3)
+    sets = [set(shingle_hashes(" ".join(t), 5).tolist()) for t in texts]
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    near = [(a, b) for k in range(0, len(texts), 6) for a, b in itertools.combinations(range(k, k + 6), 2) if alike(a, b) >= 0.8]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicate_removal(spark, docs, "").collect()}
+    assert len(near) > 300 and sum(a in kept and b in kept for a, b in near) <= 0.1 * len(near)
+    for k in set(range(len(texts))) - kept:  # what goes has a partner in its own family
+        assert max(alike(k, j) for j in range(k - k % 6, k - k % 6 + 6) if j != k) > 0.5
+
+
+def test_confirmed_pairs_against_brute_force(spark):
+    from parchmill.llm import candidates
+    from parchmill.llm.simhash import shingle_hashes
+
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"t{w}" for w in rng.integers(0, 9, rng.integers(0, 25))) for _ in range(60)] + [None, "", "one", "one"]
+    sets = [set(shingle_hashes(t, 2).tolist()) for t in texts]
+    found = [(a, b) for a in range(len(texts)) for b in range(a)]
+    got = candidates.confirmed(spark.createDataFrame(found, "a long, b long"), spark.createDataFrame(list(enumerate(texts)), "node long, text string"), 2, 0.4)
+    want = {(a, b) for a, b in found if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.4 * len(sets[a] | sets[b])}
+    assert {tuple(r) for r in got.collect()} == want and want
+    nodes = [(k, candidates.bands(np.unique(shingle_hashes(t, 2))).tolist()) for k, t in enumerate(texts)]
+    pairs = {tuple(r) for r in candidates.pairs(spark.createDataFrame(nodes, "node long, bands array<long>")).collect()}
+    low = {}
+    for k, held in nodes:
+        for x in held:
+            low.setdefault(x, k)
+    assert pairs == {(k, low[x]) for k, held in nodes for x in held if low[x] != k}
+    assert candidates.bands(np.arange(20_000, dtype=np.uint64)).tolist() == candidates.bands(np.arange(20_000, dtype=np.uint64)[::-1]).tolist()

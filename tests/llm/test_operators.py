@@ -778,7 +778,9 @@ def test_pipeline_against_stages(spark, sf_dir):
     second = corpus_pipeline.near_duplicate_removal(spark, first, sf_dir)
     fps = {i: brute_simhash(texts[i], corpus_pipeline.WORDS, corpus_pipeline.LANES) for i in good}
     near = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= corpus_pipeline.NEAR and (a ^ b).bit_count() <= corpus_pipeline.WIDE
-    low = groups(fps, [(a, b) for a in fps for b in fps if a < b and near(fps[a], fps[b])])
+    sets = {i: set(simhash.shingle_hashes(texts[i], corpus_pipeline.WORDS).tolist()) for i in good}
+    alike = lambda a, b: bool(sets[a]) and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    low = groups(fps, [(a, b) for a in fps for b in fps if a < b and (near(fps[a], fps[b]) or alike(a, b))])
     assert {r["doc_id"] for r in second.collect()} == set(low.values())
     third = corpus_pipeline.personal_data_masking(spark, second, sf_dir)
     assert third.columns == docs.columns
