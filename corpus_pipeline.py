@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchmill.llm import packing, pii, quality, simhash
+from parchmill.llm import candidates, packing, pii, quality, simhash
 from parchmill.llm.common import fresh, materialize, table
 from parchmill.llm.queries import tokenizer_file
 
@@ -36,15 +36,21 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every near-duplicate group: the one with the smallest doc_id.
 
-    Groups are what links of like fingerprints connect.  Among rows that repeat
+    Groups are what links of like fingerprints connect, and links of texts whose
+    sets of five-word shingles have a Jaccard similarity of 0.8 or more.  Among rows that repeat
     that doc_id, and in groups without any doc_id, a hash of the text decides.
     Texts without words are one group.
     """
-    row, order, *lanes = fresh(docs, "row", "order", *[f"fp{k}" for k in range(LANES)])
-    rows = materialize(simhash.with_fingerprint(docs, lanes, WORDS).withColumn(row, F.monotonically_increasing_id()), "rows")
+    row, order, band, *lanes = fresh(docs, "row", "order", "bands", *[f"fp{k}" for k in range(LANES)])
+    rows = materialize(candidates.with_signature(docs, lanes, band, WORDS).withColumn(row, F.monotonically_increasing_id()), "rows")
     names = ["fp", *[f"fp{k}" for k in range(1, LANES)]]
-    fps = rows.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(a).alias(b) for a, b in zip(lanes, names)], F.col(row).alias("row"), F.xxhash64("text").alias("order"))
-    classes = simhash.components(fps.drop("row", "order"), NEAR, agree=AGREE, wide=WIDE)
+    fps = rows.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(a).alias(b) for a, b in zip(lanes, names)], F.col(row).alias("row"), F.xxhash64("text").alias("order"), F.col(band).alias("bands"))
+    distinct = simhash.distinct_fingerprints(fps, names, F.min_by("bands", "row").alias("bands"), F.min("row").alias("row"))
+    near = simhash.link_edges(distinct.select(*names, F.col("node").alias("rep")), NEAR, agree=AGREE, wide=WIDE)
+    # Pairs of the same likeness that lie beyond the radius: the fingerprint only estimates it.
+    texts = rows.select(F.col(row).alias("row"), "text").join(distinct.select("row", "node").hint("merge"), "row").select("node", "text")
+    beyond = candidates.confirmed(candidates.pairs(distinct), texts, WORDS)
+    classes = simhash.linked_classes(distinct.select(*names, "least", "copies", "node"), names, near.union(beyond))
     # A class is named by one number from here on.
     key = F.sha2(F.concat_ws(",", *names), 256)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "order", "row")
