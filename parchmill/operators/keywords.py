@@ -27,7 +27,7 @@ from .changes import ChangedTable
 from .retrieve import K1, B, question_terms, terms, top
 
 #: Documents and words of a slice at most, roughly; queries that are answered together; words that are sent to the scan as a list.
-SLICE_DOCS, SLICE_WORDS, QUERIES, LISTED = 16_384, 8_000_000, 512, 2000
+SLICE_DOCS, SLICE_WORDS, QUERIES, LISTED = 4096, 2_000_000, 512, 2000
 #: What rounding to 6 decimals can add to a score.
 SLACK = 1e-6
 
