@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import answer, retrieve
+from ..functions.paths import materialize
+from ..operators import answer, evaluate, retrieve
 from .base import register, table
 
 
@@ -184,6 +185,31 @@ def recall_mrr(spark, sf_dir):
     return items.join(first, "query_id", "left").select("query_id", F.col("first_hit").isNotNull().cast("int").alias("hit"), F.coalesce(F.round(1 / F.col("first_hit"), 6), F.lit(0.0)).alias("reciprocal_rank"))
 
 
+_PROBED = "CASE WHEN item_id % 5 = 4 THEN 'zzqx' || item_id ELSE text END"
+_DRAWN = " + ".join(f"(u >= {p!r})::INT" for p in evaluate.POISSON)
+
+
+@register(bm25_sql(_PROBED) + f""", e AS (SELECT doc_id % 20 AS query_id, doc_id FROM documents), i AS (SELECT item_id AS query_id, item_id % 5 = 4 AS probe FROM benchmark),
+h AS (SELECT b.query_id, min(rank) AS first FROM b JOIN e USING (query_id, doc_id) WHERE rank <= 6 GROUP BY b.query_id), r AS (SELECT DISTINCT query_id FROM b),
+a AS (SELECT i.query_id, NOT probe AND i.query_id IN (SELECT query_id FROM e) AS answerable, first, (r.query_id IS NULL)::INT::DOUBLE AS refused FROM i LEFT JOIN h USING (query_id) LEFT JOIN r ON r.query_id = i.query_id),
+m AS (SELECT query_id, 'recall' AS metric, (first IS NOT NULL)::INT::DOUBLE AS value FROM a WHERE answerable UNION ALL SELECT query_id, 'mrr', coalesce(1 / first::DOUBLE, 0) FROM a WHERE answerable
+  UNION ALL SELECT query_id, 'false_refusal', refused FROM a WHERE answerable UNION ALL SELECT query_id, 'refusal', refused FROM a WHERE NOT answerable),
+w AS (SELECT *, {_DRAWN} AS times FROM (SELECT m.*, number, ('0x' || md5(concat_ws(':', '1', query_id, number))[1:8])::BIGINT / 4294967296.0::DOUBLE AS u FROM m, range(1, 201) AS v(number))),
+y AS (SELECT metric, number, sum(times * value) / sum(times) AS mean FROM w GROUP BY ALL HAVING sum(times) > 0),
+l AS (SELECT metric, round(quantile_cont(mean, 0.05), 6) AS low, round(quantile_cont(mean, 0.95), 6) AS high FROM y GROUP BY metric)
+SELECT metric, n, value, low, high FROM (SELECT metric, count(*) AS n, round(avg(value), 6) AS value FROM m GROUP BY metric) JOIN l USING (metric)
+""")
+def evaluation_run(spark, sf_dir):
+    """The benchmark's passages as questions whose expected documents are those of their number mod 20, every fifth a probe with words that no document has."""
+    items = table(spark, sf_dir, "benchmark")
+    asked = items.select(F.col("item_id").alias("query_id"), F.when(F.col("item_id") % 5 == 4, F.concat(F.lit("zzqx"), F.col("item_id").cast("string"))).otherwise(F.col("text")).alias("text"))
+    expected = table(spark, sf_dir, "documents").select((F.col("doc_id") % 20).alias("query_id"), F.col("doc_id").alias("document_id")).where("query_id % 5 != 4").join(asked.select("query_id"), "query_id")
+    ranked = materialize(retrieve.bm25(table(spark, sf_dir, "documents"), asked, evaluate.TOP).withColumnRenamed("doc_id", "document_id"), "ranked")
+    finished = asked.join(ranked.select("query_id", F.lit("answered").alias("said")).distinct(), "query_id", "left").select("query_id", F.coalesce("said", F.lit("refused_no_context")).alias("finish_reason"))
+    found = evaluate.metrics(evaluate.outcomes(asked, expected, ranked, finished))
+    return found.select("metric", "n", *[F.round(c, 6).alias(c) for c in ("value", "low", "high")])
+
+
 @register("""
 SELECT doc_id FROM documents WHERE lang = 'en' AND (source = 'src1' OR source = 'src2' OR doc_id % 5 = 0)
 """)

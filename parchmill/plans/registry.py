@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import chunk, index, normalize, stats
 from ..sources import html
 from ..streaming import events as streams
+from ..streaming import limits
 from . import answer_queries, ingest_queries, search_queries  # noqa: F401  (they register theirs)
 from .base import QUERIES, SQL, register, table
 
@@ -250,6 +251,13 @@ def rate_limit_stream(spark, sf_dir):
     return streams.rate_limit_stream(spark, f"{sf_dir}/events.parquet", 2)
 
 
+@register("SELECT event_id, user_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts, event_id) <= 2 AS allowed FROM events")
+def rate_limit_decisions(spark, sf_dir):
+    """A stream with keyed state that allows a user two events an hour and decides each event."""
+    found = limits.run_limited(spark, f"{sf_dir}/events.parquet", 2)
+    return found.select("event_id", "user_id", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "allowed")
+
+
 @register("SELECT event_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 180 HOUR")
 def retention(spark, sf_dir):
     e = table(spark, sf_dir, "events")
