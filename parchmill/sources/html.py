@@ -23,6 +23,10 @@ BLOCK_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string()), (
 BLOCK_DDL = "array<struct<kind:string,text:string,level:int,page_number:int>>"
 
 
+#: Blocks, rows and cells that are open at once at most; what is nested deeper belongs to those around it.
+NESTED = 64
+
+
 @dataclass
 class _Open:
     """An open tag and what its text goes to."""
@@ -37,6 +41,8 @@ class _Open:
 @dataclass
 class _Page(HTMLParser):
     stack: list[_Open] = field(default_factory=list)
+    holders: list[tuple[int, _Open]] = field(default_factory=list)  # the open tags that take text or rows, with their places
+    places: dict[str, list[int]] = field(default_factory=dict)  # where each tag is open
     blocks: list[dict] = field(default_factory=list)
     hints: dict[str, str] = field(default_factory=dict)
     title: list[str] | None = None
@@ -55,25 +61,28 @@ class _Page(HTMLParser):
             self._close(("p",), ("table", "td", "th"))
         if tag in ENDS:
             self._close(*ENDS[tag])
-        new = _Open(tag, tag in DROPPED or any(o.dropped for o in self.stack[-1:]))
+        new = _Open(tag, tag in DROPPED or bool(self.stack) and self.stack[-1].dropped)
         if tag == "title" and self.title is None:
             self.title = []
-        if not new.dropped:
-            if tag in BLOCKS and (tag == "table" or not any(o.tag in ("table", "li") for o in self.stack)):
+        if not new.dropped and len(self.holders) < NESTED:
+            if tag in BLOCKS and (tag == "table" or not (self.places.get("table") or self.places.get("li"))):
                 heading = tag[0] == "h"
                 kind = "heading" if heading else {"li": "list_item", "table": "table"}.get(tag, "paragraph")
                 new.block = {"kind": kind, "level": int(tag[1]) if heading else None, "parts": [], "rows": []}
                 self.blocks.append(new.block)
             elif tag == "tr":  # a row belongs to every table around it
                 new.row = []
-                for o in self.stack:
+                for _, o in self.holders:
                     if o.block and o.tag == "table":
                         o.block["rows"].append(new.row)
             elif tag in ("td", "th"):
                 new.cell = []
-                for o in self.stack:
+                for _, o in self.holders:
                     if o.row is not None:
                         o.row.append(new.cell)
+        if new.block or new.row is not None or new.cell is not None:
+            self.holders.append((len(self.stack), new))
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(new)
 
     def handle_endtag(self, tag):
@@ -87,7 +96,7 @@ class _Page(HTMLParser):
             self.title.append(text)
         if self.stack[-1].dropped:
             return
-        for o in self.stack:
+        for _, o in self.holders:
             if o.cell is not None:
                 o.cell.append(text)
             elif o.block and o.tag != "table":
@@ -98,12 +107,15 @@ class _Page(HTMLParser):
         return self.rawdata.find(">", i) + 1 or -1
 
     def _close(self, tags, stops):
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k].tag in tags:
-                del self.stack[k:]
-                return
-            if self.stack[k].tag in stops:
-                return
+        last = lambda names: max((p[-1] for n in names if (p := self.places.get(n))), default=-1)
+        k = last(tags)
+        if k <= last(stops):
+            return
+        for o in self.stack[k:]:
+            self.places[o.tag].pop()
+        del self.stack[k:]
+        while self.holders and self.holders[-1][0] >= k:
+            self.holders.pop()
 
 
 def pipe_table(rows: list[list[str]]) -> str:
@@ -116,8 +128,11 @@ def pipe_table(rows: list[list[str]]) -> str:
 
 def parse_html(html: str | None) -> tuple[list[dict], str | None, dict[str, str]]:
     """Blocks, title hint (first h1, else <title>) and named meta values of a page; null gives none."""
-    page = _Page()
-    page.feed(html or "")
+    page, html = _Page(), html or ""
+    end = html.rfind(">") + 1
+    if html.count("<", end) > NESTED:  # tags that never end are text; the parser would look for their end from each of them
+        html = html[:end] + html[end:].replace("<", "&lt;")
+    page.feed(html)
     page.close()
     blocks = []
     for b in page.blocks:
@@ -139,7 +154,7 @@ def html_blocks(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
         try:
             blocks, title, _ = parse_html(text)
             return title, blocks, None
-        except (AssertionError, ValueError, RecursionError) as e:
+        except Exception as e:  # the parser meets arbitrary bytes; the page fails, not the task
             return None, [], f"cannot read html: {e}"
 
     def run(batches):

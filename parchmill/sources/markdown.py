@@ -11,6 +11,8 @@ HTML_BLOCKS = (
     "frame frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li link main menu menuitem nav noframes ol optgroup option p param search section "
     "summary table tbody td tfoot th thead title tr track ul script pre style textarea"
 ).split()
+#: How deep quotes and lists are read.
+NESTED = 100
 PUNCTUATION = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 _RAW = re.compile(rf" {{0,3}}(?:</?(?:{'|'.join(HTML_BLOCKS)})(?:[\s/>]|$)|<!--|<\?|<![A-Za-z]|</?[A-Za-z][A-Za-z0-9-]*(?:\s[^<>]*)?/?>\s*$)", re.I)
 _ATX = re.compile(r" {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$")
@@ -23,37 +25,42 @@ _INLINE = re.compile(
     rf"(?P<escape>\\[{PUNCTUATION}])|(?P<code>(?<!`)(`+)(?!`)(?P<body>.+?)(?<!`)\3(?!`))|<(?P<auto>[A-Za-z][A-Za-z0-9+.-]{{1,31}}:[^\s<>]*|[\w.+-]+@[\w.-]+)>"
     r"|(?P<tag></?[A-Za-z][A-Za-z0-9-]*(?:\s[^<>]*)?/?>|<!--.*?-->)|(?P<entity>&(?:[A-Za-z][A-Za-z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});)"
     r"|(?P<image>!\[[^\[\]]*\]\((?:[^()\s]|\([^()]*\))*(?:\s+\"[^\"]*\")?\))|\[(?P<link>(?:[^\[\]]|\[[^\[\]]*\])*)\]\((?:[^()\s]|\([^()]*\))*(?:\s+\"[^\"]*\")?\)"
-    r"|\[(?P<named>[^\[\]]+)\](?:\[(?P<label>[^\[\]]*)\])?|(?P<run>\*+|_+)|(?P<break>\n)", re.S,
+    r"|\[(?P<named>[^\[\]]+)\](?:\[(?P<label>[^\[\]]*)\])?|(?P<run>\*+|_+)|(?P<break>\\?\n)", re.S,
 )
 
 
 def _marks(parts: list) -> None:
-    """Turn runs of emphasis signs that pair up into boundaries; parts are texts, None (boundary), or [sign, count, opens, closes]."""
-    k = 0
-    while k < len(parts):
-        closer = parts[k]
-        if isinstance(closer, list) and closer[3] and closer[1]:
-            for j in range(k - 1, -1, -1):
-                opener = parts[j]
-                if not isinstance(opener, list) or opener[0] != closer[0] or not opener[2] or not opener[1]:
-                    continue
-                both = opener[3] or closer[2]
-                if both and (opener[4] + closer[4]) % 3 == 0 and (opener[4] % 3 or closer[4] % 3):
-                    continue
-                used = 2 if min(opener[1], closer[1]) > 1 else 1
-                opener[1] -= used
-                closer[1] -= used
-                opener[5] = closer[5] = True
-                for between in parts[j + 1 : k]:
-                    if isinstance(between, list):
-                        between[2] = False
-                break
+    """Turn runs of emphasis signs that pair up into boundaries; parts are texts, None (boundary), or [sign, count, opens, closes, length, paired].
+
+    ``bottom`` keeps up to where a closer of a kind has looked in vain, so no stretch is searched twice.
+    """
+    openers: list[int] = []
+    bottom: dict[tuple, int] = {}
+    for k, closer in enumerate(parts):
+        if not isinstance(closer, list):
+            continue
+        kind = (closer[0], closer[2], closer[4] % 3)
+        while closer[3] and closer[1]:
+            for s in range(len(openers) - 1, -1, -1):
+                if openers[s] <= bottom.get(kind, -1):
+                    s = -1
+                    break
+                opener = parts[openers[s]]
+                odd = (opener[3] or closer[2]) and (opener[4] + closer[4]) % 3 == 0 and (opener[4] % 3 or closer[4] % 3)
+                if opener[0] == closer[0] and not odd:
+                    break
             else:
-                k += 1
-                continue
-            if closer[1]:
-                continue
-        k += 1
+                s = -1
+            if s < 0:
+                bottom[kind] = k - 1
+                break
+            used = 2 if min(opener[1], closer[1]) > 1 else 1
+            opener[1] -= used
+            closer[1] -= used
+            opener[5] = closer[5] = True
+            del openers[s + bool(opener[1]) :]
+        if closer[2] and closer[1]:
+            openers.append(k)
 
 
 def plain(text: str, labels: frozenset[str] = frozenset()) -> str:
@@ -140,7 +147,10 @@ class _Reader:
             or (item and line[item.end() :].strip() and (not item[2][0].isdigit() or item[2][:-1] == "1")) or (_RAW.match(line) and not line.rstrip().endswith(">") or re.match(r" {0,3}</?(?:div|table|p|ul|ol|pre|h[1-6]|script|style)[\s/>]", line, re.I))
         )
 
-    def read(self, lines: list[str], item: bool = False) -> None:
+    def read(self, lines: list[str], item: bool = False, depth: int = 0) -> None:
+        if depth > NESTED:  # what is nested deeper is text
+            self.emit("paragraph", "\n".join(x.strip() for x in lines))
+            return
         kind, k = "list_item" if item and self.list_items else "paragraph", 0
         while k < len(lines):
             line = lines[k]
@@ -165,10 +175,10 @@ class _Reader:
                 k += 1
             elif line.lstrip(" ").startswith(">"):
                 own, k = self.quoted(lines, k)
-                self.read(own)
+                self.read(own, depth=depth + 1)
             elif m := _ITEM.match(line):
                 own, k = self.listed(lines, k, m)
-                self.read(own, item=True)
+                self.read(own, item=True, depth=depth + 1)
             elif _RAW.match(line):
                 stop = "-->" if line.lstrip().startswith("<!--") else None
                 while k < len(lines) and (lines[k].strip() if stop is None else stop not in lines[k]):
