@@ -88,7 +88,10 @@ def condensed(turns: DataFrame, questions: DataFrame, most: int = 6) -> DataFram
 def cached(questions: DataFrame) -> DataFrame:
     """``questions`` with ``asked_first``: the earliest query_id with the same words (case, white space and signs at the end folded)."""
     key = F.regexp_replace(F.lower(collapse(F.col("text"))), r"[ ?!.]+$", "")
-    return questions.withColumn("cache_key", F.sha2(key, 256)).withColumn("asked_first", F.min("query_id").over(Window.partitionBy("cache_key")))
+    keyed = questions.withColumn("cache_key", F.sha2(F.coalesce(key, F.lit("")), 256))
+    # A popular question is one row before the shuffle, and the join can split its rows.
+    first = keyed.groupBy("cache_key").agg(F.min("query_id").alias("asked_first"))
+    return keyed.join(first, "cache_key").select(*questions.columns, "cache_key", "asked_first")
 
 
 def owned(conversations: DataFrame, callers: DataFrame) -> DataFrame:

@@ -220,12 +220,12 @@ def metadata_filter(spark, sf_dir):
 
 
 @register("""
-WITH k AS (SELECT conv_id, turn, sha256(regexp_replace(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), '[ ?!.]+$', '')) AS key FROM conversations WHERE role = 'user' AND regexp_matches(text, '^[\\x00-\\x7F]*$'))
+WITH k AS (SELECT conv_id, turn, sha256(regexp_replace(trim(regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g')), '[ ?!.]+$', '')) AS key FROM conversations WHERE role = 'user')
 SELECT conv_id * 1000 + turn AS query_id, min(conv_id * 1000 + turn) OVER (PARTITION BY key) AS asked_first FROM k
 """)
 def semantic_cache(spark, sf_dir):
     """Questions and the first one with the same words."""
-    q = table(spark, sf_dir, "conversations").where("role = 'user'").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
+    q = table(spark, sf_dir, "conversations").where("role = 'user'")
     return answer.cached(q.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")).select("query_id", "asked_first")
 
 
