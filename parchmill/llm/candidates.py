@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import materialize
-from .simhash import shingle_hashes, simhash
+from .simhash import majority, shingle_hashes
 
 #: Bands, and hashes of a band: a pair of likeness 0.8 shares one with a chance of 0.99, one of 0.5 with 0.3.
 BANDS, ROWS, LIKENESS = 12, 5, 0.8
@@ -43,10 +43,13 @@ def with_signature(docs: DataFrame, names: list[str], band: str, words: int, see
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            fps = np.array([simhash(t, words, seed, len(names)) for t in texts], np.uint64).reshape(-1, len(names)).view(np.int64)
-            held = pa.array([bands(np.unique(shingle_hashes(t, words, seed))) for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(fps[:, k].copy()) for k in range(len(names))), held], [*columns, *names, band])
+            prints, held = [], []
+            for text in batch.column("text"):
+                hashes = shingle_hashes(text.as_py(), words, seed)
+                prints.append(majority(hashes, len(names)))
+                held.append(bands(hashes))
+            fps = np.array(prints, np.uint64).reshape(-1, len(names)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(fps[:, k].copy()) for k in range(len(names))), pa.array(held, pa.list_(pa.int64()))], [*columns, *names, band])
 
     return docs.mapInArrow(run, StructType([*docs.schema, *(StructField(n, LongType()) for n in names), StructField(band, ArrayType(LongType()))]))
 
@@ -68,7 +71,7 @@ def confirmed(found: DataFrame, texts: DataFrame, words: int, likeness: float =
 
     def sets(batches):
         for batch in batches:
-            held = [np.unique(shingle_hashes(t, words, seed).astype(np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            held = [np.unique(shingle_hashes(t, words, seed).astype(np.uint32)).tobytes() for t in map(pa.Scalar.as_py, batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(held, pa.binary())], ["node", "held"])
 
     made = materialize(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(sets, StructType([StructField("node", LongType()), StructField("held", BinaryType())])), "sets")

@@ -60,7 +60,11 @@ def _lanes(hashes: np.ndarray, lanes: int) -> np.ndarray:
 
 def simhash(text: str | None, words: int = 3, seed: int = 42, lanes: int = 1) -> np.ndarray:
     """Fingerprint of ``lanes`` times 64 bits: a bit is set if it is set in over half the shingle hashes."""
-    hashes = shingle_hashes(text, words, seed)
+    return majority(shingle_hashes(text, words, seed), lanes)
+
+
+def majority(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
+    """The fingerprint of shingle hashes."""
     n, ones = len(hashes), np.zeros(64 * lanes, np.int64)
     for at in range(0, n, 255 * 16):  # whole text, bounded memory
         part = _lanes(hashes[at : at + 255 * 16], lanes)
