@@ -110,6 +110,11 @@ def load(files: DataFrame) -> DataFrame:
     read = _parsed(files)
     if files.where(document_type(F.col("path")).isin(sorted(PRINTED))).select("path").isEmpty():
         return read.drop("lines", "outline")
+    return laid(read)
+
+
+def laid(read: DataFrame) -> DataFrame:
+    """Parsed rows with the blocks of their printed lines; the rows are written once."""
     read = materialize(read.withColumn("row", F.monotonically_increasing_id()), "read")
     key = F.col("row").alias("document_id")
     lines = read.select(key, F.posexplode("lines").alias("pos", "line")).select("document_id", "pos", "line.*")
@@ -122,38 +127,44 @@ def load(files: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(files: DataFrame) -> DataFrame:
+PARSED = f"path string, document_type string, title_hint string, hints map<string,string>, blocks {BLOCK_DDL}, error_class string, error string, lines {LINE_DDL}, outline array<string>"
+
+
+def parse_file(path: str | None, content: bytes | None, loaders: dict[str, tuple[str, Callable]]) -> tuple:
+    """One file as the columns of PARSED behind its path."""
+    name = (path or "").rsplit("/", 1)[-1]
+    ending = "." + name.rsplit(".", 1)[-1].lower() if "." in name else ""
+    if ending not in loaders:
+        return None, None, [], [], UnsupportedFormatError.__name__, f"no loader for '{ending}': {name}", None, None
+    kind, parse = loaders[ending]
+    try:
+        blocks, title, hints = parse(content or b"")
+    except PdfError as e:
+        return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {e}", None, None
+    except Exception as e:  # parsers meet arbitrary bytes; the document fails, not the task
+        return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {type(e).__name__}", None, None
+    if isinstance(blocks, Printed):
+        return kind, title, list(hints.items()), [], None, None, blocks.lines, blocks.outline
+    if not blocks:
+        return kind, title, list(hints.items()), [], DocumentParseError.__name__, f"{kind} {name} produced no content", None, None
+    return kind, title, list(hints.items()), blocks, None, None, None, None
+
+
+def parsed_batch(paths: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), BLOCK_TYPE, pa.string(), pa.string(), LINE_TYPE, pa.list_(pa.string())]
     names = ["path", "document_type", "title_hint", "hints", "blocks", "error_class", "error", "lines", "outline"]
-    loaders = dict(LOADERS)
+    columns = list(zip(*rows)) or [()] * 8
+    return pa.RecordBatch.from_arrays([paths, *(pa.array(list(c), t) for c, t in zip(columns, types))], names)
+
 
-    def one(path, content):
-        name = (path or "").rsplit("/", 1)[-1]
-        ending = "." + name.rsplit(".", 1)[-1].lower() if "." in name else ""
-        if ending not in loaders:
-            return None, None, [], [], UnsupportedFormatError.__name__, f"no loader for '{ending}': {name}", None, None
-        kind, parse = loaders[ending]
-        try:
-            blocks, title, hints = parse(content or b"")
-        except PdfError as e:
-            return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {e}", None, None
-        except Exception as e:  # parsers meet arbitrary bytes; the document fails, not the task
-            return kind, None, [], [], DocumentParseError.__name__, f"cannot read {kind} {name}: {type(e).__name__}", None, None
-        if isinstance(blocks, Printed):
-            return kind, title, list(hints.items()), [], None, None, blocks.lines, blocks.outline
-        if not blocks:
-            return kind, title, list(hints.items()), [], DocumentParseError.__name__, f"{kind} {name} produced no content", None, None
-        return kind, title, list(hints.items()), blocks, None, None, None, None
+def _parsed(files: DataFrame) -> DataFrame:
+    loaders = dict(LOADERS)
 
     def run(batches):
-        types = [pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), BLOCK_TYPE, pa.string(), pa.string(), LINE_TYPE, pa.list_(pa.string())]
         for batch in batches:
-            rows = [one(p, c) for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            columns = list(zip(*rows)) or [()] * 8
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), t) for c, t in zip(columns, types))], names)
+            yield parsed_batch(batch.column(0), [parse_file(p, c, loaders) for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())])
 
-    return files.select("path", "content").mapInArrow(
-        run, f"path string, document_type string, title_hint string, hints map<string,string>, blocks {BLOCK_DDL}, error_class string, error string, lines {LINE_DDL}, outline array<string>"
-    )
+    return files.select("path", "content").mapInArrow(run, PARSED)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
