@@ -15,6 +15,7 @@ those of the live documents.
 from __future__ import annotations
 
 import uuid
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +35,30 @@ SLACK = 1e-6
 POSTINGS = "term string, slice long, df int, max_tf double, min_size double, places binary, tfs binary"
 
 
+#: Lists of fewer bytes are kept as they are; posting blocks that leave a task at once.
+PLAIN, ROWS = 256, 20_000
+
+
+@cache
+def _engines() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    raw = values.tobytes()
+    return b"\0" + raw if len(raw) < PLAIN else b"\1" + _engines()[0].compress(raw)
+
+
+def _unpacked(packed: bytes, kind) -> np.ndarray:
+    return np.frombuffer(packed[1:] if packed[:1] == b"\0" else _engines()[1].decompress(packed[1:]), kind)
 
 
 def _places(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.int32))
+    return np.cumsum(_unpacked(packed, np.int32))
 
 
 def _tfs(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.float64)
+    return _unpacked(packed, np.float64)
 
 
 def weight(tf, size, mean):
@@ -211,11 +226,14 @@ def _blocks(number: int, rows: pa.Table, weights: list[float]):
     code, at = key // len(place), key % len(place)
     cuts = np.append(np.flatnonzero(np.diff(code, prepend=-1)), len(code))
     terms_, out = coded.dictionary.to_pylist(), []
+    types = [pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
+    names = ["term", "slice", "df", "max_tf", "min_size", "places", "tfs"]
     for a, b in zip(cuts, cuts[1:]):
         places = place[at[a:b]]
         out.append((terms_[code[a]], number, b - a, tf[a:b].max(), size[at[a:b]].min(), _packed(np.diff(places, prepend=0).astype(np.int32)), _packed(tf[a:b])))
-    types = [pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["term", "slice", "df", "max_tf", "min_size", "places", "tfs"])
+        if len(out) == ROWS or b == len(code):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+            out = []
 
 
 def _scored(asked: list[dict], blocks: list[dict], documents: list[dict], k: int, mean: float):
