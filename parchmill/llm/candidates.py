@@ -71,7 +71,7 @@ def confirmed(found: DataFrame, texts: DataFrame, words: int, likeness: float =
 
     def sets(batches):
         for batch in batches:
-            held = [np.unique(shingle_hashes(t, words, seed).astype(np.uint32)).tobytes() for t in map(pa.Scalar.as_py, batch.column("text"))]
+            held = [np.unique(shingle_hashes(text.as_py(), words, seed).astype(np.uint32)).tobytes() for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(held, pa.binary())], ["node", "held"])
 
     made = materialize(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(sets, StructType([StructField("node", LongType()), StructField("held", BinaryType())])), "sets")

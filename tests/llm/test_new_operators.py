@@ -365,3 +365,11 @@ def test_confirmed_pairs_against_brute_force(spark):
             low.setdefault(x, k)
     assert pairs == {(k, low[x]) for k, held in nodes for x in held if low[x] != k}
     assert candidates.bands(np.arange(20_000, dtype=np.uint64)).tolist() == candidates.bands(np.arange(20_000, dtype=np.uint64)[::-1]).tolist()
+
+
+def test_confirmed_pairs_of_null_empty_and_other_scripts(spark):
+    from parchmill.llm import candidates
+
+    texts = spark.createDataFrame([(1, None), (2, ""), (3, "Zoë 好 a b"), (4, "Zoë 好 A  b"), (5, "zoë 好 a c")], "node long, text string")
+    found = spark.createDataFrame([(2, 1), (3, 1), (4, 3), (5, 3), (5, 4)], "a long, b long")
+    assert [tuple(r) for r in candidates.confirmed(found, texts, 2).collect()] == [(4, 3)]
