@@ -12,7 +12,8 @@ with the corpus: every training word's count travels to the texts that hold it.
 
 Inside a word the contexts don't look beyond its start.  So a task evaluates
 each different word once per chunk of texts, with its number of occurrences as
-weight while learning, and only the first letters of words one by one.
+weight while learning, and each different first letter after the same word and
+separator once per block.
 
 Learning is online inside each task: every block of decisions is predicted with
 the counts gathered so far, which moves the mixer's weights and the map, and
@@ -149,12 +150,13 @@ def _slots(codes: Codes, prev: np.ndarray, sym: np.ndarray, three: np.ndarray, w
     steps = codes.size[code]
     ends = np.cumsum(steps)
     first = ends - steps
-    path = np.repeat(codes.start[code] - first, steps)
+    own = np.repeat(np.arange(len(code)), steps)
+    path = (codes.start[code] - first)[own]
     path += np.arange(len(path))
     node, bit = codes.node[path], codes.bit[path]
     slots, mark = [node], node * _HASH[2]
     for key, bits in zip((three, word), BITS):
-        slot = np.repeat(((key * _HASH[0]) >> np.uint64(32)).astype(np.uint32), steps)
+        slot = ((key * _HASH[0]) >> np.uint64(32)).astype(np.uint32)[own]
         slot ^= mark
         slot *= _HASH[1]
         slot >>= np.uint32(32 - bits)
@@ -168,7 +170,16 @@ def word_starts(codes: Codes, words: Words, ids: np.ndarray, ends: np.ndarray, b
     ids, ends: a word and the separator after it; before, before_end: those
     that come before it (the additional entry and EDGE at a text's start).
     """
-    sym = np.where(words.size[ids] > 0, words.first[ids], ends)
+    return _starts(codes, words, start_keys(words, ids, ends, before, before_end))
+
+
+def start_keys(words: Words, ids: np.ndarray, ends: np.ndarray, before: np.ndarray, before_end: np.ndarray) -> np.ndarray:
+    """What the decisions for a first symbol depend on, as one number: the word and separator before it, and the symbol."""
+    return (before << 3 | _NUMBER[before_end]) << 9 | np.where(words.size[ids] > 0, words.first[ids], ends)
+
+
+def _starts(codes: Codes, words: Words, keys: np.ndarray):
+    before, before_end, sym = keys >> 12, _SEPARATOR[keys >> 9 & 7], keys & 511
     with np.errstate(over="ignore"):
         three = before_end.astype(np.uint64) | words.last[0][before].astype(np.uint64) << np.uint64(9) | words.last[1][before].astype(np.uint64) << np.uint64(18) | np.uint64(1 << 40)
         return _slots(codes, before_end, sym, three, words.hash[before] + before_end * np.uint64(0x2545F4914F6CDD1D))
@@ -209,12 +220,15 @@ def table_sizes() -> list[int]:
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
     """Log odds of a set bit from interleaved counts of clear and set bits."""
-    return np.log((counts[1::2] + np.float32(PRIOR)) / (counts[::2] + np.float32(PRIOR))).astype(np.float32)
+    counts = counts.astype(np.float32)
+    counts += np.float32(PRIOR)
+    odds = counts[1::2] / counts[::2]
+    return np.log(odds, out=odds)
 
 
 def _gate(odds: list[np.ndarray]) -> np.ndarray:
     top, mid = (np.minimum(np.abs(odds[k]) * np.float32(1.6), 7).astype(np.uint8) for k in (-1, -2))
-    return top * np.uint8(8) + mid
+    return (top * np.uint8(8) + mid).astype(np.intp)  # an index many times over
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
@@ -249,28 +263,29 @@ class Learner:
             self._step(slots, bit, np.repeat(times[own], np.diff(np.append(first, len(bit)))))
         for at in range(0, len(ids), BLOCK_SYMBOLS):
             some = slice(at, at + BLOCK_SYMBOLS)
-            slots, bit, _ = word_starts(self.codes, words, ids[some], ends[some], before[some], before_end[some])
-            self._step(slots, bit, None)
+            keys, times = np.unique(start_keys(words, ids[some], ends[some], before[some], before_end[some]), return_counts=True)
+            slots, bit, first = _starts(self.codes, words, keys)
+            self._step(slots, bit, np.repeat(times, np.diff(np.append(first, len(bit)))))
 
     def _step(self, slots, bit, times) -> None:
         """Predict a block with the counts so far, move the mixer and the map, then add the block's counts."""
+        slots = [s.astype(np.intp) for s in slots]
         odds = [log_odds(c.view(np.uint64)[s].view(np.uint32)) for c, s in zip(self.counts, slots)]
         gate = _gate(odds)
         x = _mixed(np.ascontiguousarray(self.weights.T, np.float32), gate, odds)
         error = bit - 1 / (1 + np.exp(-x))
-        if times is not None:
-            error *= times
+        error *= times
         for k, o in enumerate(odds):  # steps scaled by past gradients
             step = np.bincount(gate, error * o, GATES)
             self.scale[:, k] += step * step
             self.weights[:, k] += 0.3 * step / np.sqrt(self.scale[:, k])
-        seen = np.bincount((gate.astype(np.int32) * MAP + _bucket(x)) * 2 + bit, times, minlength=2 * len(self.map)).reshape(-1, 2)
+        seen = np.bincount((gate * MAP + _bucket(x)) * 2 + bit, times, minlength=2 * len(self.map)).reshape(-1, 2)
         self.map[:, 0] += seen.sum(1)
         self.map[:, 1] += seen[:, 1]
         self.seen += float(seen.sum())
-        add = np.uint32(1) if times is None else times.astype(np.uint32)
+        add = times.astype(np.uint32)
         for counts, slot in zip(self.counts, slots):
-            np.add.at(counts, slot.astype(np.int64) * 2 + bit, add)
+            np.add.at(counts, slot * 2 + bit, add)
 
     def pieces(self):
         """(kind, block, values) that add up over tasks; blocks of zeros are left out."""
@@ -315,7 +330,7 @@ class Model:
         odds = [t[s] for t, s in zip(self.odds, slots)]
         gate = _gate(odds)
         x = _mixed(self.weights, gate, odds)
-        place = gate.astype(np.uint16) * np.uint16(MAP) + _bucket(x)
+        place = gate * MAP + _bucket(x)
         p = np.exp(-x)
         p += 1
         np.reciprocal(p, out=p)
@@ -348,12 +363,25 @@ class Model:
         with np.errstate(divide="ignore"):
             share[known] = np.log(self.known_share) + np.log(counts[known] / max(1, self.n_words))
             other = np.log1p(-self.known_share)
-        for at in range(0, len(ids), BLOCK_SYMBOLS):
-            some = slice(at, at + BLOCK_SYMBOLS)
-            head, rest = self.logs(*word_starts(self.codes, words, ids[some], ends[some], before[some], before_end[some]))
-            whole = words.size[ids[some]] > 0
-            mixed = np.logaddexp(share[ids[some]], other + rest + inside[unit[some]])
-            out[some] = head + np.where(whole, mixed + after[unit[some]], rest)
+        # So is every different first symbol in its context, once in SLICE words.
+        for low in range(0, len(ids), SLICE):
+            part = slice(low, low + SLICE)
+            key = start_keys(words, ids[part], ends[part], before[part], before_end[part])
+            order = np.argsort(key)
+            key = key[order]
+            new = np.append(True, key[1:] != key[:-1])
+            place = np.empty(len(key), np.int32)
+            place[order] = np.cumsum(new, dtype=np.int32) - 1
+            key = key[new]
+            heads, rests = np.empty(len(key)), np.empty(len(key))
+            for at in range(0, len(key), BLOCK_SYMBOLS):
+                some = slice(at, at + BLOCK_SYMBOLS)
+                heads[some], rests[some] = self.logs(*_starts(self.codes, words, key[some]))
+            for at in range(0, len(place), BLOCK_SYMBOLS):
+                own, some = place[at : at + BLOCK_SYMBOLS], slice(low + at, min(low + at + BLOCK_SYMBOLS, low + len(place)))
+                rest, whole = rests[own], words.size[ids[some]] > 0
+                mixed = np.logaddexp(share[ids[some]], other + rest + inside[unit[some]])
+                out[some] = heads[own] + np.where(whole, mixed + after[unit[some]], rest)
         return out
 
 
@@ -380,39 +408,52 @@ class Chunk:
     """Texts of about CHUNK_BYTES as ids of their common vocabulary."""
 
     def __init__(self):
-        self.vocabulary: defaultdict[bytes, int] = defaultdict()
-        self.vocabulary.default_factory = self.vocabulary.__len__
-        assert self.vocabulary[END] == 0 and self.vocabulary[EMPTY] == 1
-        self.doc_ids, self.held, self.sizes, self.ids, self.ends, self.bytes = [], [], [], [], [], 0
+        self.doc_ids, self.held, self.texts, self.bytes = [], [], [], 0
 
     def add(self, doc_id: int | None, held: bool, text: bytes) -> None:
-        split = text.translate(_TO_SPACE).split(b" ")
-        self.ids.append(np.fromiter(map(self.vocabulary.__getitem__, split), np.uint32, len(split)))
-        data = np.frombuffer(text, np.uint8)
-        self.ends += [data[_IS_SPACE[data]], np.zeros(1, np.uint8)]  # zero stands for the end
         self.doc_ids.append(doc_id)
         self.held.append(held)
-        self.sizes.append(len(split))
+        self.texts.append(text)
         self.bytes += len(text)
 
+    def encoded(self):
+        """Ids of all words, the separators after them (zero stands for the end), words per text, and the vocabulary with a line feed after each word."""
+        # An empty text before the others makes EMPTY the first word; every word is taken with one space after it.
+        flat = b" ".join([b"", *self.texts, b""])
+        body = np.frombuffer(flat, np.uint8)
+        stops = np.flatnonzero(_IS_SPACE[body])
+        last = np.searchsorted(stops, np.cumsum([1, *(len(t) + 1 for t in self.texts)]) - 1)
+        ends = body[stops]
+        ends[last] = 0
+        offsets = np.zeros(len(stops) + 1, np.int64)
+        np.add(stops, 1, out=offsets[1:])
+        flat = flat.translate(_TO_SPACE)
+        del body, stops  # a chunk's memory counts once a worker
+        coded = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(flat)]).dictionary_encode()
+        words = coded.dictionary
+        size = int(np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)[-1])
+        blob = END + b"\n" + words.buffers()[2][:size].to_pybytes().replace(b" ", b"\n")
+        return coded.indices.to_numpy()[1:].astype(np.uint32) + np.uint32(1), ends[1:], np.diff(last), blob
+
     def rows(self, chunk: int, ranges: int):
         """(chunk, range, docs, held, a, b, c, d): the texts with range -1, and the vocabulary by ranges of words."""
         pack = _packer()
-        blob = b"\n".join(self.vocabulary) + b"\n"
-        words, ids = Words(blob), np.concatenate(self.ids)
-        yield chunk, -1, self.doc_ids, self.held, *(pack.compress(x) for x in (np.array(self.sizes, "<u4").tobytes(), _planes(ids, "<u4"), np.concatenate(self.ends).tobytes(), blob))
-        train = np.repeat(~np.array(self.held), self.sizes)
+        ids, ends, sizes, blob = self.encoded()
+        words = Words(blob)
+        yield chunk, -1, self.doc_ids, self.held, *(pack.compress(x) for x in (sizes.astype("<u4").tobytes(), _planes(ids, "<u4"), ends.tobytes(), blob))
+        train = np.repeat(~np.array(self.held), sizes)
         counts = np.bincount(ids[train], minlength=len(words))
         counts[0], counts[1] = len(self.held) - sum(self.held), 0
         place = (words.hash[:-1] >> np.uint64(20)) % np.uint64(ranges)
         order = np.argsort(place, kind="stable")
         order = order[order != 1]
         cuts = np.searchsorted(place[order], np.arange(ranges + 1))
-        listed = list(self.vocabulary)
+        listed = pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(np.append(words.start, len(blob))), pa.py_buffer(blob)]).take(pa.array(order))
+        stops = np.append(0, np.cumsum(words.size[order] + 1))
         for r in range(ranges):
             own = order[cuts[r] : cuts[r + 1]]
             if len(own):
-                yield chunk, r, None, None, pack.compress(b"\n".join([listed[i] for i in own.tolist()])), pack.compress(_planes(own, "<u4")), pack.compress(_planes(counts[own], "<u4")), None
+                yield chunk, r, None, None, pack.compress(listed.buffers()[2][int(stops[cuts[r]]) : int(stops[cuts[r + 1]]) - 1].to_pybytes()), pack.compress(_planes(own, "<u4")), pack.compress(_planes(counts[own], "<u4")), None
 
 
 _INGESTED = pa.schema([
@@ -433,15 +474,15 @@ def ingest(docs: DataFrame, ranges: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*row, None), _INGESTED)], schema=_INGESTED)
 
         for batch in batches:
-            for doc_id, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), batch.column("text")):
-                text = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
+            for doc_id, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), batch.column("text").cast(pa.large_binary())):
+                text = (text.as_py() or b"").lower()
                 chunk.add(doc_id, held, text)
                 if not held:
                     count_pairs(text, pairs)
                 if chunk.bytes >= CHUNK_BYTES:
                     yield from out()
                     chunk, n = Chunk(), n + 1
-        if chunk.sizes:
+        if chunk.texts:
             yield from out()
         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((None,) * 8 + (_packer().compress(pairs.tobytes()),), _INGESTED)], schema=_INGESTED)
 

@@ -555,6 +555,46 @@ def test_lm_one_very_long_word():
     assert (model.score(words, *arrays, np.zeros(len(words))) < 0).all()
 
 
+
+def test_lm_equal_contexts_are_evaluated_once():
+    """Learning evaluates what is equal inside a block once, with its number; scoring what is equal inside a chunk."""
+    words, sizes, arrays, learner = small_model([b"one two two\none " * 3000, b"two one\n" * 3000, b"", b" "])
+    lengths, step = [], learner._step
+    learner._step = lambda slots, bit, times: (lengths.append(len(bit)), step(slots, bit, times))
+    learner.learn(words, *arrays)
+    assert learner.seen > 50_000 and sum(lengths) < 1000
+    model = mixing.Model(learner.codes, {(k, b): v for k, b, v in learner.pieces()})
+    symbols, logs = [], model.logs
+    model.logs = lambda slots, bit, first: (symbols.append(len(first)), logs(slots, bit, first))[1]
+    whole = model.score(words, *arrays, np.zeros(len(words)))
+    assert sum(symbols) < 50
+    at = int(sizes[0])  # the same scores as for a part of the words
+    assert (model.score(words, *(x[at:] for x in arrays), np.zeros(len(words))) == whole[at:]).all()
+
+
+def test_lm_chunk_against_plain_split():
+    texts = [b"", b"a b a", b" lead", b"trail ", b"tab\tnew\n\x0b\x0c\r x", "\x00 é 日本 \x1c\x85\xa0".encode(), b"  ", b"a\n", b"", bytes(range(256)) * 3, b"\xff\xfe b"]
+    chunk = mixing.Chunk()
+    for i, t in enumerate(texts):
+        chunk.add(i, i % 3 == 0, t)
+    ids, ends, sizes, blob = chunk.encoded()
+    named, want, after, n = {b" ": 0, b"": 1}, [], [], []
+    for t in texts:
+        parts = re.split(rb"[\t-\r ]", t)
+        want += [named.setdefault(w, len(named)) for w in parts]
+        after += [*re.findall(rb"[\t-\r ]", t), b"\0"]
+        n.append(len(parts))
+    assert ids.tolist() == want and ends.tobytes() == b"".join(after) and sizes.tolist() == n
+    assert blob == b"".join(w + b"\n" for w in named)
+    counts = Counter(w for i, t in enumerate(texts) if i % 3 for w in re.split(rb"[\t-\r ]", t))
+    got = {}
+    for _, r, _, _, body, own, times, _ in list(chunk.rows(0, 3))[1:]:
+        listed = mixing._unpacked(body).split(b"\n")
+        assert [named[w] for w in listed] == mixing._from_planes(mixing._unpacked(own), "<u4").tolist()
+        got |= dict(zip(listed, mixing._from_planes(mixing._unpacked(times), "<u4").tolist()))
+    assert got == {w: counts[w] for w in named if w not in (b" ", b"")} | {b" ": sum(1 for i in range(len(texts)) if i % 3)}
+
+
 # -- 8 SimHash
 
 def brute_simhash(text, size=3, lanes=1):
