@@ -567,7 +567,9 @@ def train(chunks: DataFrame, pairs: DataFrame) -> tuple[Codes, dict]:
             for held, *bodies in zip(*(batch.column(k) for k in ("held", "d", "a", "b", "c"))):
                 words, sizes, *arrays = opened(*(_unpacked(x.as_py()) for x in bodies))
                 taught = np.repeat(~np.array(held.as_py(), bool), sizes)
-                learner.learn(words, *(x[taught] for x in arrays))
+                arrays = [x[taught] for x in arrays]
+                learner.learn(words, *arrays)
+                del words, arrays  # before the next chunk is opened
         if learner.slices:
             lane = TaskContext.get().partitionId() % 64
             for kind, block, values in learner.pieces():
@@ -632,8 +634,10 @@ def score_report(docs: DataFrame) -> DataFrame:
                 tokens = np.add.reduceat(real.astype(np.int64), starts) + 1
                 base = np.add.reduceat(np.where(real, np.log10(c + 1.0), 0.0), starts) + np.log10(counts[0] + 1.0) - tokens * np.log10(n_train + n_distinct + 1)
                 known = np.add.reduceat((real & (c > 0)).astype(np.int64), starts) + (counts[0] > 0)
-                score = np.add.reduceat(model.value.score(words, *arrays, counts), starts) / np.log(10)
                 length = np.maximum(1, np.add.reduceat(words.size[arrays[0]], starts) + sizes - 1)
+                del c, real
+                score = np.add.reduceat(model.value.score(words, *arrays, counts), starts) / np.log(10)
+                del words, arrays, counts  # before the next chunk is opened
                 columns = (ids.values, held.values, tokens, known, np.full(len(sizes), n_train), base, score, -score / np.log10(2) / length)
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if isinstance(x, np.ndarray) else x for x, f in zip(columns, _REPORT)], schema=_REPORT)
 
