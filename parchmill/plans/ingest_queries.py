@@ -6,12 +6,13 @@ file's bytes, and the loader reads them back.
 
 from __future__ import annotations
 
-import io
-import zipfile
+import struct
 import zlib
 from xml.sax.saxutils import escape
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,9 +53,9 @@ def _order_lines(spark, sf_dir) -> DataFrame:
 
 
 def _loaded(rows: DataFrame) -> DataFrame:
-    """Blocks of rows (id, path, content) through the loader of each path's extension."""
-    loaded = files.load(rows.select("path", "content"))
-    return loaded.select(files.stem(F.col("path")).cast("long").alias("id"), F.posexplode("blocks").alias("pos", "b")).select("id", "pos", "b.kind", "b.text", F.coalesce("b.level", F.lit(0)).alias("level"))
+    """Blocks of rows (id, path, content) through the loader of each path's extension; none is of a paged format."""
+    loaded = files.load(rows.select("path", "content"), paged=False).select(files.stem(F.col("path")).cast("long").alias("id"), "blocks")
+    return loaded.select("id", F.posexplode("blocks").alias("pos", "b")).select("id", "pos", "b.kind", "b.text", F.coalesce("b.level", F.lit(0)).alias("level"))
 
 
 _ITEMS = """
@@ -87,20 +88,39 @@ _STYLES = "".join(f'<w:style w:styleId="{i}"><w:name w:val="{n}"/></w:style>' fo
 _NS = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
 
 
+def _paragraph(text: str, style: str = "", bold: bool = False) -> str:
+    props = f'<w:pPr><w:pStyle w:val="{style}"/></w:pPr>' if style else ""
+    return f"<w:p>{props}<w:r>{'<w:rPr><w:b/></w:rPr>' if bold else ''}<w:t>{text}</w:t></w:r></w:p>"
+
+
+_ROW, _ITEM = f"<w:tr><w:tc>{_paragraph('%s')}</w:tc><w:tc>{_paragraph('%s')}</w:tc></w:tr>", _paragraph("Part %s from %s", "B")
+_DOCUMENT = (
+    f"<w:document {_NS}><w:body>" + _paragraph("Order %s", "T") + _paragraph("Customer %s", bold=True) + _paragraph("It has status %s.", bold=True) + "<w:tbl>" + _ROW % ("part", "quantity") + "%s</w:tbl>"
+    + _paragraph("Notes", "H9") + "%s" + _paragraph("  ") + "</w:body></w:document>"
+)
+
+
+def _member(name: bytes, text: bytes, place: int) -> tuple[bytes, bytes]:
+    """A deflated member of a package whose header is at ``place``, and its line in the directory."""
+    packer = zlib.compressobj(wbits=-15)
+    data = packer.compress(text) + packer.flush()
+    facts = struct.pack("<5H3I2H", 20, 0, 8, 0, 0x21, zlib.crc32(text), len(data), len(text), len(name), 0)  # 1 January 1980
+    return b"PK\3\4" + facts + name + data, b"PK\1\2" + struct.pack("<H", 20) + facts + struct.pack("<3H2I", 0, 0, 0, 0, place) + name
+
+
+_STYLED = _member(b"word/styles.xml", f"<w:styles {_NS}>{_STYLES}</w:styles>".encode(), 0)
+
+
 def _package(key: int, customer: int, status: str, items: list[dict]) -> bytes:
     """An order as a Word file."""
-    def p(text, style="", bold=False):
-        props = f'<w:pPr><w:pStyle w:val="{style}"/></w:pPr>' if style else ""
-        return f"<w:p>{props}<w:r>{'<w:rPr><w:b/></w:rPr>' if bold else ''}<w:t>{escape(text)}</w:t></w:r></w:p>"
+    return _word_file(key, customer, status, *([x[c] for x in items] for c in ("part", "quantity", "supplier")))
+
 
-    rows = "".join(f"<w:tr><w:tc>{p(str(x['part']))}</w:tc><w:tc>{p(str(x['quantity']))}</w:tc></w:tr>" for x in items)
-    body = p(f"Order {key}", "T") + p(f"Customer {customer}", bold=True) + p(f"It has status {status}.", bold=True) + f"<w:tbl><w:tr><w:tc>{p('part')}</w:tc><w:tc>{p('quantity')}</w:tc></w:tr>{rows}</w:tbl>" + p("Notes", "H9")
-    body += "".join(p(f"Part {x['part']} from {x['supplier']}", "B") for x in items) + p("  ")
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("word/document.xml", f"<w:document {_NS}><w:body>{body}</w:body></w:document>")
-        z.writestr("word/styles.xml", f"<w:styles {_NS}>{_STYLES}</w:styles>")
-    return out.getvalue()
+def _word_file(key: int, customer: int, status: str, parts: list[int], quantities: list[int], suppliers: list[int]) -> bytes:
+    rows, listed = "".join([_ROW % x for x in zip(parts, quantities)]), "".join([_ITEM % x for x in zip(parts, suppliers)])
+    document, line = _member(b"word/document.xml", (_DOCUMENT % (key, customer, escape(str(status)), rows, listed)).encode(), len(_STYLED[0]))
+    directory = _STYLED[1] + line
+    return b"".join((_STYLED[0], document, directory, b"PK\5\6", struct.pack("<4H2IH", 0, 0, 2, 2, len(directory), len(_STYLED[0]) + len(document), 0)))
 
 
 @register(_ITEMS + """
@@ -115,8 +135,14 @@ def docx_blocks(spark, sf_dir):
     """Orders as Word files: a title, a bold line, a bold sentence, a table, a deep heading and list items."""
     def run(batches):
         for batch in batches:
-            made = [_package(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("id", "o_custkey", "o_orderstatus", "items")))]
-            yield pa.RecordBatch.from_arrays([pa.array([f"{i}.docx" for i in batch.column("id").to_pylist()]), pa.array(made, pa.binary())], ["path", "content"])
+            keys, customers, states = (batch.column(c).to_pylist() for c in ("id", "o_custkey", "o_orderstatus"))
+            held = batch.column("items")
+            ends = np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False)).tolist()
+            each = dict(zip(held.type.value_type.names, (x.to_pylist() for x in held.flatten().flatten())))
+            made = [
+                _word_file(*x, each["part"][a:b], each["quantity"][a:b], each["supplier"][a:b]) for *x, a, b in zip(keys, customers, states, [0, *ends], ends)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([f"{i}.docx" for i in keys]), pa.array(made, pa.binary())], ["path", "content"])
 
     return _loaded(_order_lines(spark, sf_dir).mapInArrow(run, "path string, content binary"))
 

@@ -13,7 +13,7 @@ from .docx import parse_docx
 from ..errors import ConfigurationError, DocumentParseError, EmbeddingError, IndexingError, IngestionError, UnsupportedFormatError  # noqa: F401  (taken from here)
 from ..functions.paths import materialize
 from ..operators import layout
-from .html import BLOCK_DDL, BLOCK_TYPE, parse_html
+from .html import BLOCK_DDL, block_array, parse_html
 from .markdown import parse_markdown
 from .pdf import PdfError, read_pdf
 
@@ -98,19 +98,21 @@ LINE_TYPE = pa.list_(pa.struct([("page_number", pa.int32()), ("text", pa.string(
 LINE_DDL = "array<struct<page_number:int,text:string,size:double,bold:boolean,top:double,bottom:double>>"
 
 
-def load(files: DataFrame) -> DataFrame:
+def load(files: DataFrame, paged: bool | None = None) -> DataFrame:
     """(path, document_type, title_hint, hints, blocks, error_class, error) for rows (path, content).
 
     Every file is parsed by the loader of its extension, in one pass without a
     shuffle.  Paged formats give printed lines, and Spark makes their blocks
     from them; only then the parsed rows are written once.  A file that can't be
     read, or holds nothing, has no blocks and says why; it doesn't stop the
-    others.  Null contents count as empty.
+    others.  Null contents count as empty.  ``paged`` says whether there are
+    files of such formats; without it, all paths are looked at first, for
+    which files that are made on the way would be made twice.
     """
     read = _parsed(files)
-    if files.where(document_type(F.col("path")).isin(sorted(PRINTED))).select("path").isEmpty():
-        return read.drop("lines", "outline")
-    return laid(read)
+    if paged is None:
+        paged = not files.where(document_type(F.col("path")).isin(sorted(PRINTED))).select("path").isEmpty()
+    return laid(read) if paged else read.drop("lines", "outline")
 
 
 def laid(read: DataFrame) -> DataFrame:
@@ -151,10 +153,10 @@ def parse_file(path: str | None, content: bytes | None, loaders: dict[str, tuple
 
 
 def parsed_batch(paths: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), BLOCK_TYPE, pa.string(), pa.string(), LINE_TYPE, pa.list_(pa.string())]
+    types = [pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), None, pa.string(), pa.string(), LINE_TYPE, pa.list_(pa.string())]
     names = ["path", "document_type", "title_hint", "hints", "blocks", "error_class", "error", "lines", "outline"]
     columns = list(zip(*rows)) or [()] * 8
-    return pa.RecordBatch.from_arrays([paths, *(pa.array(list(c), t) for c, t in zip(columns, types))], names)
+    return pa.RecordBatch.from_arrays([paths, *(pa.array(list(c), t) if t else block_array(list(c)) for c, t in zip(columns, types))], names)
 
 
 def _parsed(files: DataFrame) -> DataFrame:
